@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import sharding
+from . import sharding, token_files
 
-MODULES = (sharding,)
+MODULES = (token_files, sharding)
 
 
 def queries() -> dict:
