@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import sharding, token_files
+from . import sharding, simhash, token_files
 
-MODULES = (token_files, sharding)
+MODULES = (simhash, token_files, sharding)
 
 
 def queries() -> dict:
