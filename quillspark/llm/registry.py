@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import sharding, simhash, token_files
+from . import mixing, sharding, simhash, token_files
 
-MODULES = (simhash, token_files, sharding)
+MODULES = (mixing, simhash, token_files, sharding)
 
 
 def queries() -> dict:
