@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import mixing, sharding, simhash, token_files
+from . import mixing, quality, sharding, simhash, token_files
 
-MODULES = (mixing, simhash, token_files, sharding)
+MODULES = (mixing, simhash, token_files, quality, sharding)
 
 
 def queries() -> dict:
