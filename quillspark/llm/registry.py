@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import mixing, quality, sharding, simhash, token_files
+from . import decontaminate, mixing, quality, sharding, simhash, token_files
 
-MODULES = (mixing, simhash, token_files, quality, sharding)
+MODULES = (mixing, simhash, token_files, decontaminate, quality, sharding)
 
 
 def queries() -> dict:
