@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, pii, quality, sharding, simhash, token_files
+from . import decontaminate, html_template, mixing, pii, quality, sharding, simhash, token_files
 
-MODULES = (mixing, simhash, pii, token_files, decontaminate, quality, sharding)
+MODULES = (mixing, simhash, pii, token_files, decontaminate, quality, sharding, html_template)
 
 
 def queries() -> dict:
