@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_template, mixing, pii, quality, sharding, simhash, token_files
+from . import decontaminate, html_template, mixing, pii, quality, sharding, simhash, token_counts, token_files
 
-MODULES = (mixing, simhash, pii, token_files, decontaminate, quality, sharding, html_template)
+MODULES = (mixing, simhash, pii, token_files, decontaminate, quality, sharding, token_counts, html_template)
 
 
 def queries() -> dict:
