@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from . import decontaminate, html_template, mixing, pii, quality, secrets, sharding, simhash, token_counts, token_files
 
-MODULES = (mixing, simhash, pii, token_files, decontaminate, quality, secrets, sharding, token_counts, secrets, html_template)
+MODULES = (mixing, simhash, pii, token_files, decontaminate, quality, sharding, token_counts, secrets, html_template)
 
 
 def queries() -> dict:

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, table
+from .common import saved, table, text_of
 from .graph import components
 
 #: Words of a shingle, and the XXH64 seed.
@@ -118,18 +118,18 @@ def links(fps: DataFrame) -> DataFrame:
 
 
 def classes(prints: DataFrame) -> DataFrame:
-    """(fp, component_id) for each distinct fp of (doc_id, fp)."""
+    """(fp, root, component_id) for each distinct fp of (doc_id, fp); root names the class by its least fingerprint."""
     nodes = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
     roots = components(links(nodes.select("fp"))).withColumnRenamed("node", "fp")
     rooted = saved(nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return saved(rooted.join(least, "root").select("fp", "component_id"), "classes")
+    return saved(rooted.join(least, "root").select("fp", "root", "component_id"), "classes")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp, component_id) for each row of docs."""
+    """(doc_id, fp, root, component_id) for each row of docs."""
     prints = saved(fingerprints(docs.select("doc_id", "text")).select("doc_id", "fp"), "prints")
-    return prints.join(classes(prints), "fp").select("doc_id", "fp", "component_id")
+    return prints.join(classes(prints), "fp").select("doc_id", "fp", "root", "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
@@ -139,18 +139,18 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     stands in several rows, the one whose text is least stays.
     """
     found = saved(near_duplicates(docs), "found")
-    ranked = found.groupBy("component_id").agg(F.min("fp").alias("fp"))  # of classes without ids
-    keep = found.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("fp"))
-    single = docs.join(keep.filter("n = 1").select("doc_id"), "doc_id", "left_semi").select(docs.columns)
-    doubtful = keep.filter("n > 1").select("doc_id").unionByName(ranked.filter("component_id is null").select(F.lit(None).cast("long").alias("doc_id")))
+    often = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "fp", "root").distinct()
+    kept = saved(kept.alias("k").join(often.alias("o"), F.col("k.doc_id").eqNullSafe(F.col("o.doc_id"))).select("k.*", "n"), "kept")
+    sure, doubtful = (F.col("doc_id").isNotNull() & (F.col("n") == 1)), kept.filter("doc_id is null or n > 1")
+    single = docs.join(kept.filter(sure).select("doc_id"), "doc_id", "left_semi").select(docs.columns)
     if doubtful.isEmpty():
         return single
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("id"), F.col("fp").alias("own"), F.col("component_id").alias("class")).distinct()
-    ids = doubtful.select(F.col("doc_id").alias("id"))
-    rows = fingerprints(docs.join(ids, docs["doc_id"].eqNullSafe(ids["id"]), "left_semi"))
-    rows = rows.join(kept, rows["doc_id"].eqNullSafe(kept["id"]) & (rows["fp"] == kept["own"]))
-    one = rows.groupBy("class", F.when(F.col("class").isNull(), F.col("own")).alias("lone")).agg(F.min_by(F.struct(*docs.columns), F.struct(F.coalesce("text", F.lit("")), F.xxhash64(*docs.columns))).alias("row"))
-    return single.unionByName(one.select("row.*"))
+    ids = doubtful.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), F.col("root").alias("_root"))
+    rows = fingerprints(docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi")).withColumnRenamed("fp", "_own")
+    rows = rows.join(ids, rows["doc_id"].eqNullSafe(ids["_id"]) & (rows["_own"] == ids["_fp"]))
+    one = rows.groupBy("_root").agg(F.min_by(F.struct(*docs.columns), F.struct(text_of(), F.xxhash64(*docs.columns))).alias("_row"))
+    return single.unionByName(one.select("_row.*"))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
