@@ -48,7 +48,7 @@ SAMPLE_CHARS = 16_384
 BLOCK_DOCS = 512
 BLOCK_BYTES = 4 << 20
 #: Distinct words whose ids a worker remembers, at most.
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
 
 BLOCKS = "part int, block int, first_doc long, last_doc long, dict_hash string, doc_ids array<long>, n_ids array<int>, offsets array<long>, payload binary"
 #: Where words cannot be looked up one by one.
@@ -97,7 +97,7 @@ class Encoder:
                 fresh.update((p, self.parts[p]) for ps in cut for p in ps if p in self.parts)
             for i, ps in zip(new, cut):
                 got[i] = b"".join([fresh[p] for p in ps])
-            if len(self.words) < REMEMBERED:
+            if len(self.words) < REMEMBERED // 2:
                 self.words.update((words[i], got[i]) for i in new)
         return got
 
@@ -152,6 +152,8 @@ def _codec(kind: str, dictionary: bytes):
     import zstandard
 
     held = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
+    if held and kind == "ZstdCompressor":
+        held.precompute_compress(level=3)  # else each frame digests the dictionary anew
     return getattr(zstandard, kind)(dict_data=held)
 
 
@@ -211,14 +213,16 @@ def read_token_stats(spark: SparkSession, path: str) -> DataFrame:
         decompress = _codec("ZstdDecompressor", dictionary).decompress
         for batch in batches:
             for row in range(batch.num_rows):
-                start, doc_ids, n_ids, offsets, payload = (batch.column(c)[row] for c in ("start", "doc_ids", "n_ids", "offsets", "payload"))
+                part, block, doc_ids, n_ids, offsets, payload = (batch.column(c)[row] for c in ("part", "block", "doc_ids", "n_ids", "offsets", "payload"))
                 n = n_ids.values.to_numpy().astype("int64")
                 at, data = offsets.values.to_pylist(), memoryview(payload.as_buffer())
                 crcs = [zlib.crc32(np.frombuffer(decompress(data[a:b]), f"<u{id_bytes}").astype("<u4")) for a, b in zip(at, at[1:])]
-                yield pa.RecordBatch.from_arrays([doc_ids.values, pa.array(start.as_py() + np.cumsum(n) - n), pa.array(n), pa.array(crcs, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                same = [pa.array(np.full(len(n), x.as_py(), "int32")) for x in (part, block)]
+                yield pa.RecordBatch.from_arrays([*same, doc_ids.values, pa.array(np.cumsum(n) - n), pa.array(n), pa.array(crcs, pa.int64())], ["part", "block", "doc_id", "before", "n_tokens", "ids_crc32"])
 
-    both = blocks.select("part", "block", "doc_ids", "n_ids", "offsets", "payload").join(starts, ["part", "block"])
-    return both.mapInArrow(unpack, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    # the payloads stay where they are read; only the counts meet the blocks' starts
+    read = blocks.select("part", "block", "doc_ids", "n_ids", "offsets", "payload").mapInArrow(unpack, "part int, block int, doc_id long, before long, n_tokens long, ids_crc32 long")
+    return read.join(starts, ["part", "block"]).select("doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def read_documents(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
