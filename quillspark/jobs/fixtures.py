@@ -103,4 +103,8 @@ def duck(query: str, *views: str) -> str:
             if v not in names:
                 names.append(v)
     listed = ",\n".join(f"{v} as ({DUCK[v]})" for v in names)
-    return f"with {listed}\n{query}" if not query.lstrip().lower().startswith("with ") else f"with {listed},\n{query.lstrip()[5:]}"
+    rest = query.lstrip()
+    for head in ("with recursive ", "with "):
+        if rest.startswith(head):
+            return f"{head}{listed},\n{rest[len(head):]}"
+    return f"with {listed}\n{rest}"
