@@ -5,17 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import WS, count_sentences, extract_keywords, extract_topic, split_words, strip
+from ..functions.text import WS, WS_IN, count_sentences, extract_keywords, extract_topic, split_words, strip
 
 TARGET, SHORTEST, LONGEST = 2000, 1000, 3500
 
 # What a section header looks like (all capitals, numbered, title case before a new paragraph).
 HEADERS = (
-    rf"\n([A-Z](?:[A-Z]|{WS}){{10,}})\n",
+    rf"\n([A-Z][A-Z{WS_IN}]{{10,}})\n",
     rf"\n(\p{{Nd}}+\.?\p{{Nd}}*{WS}+[A-Z][^\n]{{5,50}})\n",
     rf"\n([A-Z][a-z]+(?:{WS}+[A-Z][a-z]+){{1,5}})\n(?=[A-Z\(])",
 )
-HEADERS = (HEADERS[0].replace(f"(?:[A-Z]|{WS})", f"[A-Z{WS[1:-1]}]"), *HEADERS[1:])
 
 
 def word_window_chunks(pages: DataFrame, size: int = 800, overlap: int = 120) -> DataFrame:
@@ -43,7 +42,8 @@ def section_boundaries(text: Column) -> Column:
 
 def sections(docs: DataFrame, shortest: int = SHORTEST) -> DataFrame:
     """Sections of (doc, text): doc, section (their number), text. Short ones are dropped, not merged."""
-    found = docs.withColumn("_at", section_boundaries(F.col("text"))).filter(F.size("_at") > 1)
+    # an empty text has no section; a filter on the boundaries themselves would look for them twice
+    found = docs.filter(F.length("text") > 0).withColumn("_at", section_boundaries(F.col("text")))
     cut = F.transform(F.sequence(F.lit(1), F.size("_at") - 1), lambda k: F.substring(F.col("text"), F.get("_at", k - 1) + 1, F.get("_at", k) - F.get("_at", k - 1)))
     rows = found.select(*[c for c in docs.columns if c != "text"], F.posexplode(cut).alias("section", "text"))
     return rows.filter(F.length("text") >= shortest)
