@@ -150,8 +150,8 @@ def references(docs: DataFrame) -> dict[str | None, tuple[np.ndarray, dict[bytes
     return out
 
 
-def judged(docs: DataFrame, known: dict | None = None) -> DataFrame:
-    """docs with the base counts, base_failed, kept and the two distances (null where a guard holds)."""
+def with_verdict(docs: DataFrame, known: dict | None = None) -> DataFrame:
+    """docs with ``_verdict``: a struct of the base counts, base_failed, kept and the two distances (null where a guard holds)."""
     known = references(docs) if known is None else known
     added = [x.split()[0] for x in FEATURES.split(", ")]
 
@@ -172,8 +172,19 @@ def judged(docs: DataFrame, known: dict | None = None) -> DataFrame:
         for texts, langs in batches:
             yield pd.DataFrame([judge(t, x) for t, x in zip(texts, langs)], columns=added)
 
+    return docs.withColumn("_verdict", verdict("text", F.col("lang").cast("string")))
+
+
+def judged(docs: DataFrame, known: dict | None = None) -> DataFrame:
+    """docs with the verdict's fields as columns, in place of any of their names."""
+    added = {x.split()[0] for x in FEATURES.split(", ")}
     plain = docs.drop(*[c for c in docs.columns if c.lower() in added])
-    return plain.withColumn("_verdict", verdict("text", F.col("lang").cast("string"))).select(*plain.columns, "_verdict.*")
+    return with_verdict(plain, known).select(*plain.columns, "_verdict.*")
+
+
+def passing(docs: DataFrame, known: dict | None = None) -> DataFrame:
+    """The rows of docs that are kept, as they are."""
+    return with_verdict(docs, known).filter("_verdict.kept").select(docs.columns)
 
 
 def op6_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:

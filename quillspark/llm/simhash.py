@@ -63,15 +63,15 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """Adds ``fp``, the fingerprint's 64 bits as a long."""
+def fingerprints(docs: DataFrame, name: str = "fp") -> DataFrame:
+    """Adds the fingerprint's 64 bits as a long."""
 
     @F.pandas_udf("long")
     def fp(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series(np.array([fingerprint(x) for x in texts], "u8").view("i8"))
 
-    return docs.withColumn("fp", fp("text"))
+    return docs.withColumn(name, fp("text"))
 
 
 def _turned(bits: Column, by: int) -> Column:
@@ -147,7 +147,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     if doubtful.isEmpty():
         return single
     ids = doubtful.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), F.col("root").alias("_root"))
-    rows = fingerprints(docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi")).withColumnRenamed("fp", "_own")
+    rows = fingerprints(docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi"), "_own")
     rows = rows.join(ids, rows["doc_id"].eqNullSafe(ids["_id"]) & (rows["_own"] == ids["_fp"]))
     one = rows.groupBy("_root").agg(F.min_by(F.struct(*docs.columns), F.struct(text_of(), F.xxhash64(*docs.columns))).alias("_row"))
     return single.unionByName(one.select("_row.*"))
