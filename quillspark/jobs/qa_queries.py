@@ -80,6 +80,13 @@ def _generated(s, d):
     return R.generate(prompts, answer, 8).select("chunk_id", "batch_id", F.length("response").alias("n_chars"), "error")
 
 
+def _statistics(s, d):
+    """The merged set's statistics, its maps as text."""
+    stats = M.dataset_statistics(M.keep_first(_scored(s, d)))
+    listed = [F.array_join(F.transform(F.map_entries(f"by_{c}"), lambda e: F.concat_ws(":", e["key"], e["value"].cast("string"))), ",").alias(f"by_{c}") for c in ("type", "difficulty", "batch_id")]
+    return stats.select("total_pairs", F.bround("avg_quality", 6).alias("avg_quality"), *listed)
+
+
 def flagship(s, d):
     """The whole flow: chunks, plan, pairs, checks, merge without duplicates, distribution by type."""
     return M.distribution(M.keep_first(_kept(s, d)), "type")
@@ -112,6 +119,7 @@ QUERIES = {
     "a11_starters": lambda s, d: M.question_starters(X.fx_qa(s, d)),
     "a12_diversity": lambda s, d: M.diversity_metrics(X.fx_qa(s, d)),
     "a13_dedup": lambda s, d: M.dedup_summary(X.fx_qa(s, d)),
+    "dataset_statistics": _statistics,
     "a14_run_stats": lambda s, d: Q.batch_run_stats(_scored(s, d), _plan(s, d)),
     "a15_progress": lambda s, d: L.batch_progress(_plan(s, d), X.fx_qa(s, d).filter("batch_id < 4"), _kept(s, d).filter("batch_id < 4")),
     "p19_chatml": lambda s, d: E.as_json(E.to_chatml(X.fx_chat(s, d)), "messages").select("conv_id", "turn", "json"),
@@ -222,6 +230,15 @@ SQL = {
     "a11_starters": duck(f"select {_STARTER} starter, count(*) n from fx_qa group by 1", "fx_qa"),
     "a12_diversity": duck(f"select count(*) total_pairs, avg(length(question)) avg_question_length, avg(length(answer)) avg_answer_length, count(distinct {_STARTER}) unique_starters from fx_qa", "fx_qa"),
     "a13_dedup": duck(f"select batch_id, count(*) loaded, count(*) - count(f.chunk_id) duplicates, count(f.chunk_id) unique_pairs from fx_qa q left join {_first('fx_qa')} f using (batch_id, chunk_id, pair_idx) group by batch_id", "fx_qa"),
+    "dataset_statistics": duck(
+        _CTE
+        + ", kp as (select * from "
+        + _first("sc")
+        + ") select count(*) total_pairs, round_even(avg(overall), 6) avg_quality, "
+        + ", ".join(f"(select string_agg(v || ':' || n, ',' order by v) from (select \"{c}\"::varchar v, count(*) n from kp group by 1)) by_{c}" for c in ("type", "difficulty", "batch_id"))
+        + " from kp",
+        "fx_qa", "fx_sources",
+    ),
     "a14_run_stats": duck(
         _CTE + f""", pl as ({_PLAN}), m as (select batch_id, count(distinct chunk_id) p, count(*) m, count(*) filter (recommendation = 'keep' and overall >= 6) k from sc group by batch_id)
  select batch_id, chunks chunks_total, coalesce(p, 0) chunks_processed, coalesce(m, 0) qa_generated, coalesce(k, 0) qa_filtered, coalesce(m, 0) - coalesce(k, 0) qa_rejected, case when m > 0 then round_even(k / m * 100, 1) else 0.0 end filter_rate, round_even(coalesce(k, 0) / target_qa_count * 100, 1) completion_rate from pl left join m using (batch_id)""",
