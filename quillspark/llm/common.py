@@ -34,7 +34,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """df, written to the shared folder and read back: computed once, and safe from lost executors."""
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -64,8 +64,8 @@ _name = re.compile(r"</?([A-Za-z][^\s/>]*)")
 _attribute = re.compile(r"""([^\s"'<>/=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|(?<=\s)(hidden)(?=[\s/>])""")
 _parts = re.compile(r"[a-z0-9]+")
 
-TOKENS = "array<struct<token:string,parent:string,n:int>>"
-PARSED = f"row long, blocks array<struct<text:string,role:int,path:string>>, tags {TOKENS}"
+TOKENS = "array<struct<token:string,n:int>>"
+PARSED = f"struct<row:long,slots:array<struct<text:string,path:string>>,tags:{TOKENS}>"
 
 
 def _words(value: str) -> list[str]:
@@ -158,9 +158,9 @@ def parse(page: str | None) -> tuple[list[tuple[str, int, str]], Counter]:
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """Adds a key, the text runs and the tags to each page."""
+    """Adds to each page a key, its slots (the text runs of the article, or of the body where there is none) and its tags."""
 
-    @F.pandas_udf(f"struct<{PARSED.replace(' long', ':long').replace('blocks array', 'blocks:array').replace('tags array', 'tags:array')}>")
+    @F.pandas_udf(PARSED)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
@@ -169,34 +169,36 @@ def parsed(pages: DataFrame) -> DataFrame:
             out = []
             for page in batch:
                 blocks, tags = parse(page)
-                out.append((row, [dict(zip(("text", "role", "path"), b)) for b in blocks], [{"token": t, "parent": p, "n": n} for (t, p), n in tags.items()]))
+                role = MAIN if any(b[1] == MAIN for b in blocks) else PLAIN
+                out.append((row, [{"text": t, "path": p} for t, r, p in blocks if r == role], [{"token": t, "n": n} for (t, _), n in tags.items()]))
                 row += 1
-            yield pd.DataFrame(out, columns=["row", "blocks", "tags"])
+            yield pd.DataFrame(out, columns=["row", "slots", "tags"])
 
-    return pages.withColumn("_p", run("html"))
+    return pages.withColumn("_p", run.asNondeterministic()("html"))
 
 
-def template_text(pages: DataFrame) -> DataFrame:
-    """(host, path, text): the text runs that are of their host's template. pages: row, host, blocks, tags."""
-    tags = pages.select("host", "row", F.inline("tags"))
-    runs = pages.select("host", "row", F.inline("blocks")).filter(F.col("role") != BOILER)
-    tokens = tags.select("host", "row", F.lit(None).cast("string").alias("text"), F.col("token").alias("path"), F.col("n").cast("long").alias("n")).unionByName(
-        runs.groupBy("host", "row", "text", "path").agg(F.count(F.lit(1)).alias("n"))
-    )
+def template_runs(pages: DataFrame) -> DataFrame:
+    """(row, place): the slots whose text is of their host's template. pages: host, row, slots, tags.
+
+    Tokens are counted by their 64-bit hash, so the texts themselves are not shuffled.
+    """
+    runs = pages.select("host", "row", F.posexplode("slots").alias("place", "s")).select("host", "row", "place", F.col("s.path").alias("path"), F.xxhash64("s.path", "s.text").alias("token"))
+    tags = pages.select("host", "row", F.inline("tags")).select("host", "row", F.lit(False).alias("is_text"), F.xxhash64("token").alias("token"), F.col("n").cast("long").alias("n"))
+    tokens = runs.groupBy("host", "row", "token").agg(F.count(F.lit(1)).alias("n")).select("host", "row", F.lit(True).alias("is_text"), "token", "n").unionByName(tags)
     # a token's vector over the host's pages, by its length and a sum of hashes that fits a long
     part = F.shiftrightunsigned(F.xxhash64("row", "n"), 24)
-    vectors = tokens.groupBy("host", "text", "path").agg(F.count(F.lit(1)).alias("pages"), F.sum("n").alias("times"), F.sum(part).alias("vector"))
+    vectors = tokens.groupBy("host", "is_text", "token").agg(F.count(F.lit(1)).alias("pages"), F.sum("n").alias("times"), F.sum(part).alias("vector"))
     sizes = saved(pages.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")).filter(F.col("host_pages") >= MIN_PAGES), "hosts")
     frequent = vectors.filter(F.col("pages") >= MIN_PAGES).join(sizes, "host").filter(F.col("pages") >= MIN_SHARE * F.col("host_pages"))
     frequent = saved(frequent, "frequent-tokens")
     classes = frequent.groupBy("host", "pages", "times", "vector").agg(F.count(F.lit(1)).alias("tokens")).filter(F.col("tokens") >= MIN_TOKENS)
-    valid = saved(frequent.join(classes, ["host", "pages", "times", "vector"]), "valid-classes")
+    valid = saved(frequent.join(classes, ["host", "pages", "times", "vector"]).select("host", "is_text", "token", "pages"), "valid-classes")
     # a text run nests if a tag about it is of a valid class that is at least as frequent
-    held_by = valid.filter("text is null").select("host", F.col("path").alias("about"), F.col("pages").alias("outer"))
+    texts, outer = valid.filter("is_text").select("host", "token", "pages"), valid.filter("not is_text").select("host", F.col("token").alias("about"), F.col("pages").alias("outer"))
     steps = F.split("path", "/")
-    about = F.transform(F.sequence(F.lit(2), F.size(steps)), lambda k: F.array_join(F.slice(steps, 1, k), "/"))
-    nested = valid.filter("text is not null and path != ''").select("host", "path", "text", "pages", F.explode(about).alias("about"))
-    return nested.join(held_by, ["host", "about"]).filter(F.col("outer") >= F.col("pages")).select("host", "path", "text").distinct()
+    about = F.transform(F.sequence(F.lit(2), F.size(steps)), lambda k: F.xxhash64(F.array_join(F.slice(steps, 1, k), "/")))
+    of_class = runs.filter("path != ''").join(texts, ["host", "token"]).select("host", "row", "place", "pages", F.explode(about).alias("about"))
+    return of_class.join(outer, ["host", "about"]).filter(F.col("outer") >= F.col("pages")).select("row", "place").distinct()
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -205,16 +207,10 @@ def main_text(pages: DataFrame) -> DataFrame:
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     keep = [c for c in plain.columns if c != "html"]
     read = saved(parsed(plain).select(*keep, host.alias("_host"), "_p"), "parsed-pages")
-    narrow = read.select(F.col("_host").alias("host"), "_p.*")
-    lost = template_text(narrow)
-    runs = narrow.select("host", "row", F.posexplode("blocks").alias("place", "b")).select("host", "row", "place", "b.role", "b.path", "b.text").filter(F.col("role") != BOILER)
-    of_template = runs.join(lost, ["host", "path", "text"], "left_semi").groupBy("row").agg(F.collect_set("place").alias("_lost"))
-    of_template = saved(of_template, "template-runs")
-    whole = read.join(of_template, read["_p.row"] == of_template["row"], "left").drop("row")
-    blocks = F.col("_p.blocks")
-    role = F.when(F.exists(blocks, lambda b: b["role"] == MAIN), MAIN).otherwise(PLAIN)
-    slots = F.filter(blocks, lambda b, i: (b["role"] == role) & ~F.coalesce(F.array_contains("_lost", i), F.lit(False)))
-    return whole.withColumn("text", F.array_join(F.transform(slots, lambda b: b["text"]), "\n")).select(*keep, "text")
+    lost = saved(template_runs(read.select(F.col("_host").alias("host"), "_p.*")).groupBy(F.col("row").alias("_row")).agg(F.collect_set("place").alias("_lost")), "template-runs")
+    whole = read.join(lost, read["_p.row"] == lost["_row"], "left")
+    slots = F.filter("_p.slots", lambda s, i: ~F.coalesce(F.array_contains("_lost", i), F.lit(False)))
+    return whole.withColumn("text", F.array_join(F.transform(slots, lambda s: s["text"]), "\n")).select(*keep, "text")
 
 
 def op10_template_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
