@@ -13,7 +13,7 @@ from ..operators import prompts as T
 from ..operators import quality as Q
 from ..operators import responses as R
 from ..operators import usage as U
-from ..sources.shared import shared_path
+from ..sources.shared import shared_path, written
 from ..streaming import monitor as S
 from . import fixtures as X
 from .fixtures import TERMS, duck
@@ -29,10 +29,15 @@ def _chunks(s, d):
 
 def _batched(s, d):
     """Word windows as chunks, in contiguous batches."""
-    windows = C.word_window_chunks(X.fx_pages(s, d), 80, 12)
+    windows = written(C.word_window_chunks(X.fx_pages(s, d), 80, 12).select("id", "doc", "page", "chunk_id"), "windows")
     return L.contiguous_batches(windows.withColumn("chunk_no", F.col("page") * 100_000 + F.col("chunk_id")), 5)
 
 
+def _planned_chunks(s, d):
+    batched = _batched(s, d)
+    return L.plan_chunks(batched, L.batch_plan(batched, TARGET, 5)).select("id", "batch_id", "qa_per_chunk", "factual")
+
+
 def _plan(s, d):
     return L.batch_plan(X.fx_sources(s, d).select((F.col("chunk_id") % 5 + 1).cast("int").alias("batch_id")), TARGET, 5)
 
@@ -96,7 +101,7 @@ QUERIES = {
     "w4_batches": lambda s, d: _batched(s, d).select("id", "rank", "batch_id"),
     "w1_chunk_numbers": lambda s, d: _chunks(s, d).groupBy("doc").agg(F.max("chunk_no").alias("last_no"), F.count(F.lit(1)).alias("n")),
     "a17_plan": lambda s, d: L.batch_plan(_batched(s, d), TARGET, 5),
-    "j2_plan_join": lambda s, d: L.plan_chunks(_batched(s, d), L.batch_plan(_batched(s, d), TARGET, 5)).select("id", "batch_id", "qa_per_chunk", "factual"),
+    "j2_plan_join": _planned_chunks,
     "j3_pending": lambda s, d: L.pending_chunks(X.fx_responses(s, d), R.parse_responses(X.fx_responses(s, d))).select("chunk_id", "batch_id"),
     "p11_prompts": lambda s, d: T.build_prompts(
         X.fx_sources(s, d).select(F.col("chunk_id").alias("id"), (F.col("chunk_id") % 5 + 1).cast("int").alias("batch_id"), "text", F.lit("a topic").alias("topic"), F.array(F.lit("k1"), F.lit("k2")).alias("keywords")).join(_plan(s, d).drop("chunks"), "batch_id")

@@ -11,8 +11,8 @@ from ..sources.shared import written
 SHARES = {"factual": 0.20, "conceptual": 0.20, "procedural": 0.20, "comparative": 0.15, "scenario": 0.15, "analytical": 0.10}
 
 
-def document_offsets(chunks: DataFrame) -> DataFrame:
-    """(doc, n, before): chunks of each doc, and of all docs before it in order.
+def document_offsets(chunks: DataFrame) -> tuple[DataFrame, int]:
+    """(doc, n, before): chunks of each doc, and of all docs before it in order; and the number of all chunks.
 
     Docs are counted, dealt by range and summed within a range; the driver adds
     up the ranges' totals (one for each partition), so no task sorts all docs.
@@ -25,16 +25,16 @@ def document_offsets(chunks: DataFrame) -> DataFrame:
         before += r.n
     starts = chunks.sparkSession.createDataFrame(starts, "part int, start long")
     within = F.sum("n").over(Window.partitionBy("part").orderBy("doc")) - F.col("n")
-    return ranged.withColumn("within", within).join(starts, "part").select("doc", "n", (F.col("start") + F.col("within")).alias("before"))
+    return ranged.withColumn("within", within).join(starts, "part").select("doc", "n", (F.col("start") + F.col("within")).alias("before")), before
 
 
 def contiguous_batches(chunks: DataFrame, n_batches: int = 5) -> DataFrame:
     """chunks (doc, chunk_no, ...) with rank (from 0, by doc and chunk_no) and batch_id; the last batch takes the rest."""
-    total = chunks.count()
+    offsets, total = document_offsets(chunks)
     if total < n_batches:
         raise ValueError(f"{total} chunks cannot fill {n_batches} batches")
     rank = F.col("before") + F.row_number().over(Window.partitionBy("doc").orderBy("chunk_no")) - 1
-    ranked = chunks.join(document_offsets(chunks).select("doc", "before"), "doc").withColumn("rank", rank).drop("before")
+    ranked = chunks.join(offsets.select("doc", "before"), "doc").withColumn("rank", rank).drop("before")
     return ranked.withColumn("batch_id", F.least(F.floor(F.col("rank") / (total // n_batches)) + 1, F.lit(n_batches)).cast("int"))
 
 

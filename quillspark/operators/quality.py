@@ -37,9 +37,8 @@ def with_overlap(qa: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def heuristic_issues() -> Column:
-    """The ordered issues of a row (question, answer, duplicate, overlap)."""
-    q, a = F.col("question"), F.col("answer")
-    sq, sa = strip(q), strip(a)
+    """The ordered issues of a row (question, answer, their stripped forms _q and _a, duplicate, overlap)."""
+    q, a, sq, sa = F.col("question"), F.col("answer"), F.col("_q"), F.col("_a")
     nq, na = F.length(q), F.length(a)
     tests: list[tuple[Column, str | Column]] = [
         (nq < QUESTION_LENGTH[0], F.format_string("Question too short (%d chars)", nq)),
@@ -81,7 +80,9 @@ def score_quality(rows: DataFrame) -> DataFrame:
 def validated(qa: DataFrame, sources: DataFrame) -> DataFrame:
     """All checks and scores of qa (chunk_id, batch_id, chunk_ord, pair_idx, question, answer, ...); null texts count as empty."""
     filled = qa.withColumns({c: F.coalesce(c, F.lit("")) for c in ("question", "answer")})
-    return score_quality(flag_duplicates(with_overlap(filled, sources)).withColumn("issues", heuristic_issues()))
+    # the overlap comes last, so a source's words are not carried through the join of the first occurrences
+    checked = flag_duplicates(filled).transform(with_overlap, sources).withColumns({"_q": strip(F.col("question")), "_a": strip(F.col("answer"))})
+    return score_quality(checked.withColumn("issues", heuristic_issues()).drop("_q", "_a"))
 
 
 SCORES = ["accuracy", "clarity", "completeness", "relevance", "specificity", "overall", "issues", "recommendation"]
