@@ -197,7 +197,8 @@ def search_benchmark(docs: DataFrame, items: DataFrame, broadcast_shingles: int
 
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of docs that no item contaminates."""
-    return search_benchmark(docs, items).filter(F.size("hits") == 0).select(docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "text")
+    return search_benchmark(rows, items).filter(F.size("hits") == 0).select("_row.*")
 
 
 def op5_contained_items(spark: SparkSession, sf_dir: str) -> DataFrame:
