@@ -44,6 +44,9 @@ def text_of(column: str = "text") -> Column:
 
 
 def word_count(text: Column) -> Column:
-    """Number of words of a text as a long; white space runs are squeezed first, so no array of words is built."""
-    squeezed = F.regexp_replace(F.trim(F.translate(text, "\t\n\x0b\x0c\r", "     ")), " +", " ")
-    return F.when(squeezed == "", F.lit(0)).otherwise(F.length(squeezed) - F.length(F.replace(squeezed, F.lit(" "), F.lit(""))) + 1).cast("long")
+    """Number of words of a text as a long: the spaces between them and one, once white space is single spaces."""
+    for c in "\t\n\x0b\x0c\r":
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    text = F.trim(text)
+    single = F.when(F.contains(text, F.lit("  ")), F.regexp_replace(text, "  +", " ")).otherwise(text)
+    return F.when(text == "", F.lit(0)).otherwise(F.octet_length(single) - F.octet_length(F.replace(single, F.lit(" "), F.lit(""))) + 1).cast("long")

@@ -118,7 +118,8 @@ class Mixture:
         first, last = F.floor(F.col("start") / length), F.floor((F.col("start") + F.col("size") - 1) / length)
         parts = self.docs.filter("size > 0").withColumn("block", F.explode(F.sequence(first, last)))
         parts = parts.withColumn("begin", F.greatest("start", F.col("block") * length))
-        met = parts.join(self.slots, ["source_id", "block"])
+        # Spark takes the slots for as few as the runs they unfold from; they grow with the words and are never to be broadcast
+        met = parts.join(self.slots.hint("merge"), ["source_id", "block"])
         end = F.least(F.col("start") + F.col("size"), F.col("block") * length + F.col("take"))
         return met.select("shard", "position", "source_id", "block", "pass_no", "doc_id", "bucket", "nth", (F.col("begin") - F.col("start")).alias("from_word"), (end - F.col("begin")).alias("n_words")).filter("n_words > 0")
 
