@@ -38,6 +38,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def least_hashes(df: DataFrame, h: str, limit: int, *ties: str, n: int | None = None) -> DataFrame:
+    """The rows of df with the least hash, ``limit`` at most; of n rows (counted unless told) all but some twice as many are filtered out where they are read."""
+    n = df.count() if n is None else n
+    if n > 2 * limit:
+        df = df.filter(F.col(h) < F.lit(min((1 << 63) - 1, -(1 << 63) + (1 << 64) * 2 * limit // n)))
+    return df.orderBy(h, *ties).limit(limit)
+
+
 def text_of(column: str = "text") -> Column:
     """The column with null as the empty string."""
     return F.coalesce(F.col(column), F.lit(""))

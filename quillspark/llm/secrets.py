@@ -32,7 +32,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_of
+from .common import least_hashes, saved, table, text_of
 
 MOST_LABELLED = 20_000
 KEEP = 0.5
@@ -116,8 +116,8 @@ def label_by_rules(found: DataFrame) -> DataFrame:
 
 def fit(labelled: DataFrame) -> PipelineModel | None:
     """The forest, from featured findings with a label; None unless both labels occur."""
-    sample = labelled.filter("label is not null").withColumn("_h", F.xxhash64("value", "before", "after", "path")).orderBy("_h", "value", "before").limit(MOST_LABELLED)
-    sample = sample.select(*FEATURES, "label")
+    known = labelled.filter("label is not null").withColumn("_h", F.xxhash64("value", "before", "after", "path"))
+    sample = saved(least_hashes(known, "_h", MOST_LABELLED, "value", "before").select(*FEATURES, "label"), "labelled-sample")
     if sample.select("label").distinct().count() < 2:
         return None
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
@@ -139,7 +139,7 @@ def scan_secrets(docs: DataFrame, labelled: DataFrame | None = None) -> DataFram
     ``labelled`` holds findings (path, value, before, after, label); without it the
     candidates that rules can label are used.
     """
-    found = label_by_rules(featured(candidates(docs)))
+    found = saved(label_by_rules(featured(candidates(docs))), "findings")
     model = fit(found if labelled is None else featured(labelled))
     return scored(found, model).select("doc_id", "path", "start", "end", "value", "score", "is_secret")
 
