@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_dir, table, text_of
+from .common import least_hashes, shared_dir, table, text_of
 
 #: The dictionary's size in bytes; documents it is trained on, at most, and their length in characters, at most.
 DICT_BYTES = 65_536
@@ -47,6 +47,8 @@ SAMPLE_CHARS = 16_384
 #: A block ends at so many documents or bytes of text.
 BLOCK_DOCS = 512
 BLOCK_BYTES = 4 << 20
+#: Blocks' worth of texts that are encoded together, so that a word common to them is looked up once.
+TOGETHER = 4
 #: Distinct words whose ids a worker remembers, at most.
 REMEMBERED = 1_000_000
 
@@ -107,7 +109,7 @@ class Encoder:
         cut = pc.split_pattern(pc.if_else(odd, "", texts), " ")
         bounds = cut.offsets.to_numpy()
         flat = cut.flatten().dictionary_encode()
-        at, words = flat.indices.to_numpy(zero_copy_only=False).astype("int64"), flat.dictionary.to_pylist()
+        at, words = flat.indices.to_numpy(zero_copy_only=False).copy(), flat.dictionary.to_pylist()
         firsts = at[bounds[:-1]]
         own, place = np.unique(firsts, return_inverse=True)
         at[bounds[:-1]] = len(words) + place
@@ -121,24 +123,32 @@ class Encoder:
         return out
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches in pieces of a block's size; one long document is a piece of its own."""
+def _slices(batches: Iterator[pa.RecordBatch], times: int = 1) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of a block's size, or so many times that; one long document is a piece of its own."""
     for batch in batches:
         ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype("int64"))
         start = 0
         while start < batch.num_rows:
             base = ends[start - 1] if start else 0
-            stop = max(start + 1, min(start + BLOCK_DOCS, int(np.searchsorted(ends, base + BLOCK_BYTES, "right"))))
+            stop = max(start + 1, min(start + times * BLOCK_DOCS, int(np.searchsorted(ends, base + times * BLOCK_BYTES, "right"))))
             yield batch.slice(start, stop - start)
             start = stop
 
 
+def _placed(pieces: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Each piece with the number of rows before it."""
+    at = 0
+    for piece in pieces:
+        yield at, piece
+        at += piece.num_rows
+
+
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int) -> bytes:
     """A zstandard dictionary from the serialized ids of at most SAMPLE_DOCS documents, those whose hash is least."""
     import zstandard
 
     short = docs.select(text_of().alias("text"), F.xxhash64("doc_id", text_of()).alias("h")).filter(F.length("text").between(1, SAMPLE_CHARS))
-    texts = [r.text for r in short.orderBy("h", "text").limit(SAMPLE_DOCS).collect()]
+    texts = [r.text for r in least_hashes(short, "h", SAMPLE_DOCS, "text", n=docs.count()).collect()]
     encoder = Encoder.of(tokenizer)
     end = np.array([end_id], encoder.dtype).tobytes()
     samples = [bytes(x) + end for x in encoder.encode(pa.array(texts, pa.string()))] if texts else []
@@ -170,8 +180,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
 
         encoder, compress, part = Encoder.of(tokenizer), _codec("ZstdCompressor", dictionary).compress, TaskContext.get().partitionId()
         end = np.array([end_id], encoder.dtype).tobytes()
-        for k, piece in enumerate(_slices(batches)):
-            ids = [bytes(x) + end for x in encoder.encode(piece.column("text"))]
+        encoded = ((piece, whole[at : at + piece.num_rows]) for large in _slices(batches, TOGETHER) for whole in [encoder.encode(large.column("text"))] for at, piece in _placed(_slices(iter([large]))))
+        for k, (piece, own) in enumerate(encoded):
+            ids = [bytes(x) + end for x in own]
             frames = [compress(x) for x in ids]
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in frames])])
             doc_ids = piece.column("doc_id").to_pylist()
