@@ -22,13 +22,14 @@ repeated rows share a component; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import similar
 from .common import saved, table, text_of
 from .graph import components
 
@@ -117,10 +118,10 @@ def links(fps: DataFrame) -> DataFrame:
     return by_pair.unionByName(by_pivot)
 
 
-def classes(prints: DataFrame) -> DataFrame:
+def classes(prints: DataFrame, link: Callable[[DataFrame], DataFrame] = links) -> DataFrame:
     """(fp, root, component_id) for each distinct fp of (doc_id, fp); root names the class by its least fingerprint."""
     nodes = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
-    roots = components(links(nodes.select("fp"))).withColumnRenamed("node", "fp")
+    roots = components(link(nodes.select("fp"))).withColumnRenamed("node", "fp")
     rooted = saved(nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return saved(rooted.join(least, "root").select("fp", "root", "component_id"), "classes")
@@ -132,13 +133,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return prints.join(classes(prints), "fp").select("doc_id", "fp", "root", "component_id")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def similar_documents(docs: DataFrame) -> DataFrame:
+    """(doc_id, fp, root, component_id) for each row of docs, by five-word shingles of similarity 0.8 or more; fp is the digest of the row's shingles."""
+    prints = saved(similar.prepared(docs.select("doc_id", "text")), "prints")
+    return prints.select("doc_id", "fp").join(classes(prints.select("doc_id", "fp"), lambda _: similar.links(docs, prints)), "fp").select("doc_id", "fp", "root", "component_id")
+
+
+def one_of_each(docs: DataFrame, find: Callable[[DataFrame], DataFrame] = near_duplicates, prints: Callable[[DataFrame, str], DataFrame] = fingerprints) -> DataFrame:
     """The rows of docs, one of each class of near-duplicates: that with the least doc_id.
 
+    ``find`` gives the classes and ``prints`` the fp on which they rest.
+
     Rows without a doc_id go unless the class has no other. Where the kept doc_id
     stands in several rows, the one whose text is least stays.
     """
-    found = saved(near_duplicates(docs), "found")
+    found = saved(find(docs), "found")
     often = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "fp", "root").distinct()
     kept = saved(kept.alias("k").join(often.alias("o"), F.col("k.doc_id").eqNullSafe(F.col("o.doc_id"))).select("k.*", "n"), "kept")
@@ -147,7 +156,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     if doubtful.isEmpty():
         return single
     ids = doubtful.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), F.col("root").alias("_root"))
-    rows = fingerprints(docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi"), "_own")
+    rows = prints(docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi"), "_own")
     rows = rows.join(ids, rows["doc_id"].eqNullSafe(ids["_id"]) & (rows["_own"] == ids["_fp"]))
     one = rows.groupBy("_root").agg(F.min_by(F.struct(*docs.columns), F.struct(text_of(), F.xxhash64(*docs.columns))).alias("_row"))
     return single.unionByName(one.select("_row.*"))
