@@ -148,7 +148,10 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int) -> bytes:
     import zstandard
 
     short = docs.select(text_of().alias("text"), F.xxhash64("doc_id", text_of()).alias("h")).filter(F.length("text").between(1, SAMPLE_CHARS))
-    texts = [r.text for r in least_hashes(short, "h", SAMPLE_DOCS, "text", n=docs.count()).collect()]
+    rows = least_hashes(short, "h", SAMPLE_DOCS, "text", n=docs.count()).collect()
+    if len(rows) < SAMPLE_DOCS:  # that bound counts long and empty documents too
+        rows = least_hashes(short, "h", SAMPLE_DOCS, "text").collect()
+    texts = [r.text for r in rows]
     encoder = Encoder.of(tokenizer)
     end = np.array([end_id], encoder.dtype).tobytes()
     samples = [bytes(x) + end for x in encoder.encode(pa.array(texts, pa.string()))] if texts else []

@@ -224,6 +224,12 @@ def test_token_files_edges(spark, tokenizer):
     assert token_files.read_token_stats(spark, path + "0").count() == 0
 
 
+def test_dictionary_among_empty_documents(spark, documents, tokenizer):
+    short = documents.select("doc_id", "text")
+    empty = spark.range(10**6, 10**6 + 40_000).select(F.col("id").alias("doc_id"), F.lit("").alias("text"))
+    assert token_files.train_dictionary(short.unionByName(empty), tokenizer[0], 0) == token_files.train_dictionary(short, tokenizer[0], 0) != b""
+
+
 def test_edits_recount_by_brute_force(monkeypatch, tokenizer):
     monkeypatch.setattr(token_counts, "LEAF", 12)
     path, plain = tokenizer
