@@ -14,8 +14,8 @@ assignments to a secret's name and providers' prefixes are secrets; parts of e-m
 addresses, plain numbers, and words with at most a short number are not; all else
 is unknown.
 
-The forest is fitted on at most ``MOST_LABELLED`` labelled findings, those whose
-hash is least; everything else covers all rows.
+The forest is fitted on at most ``MOST_LABELLED`` distinct labelled findings, of each
+label those whose hash is least; everything else covers all rows.
 
 Defined cases: a null or empty text has no candidates; a null path is empty;
 repeated rows yield their findings each; without labelled findings of both kinds
@@ -25,6 +25,8 @@ kept; an empty table gives no rows; columns named like an added one are replaced
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -115,11 +117,15 @@ def label_by_rules(found: DataFrame) -> DataFrame:
 
 
 def fit(labelled: DataFrame) -> PipelineModel | None:
-    """The forest, from featured findings with a label; None unless both labels occur."""
+    """The forest, from distinct featured findings with a label; None unless both labels occur."""
     known = labelled.filter("label is not null").withColumn("_h", F.xxhash64("value", "before", "after", "path"))
-    sample = saved(least_hashes(known, "_h", MOST_LABELLED, "value", "before").select(*FEATURES, "label"), "labelled-sample")
-    if sample.select("label").distinct().count() < 2:
+    known = known.groupBy("label", "_h").agg(F.min(F.struct(*FEATURES)).alias("_f"))
+    counts = {r.label: r.n for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(counts) < 2:
         return None
+    # each label has half of the sample, and what the other leaves
+    parts = [least_hashes(known.filter(F.col("label") == k), "_h", max(MOST_LABELLED // 2, MOST_LABELLED - sum(counts.values()) + n), n=n) for k, n in sorted(counts.items())]
+    sample = saved(reduce(DataFrame.unionByName, parts).select("_f.*", "label"), "labelled-sample")
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     forest = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED)
     return PipelineModel([vectors, forest.fit(vectors.transform(sample))])

@@ -370,6 +370,13 @@ def test_secret_edges(spark):
     assert secrets.scan_secrets(docs.limit(0)).count() == 0
 
 
+def test_rare_label_and_copies_still_fit(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "MOST_LABELLED", 8)
+    rows = [("p", f"value{k:04d}x", "mail ", "", 0.0) for k in range(300)] + [("p", "value0000x", "mail ", "", 0.0)] * 300 + [("p", "9f8e7d6c5b4a", "token=", "", 1.0)]
+    labelled = secrets.featured(spark.createDataFrame(rows, "path string, value string, before string, after string, label double"))
+    assert secrets.fit(labelled) is not None and secrets.fit(labelled.filter("label = 0")) is None
+
+
 def test_secrets_run_without_python(documents):
     plan = secrets.scored(secrets.label_by_rules(secrets.featured(secrets.candidates(documents))), None)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
