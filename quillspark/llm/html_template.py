@@ -19,8 +19,8 @@ host's pages nor a token's are ever gathered; a host with a third of all pages
 is counted by partial sums.
 
 Defined cases: null or empty html has an empty text; a null url is a host of its
-own; hosts with too few pages have no template text to lose; repeated rows each
-get their text; tags that are never closed end with what encloses them; broken
+own; hosts with too few pages have no template text to lose; copies of a page on
+one host count as one page and each get its text; tags that are never closed end with what encloses them; broken
 tags are text; an empty table gives no rows; columns named like an added one are
 replaced.
 """
@@ -178,7 +178,7 @@ def parsed(pages: DataFrame) -> DataFrame:
 
 
 def template_runs(pages: DataFrame) -> DataFrame:
-    """(row, place): the slots whose text is of their host's template. pages: host, row, slots, tags.
+    """(row, place): the slots whose text is of their host's template. pages: host, row, slots, tags, each content of a host once.
 
     Tokens are counted by their 64-bit hash, so the texts themselves are not shuffled.
     """
@@ -201,13 +201,26 @@ def template_runs(pages: DataFrame) -> DataFrame:
     return of_class.join(outer, ["host", "about"]).filter(F.col("outer") >= F.col("pages")).select("row", "place").distinct()
 
 
+def copies_of(pages: DataFrame) -> DataFrame:
+    """(row, first): the rows whose content an earlier row of their host has, and that row. pages: host, row, content."""
+    firsts = pages.groupBy("host", "content").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return pages.join(firsts, ["host", "content"]).filter("row != first").select("row", "first")
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """pages (url, html, ...) with ``text``, the main text of each row."""
     plain = pages.drop("text")
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     keep = [c for c in plain.columns if c != "html"]
-    read = saved(parsed(plain).select(*keep, host.alias("_host"), "_p"), "parsed-pages")
-    lost = saved(template_runs(read.select(F.col("_host").alias("host"), "_p.*")).groupBy(F.col("row").alias("_row")).agg(F.collect_set("place").alias("_lost")), "template-runs")
+    content = F.unhex(F.md5(F.encode(F.coalesce("html", F.lit("")), "utf-8")))
+    read = saved(parsed(plain).select(*keep, host.alias("_host"), content.alias("_content"), "_p"), "parsed-pages")
+    copies = saved(copies_of(read.select(F.col("_host").alias("host"), F.col("_p.row").alias("row"), F.col("_content").alias("content"))), "copies")
+    once = read.select(F.col("_host").alias("host"), "_p.*")
+    if not copies.isEmpty():
+        once = saved(once.join(copies, "row", "left_anti"), "distinct-pages")
+    lost = template_runs(once).groupBy(F.col("row").alias("_row")).agg(F.collect_set("place").alias("_lost"))
+    lost = saved(lost, "template-runs")
+    lost = lost.unionByName(copies.join(lost, copies["first"] == lost["_row"]).select(copies["row"].alias("_row"), "_lost"))
     whole = read.join(lost, read["_p.row"] == lost["_row"], "left")
     slots = F.filter("_p.slots", lambda s, i: ~F.coalesce(F.array_contains("_lost", i), F.lit(False)))
     return whole.withColumn("text", F.array_join(F.transform(slots, lambda s: s["text"]), "\n")).select(*keep, "text")

@@ -400,6 +400,15 @@ def test_template_text_goes(spark):
     assert html_template.main_text(got.withColumn("html", F.lit("x")).limit(0)).count() == 0
 
 
+def test_copies_of_a_page_keep_their_text(spark):
+    same = "<body><div><p>Share this</p><p>Only story</p><p>All of it</p></div></body>"
+    whole = "Share this\nOnly story\nAll of it"
+    rows = [(i, "http://a.com/x", same) for i in range(10)] + [(100 + i, "http://b.com/x", same.replace("Only", f"Own {max(0, i - 17)}")) for i in range(20)]
+    rows += [(200 + i, "http://c.com/x", same.replace("Only", f"Own {max(0, i - 90)}")) for i in range(102)]
+    got = {r.page_id: r.text for r in html_template.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: whole.replace("Only", f"Own {max(0, i - 117)}") if i >= 100 else whole for i in got if i < 200} | {200 + i: f"Own {max(0, i - 90)} story" for i in range(102)}
+
+
 def test_pages_keep_their_articles(spark):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
     rows = html_template.op10_template_slots(spark, SMALL).collect()
