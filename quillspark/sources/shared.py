@@ -7,18 +7,38 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Paths given out so far, by application.
+_given: dict[str, list[str]] = {}
+
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in ``spark.checkpoint.dir``; a local folder is made and set only where that is unset."""
+    """A fresh path in the folder that the driver and all executors share.
+
+    The folder is the session's ``spark.checkpoint.dir``. Only where that is
+    unset and all runs on one machine, as in tests, a local one is made and set.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _given.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df, written and read back: computed once, with no lineage to recompute."""
+    """df, written to the shared folder and read back: computed once, and safe from lost executors."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> int:
+    """Removes all that this application has written to the shared folder; what was read from it must be stored by then. Returns the number of paths."""
+    paths = _given.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return len(paths)
