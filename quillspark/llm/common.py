@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import shared_path as shared_dir
+from ..sources.shared import written as saved
+
+__all__ = ["WORD", "join_counted", "least_hashes", "packed", "saved", "shared_dir", "table", "text_of", "word_count"]
+
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Rows of a table of keys that may be broadcast whole.
+BROADCAST_KEYS = 100_000
+#: A key that more than one in so many rows have is hot; there are fewer than this of them, whatever the input.
+HOT_SHARE = 10_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,25 +23,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder that the driver and all executors share.
+def packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """docs as one struct ``row`` beside the columns that are named, so that no name of theirs meets an added one."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *columns)
+
+
+def join_counted(rows: DataFrame, facts: DataFrame, keys: list[str], how: str = "inner", n: str = "n") -> DataFrame:
+    """rows joined with a saved table of facts, one row a key, that says in ``n`` how many rows have it (dropped).
 
-    The folder is the session's ``spark.checkpoint.dir``. Only where that is
-    unset, as in tests, a local one is made and set.
+    Few facts are broadcast whole. Else those of hot keys are, fewer than
+    ``HOT_SHARE`` by their share of all rows, and only the others are shuffled, so no
+    key is a task's burden.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """df, written to the shared folder and read back: computed once, and safe from lost executors."""
-    spark = df.sparkSession
-    path = shared_dir(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    size, total = facts.agg(F.count(F.lit(1)), F.coalesce(F.sum(n), F.lit(0))).first()
+    plain = facts.drop(n)
+    if size <= BROADCAST_KEYS:
+        return rows.join(F.broadcast(plain), keys, how)
+    hot = facts.filter(F.col(n) * HOT_SHARE > F.lit(total)).drop(n)
+    cold = rows.join(F.broadcast(hot.select(keys)), keys, "left_anti").join(plain, keys, how)
+    return cold.unionByName(rows.join(F.broadcast(hot), keys))
 
 
 def least_hashes(df: DataFrame, h: str, limit: int, *ties: str, n: int | None = None) -> DataFrame:

@@ -1,18 +1,22 @@
 """Sharding by fixed virtual slots and a versioned slot-to-shard map.
 
-Records hash by their whole text into ``n_slots`` virtual slots (equal texts
-share a slot, so groups of copies stay together); a slot is cut into ``n_parts``
-parts by a hash of the row. One pass adds up rows and bytes of each part. That
-table has at most ``n_slots * n_parts`` rows whatever the input, so the driver
-may plan on it: whole slots go to the lightest shard, heaviest slot first. Only
-a slot that alone outweighs a shard's fair share is dealt part by part.
-
-The map is a table (version, slot, part, shard, rows, bytes, first_row); growing
-or evening out the shards edits it under the next version and moves few slots.
+Records hash by their whole text into ``n_slots`` virtual slots; a slot is cut into
+``n_parts`` parts by a second hash of the text, so equal texts share slot and part.
+One pass adds up rows and bytes of each part. That table has at most ``n_slots *
+n_parts`` rows whatever the input, so the driver may plan on it: whole slots go to
+the lightest shard, heaviest slot first. Only a slot that alone outweighs a shard's
+fair share is dealt part by part. A group of equal texts is never parted, even
+where it outweighs a share by itself; its shard is then the heavier one.
+
+The map is a table (version, slot, part, shard, rows, bytes, first_row, splits);
+growing or evening out the shards edits it under the next version and moves few
+slots. Rows are numbered within a part by up to ``splits`` sub-parts (by a hash of
+doc_id), so that a group with a third of all rows is numbered by many tasks.
 
 Defined cases: a null text counts as empty; an empty table gives an empty map
 and no rows; repeated rows are rows of their own; ties in weight go by slot
-number; columns of the input named like the added ones are replaced.
+number; a long text counts by its bytes and is hashed whole; columns of the input
+may have any name, only ``shard`` is replaced.
 """
 
 from __future__ import annotations
@@ -24,19 +28,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import saved, shared_dir, table, text_of
+from .common import packed, saved, shared_dir, table, text_of
 
 N_SLOTS = 4096
-N_PARTS = 16
-MAP_SCHEMA = "version long, slot int, part int, shard int, rows long, bytes long, first_row long"
+N_PARTS = 4
+MAP_SCHEMA = "version long, slot int, part int, shard int, rows long, bytes long, first_row long, splits int"
+MAP = [x.split()[0] for x in MAP_SCHEMA.split(", ")]
 
 
-def slot_columns(key: Column, row: Column, n_slots: int = N_SLOTS, n_parts: int = N_PARTS) -> dict[str, Column]:
-    """Virtual slot of a key, and the slot's part that a row belongs to."""
-    return {
-        "vslot": F.pmod(F.xxhash64(key), F.lit(n_slots)).cast("int"),
-        "vpart": F.pmod(F.xxhash64(row, key), F.lit(n_parts)).cast("int"),
-    }
+def slot_columns(key: Column, n_slots: int = N_SLOTS, n_parts: int = N_PARTS) -> list[Column]:
+    """Virtual slot of a key, and the slot's part that it belongs to."""
+    return [F.pmod(F.xxhash64(key), F.lit(n_slots)).cast("int").alias("vslot"), F.pmod(F.xxhash64(F.lit(1), key), F.lit(n_parts)).cast("int").alias("vpart")]
 
 
 def slot_stats(slotted: DataFrame, size: str = "size") -> pd.DataFrame:
@@ -50,15 +52,18 @@ def _units(stats: pd.DataFrame, n_shards: int) -> pd.Series:
     """What moves as one: a whole slot, or a part of a slot that outweighs a shard's fair share."""
     weight = stats.groupby("slot")["bytes"].transform("sum")
     heavy = weight * n_shards > stats["bytes"].sum()
-    return stats["slot"] * (N_SLOTS * N_PARTS) + np.where(heavy, stats["part"] + 1, 0)
+    most = int(stats["part"].max()) + 2 if len(stats) else 2
+    return stats["slot"] * most + np.where(heavy, stats["part"] + 1, 0)
 
 
 def _numbered(plan: pd.DataFrame, version: int) -> pd.DataFrame:
-    """Adds the row number within the shard at which each part begins."""
+    """Adds the row number within the shard at which each part begins, and in how many sub-parts its rows are numbered."""
     plan = plan.sort_values(["shard", "slot", "part"]).reset_index(drop=True)
     plan["first_row"] = plan.groupby("shard")["rows"].cumsum() - plan["rows"] if len(plan) else pd.Series(dtype="int64")
+    # a sub-part holds about one row in N_SLOTS, so there are N_SLOTS more of them than parts at most
+    plan["splits"] = -(-plan["rows"] * N_SLOTS // max(1, plan["rows"].sum())) if len(plan) else pd.Series(dtype="int64")
     plan["version"] = version
-    return plan[["version", "slot", "part", "shard", "rows", "bytes", "first_row"]]
+    return plan[MAP]
 
 
 def build_map(stats: pd.DataFrame, n_shards: int, version: int = 1) -> pd.DataFrame:
@@ -133,37 +138,47 @@ def load_map(spark: SparkSession, path: str, version: int | None = None) -> pd.D
 
 
 def map_frame(spark: SparkSession, plan: pd.DataFrame) -> DataFrame:
-    rows = plan[["version", "slot", "part", "shard", "rows", "bytes", "first_row"]]
-    if not len(rows):
-        return spark.createDataFrame([], MAP_SCHEMA)
-    return spark.createDataFrame(rows, MAP_SCHEMA)
+    return spark.createDataFrame(plan[MAP] if len(plan) else [], MAP_SCHEMA)
+
+
+def slotted(docs: DataFrame, n_slots: int = N_SLOTS, n_parts: int = N_PARTS) -> DataFrame:
+    """(doc_id, size, text_crc32, vslot, vpart) of each row; a size is the text's UTF-8 bytes plus 1."""
+    text = text_of()
+    return docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), *slot_columns(text, n_slots, n_parts))
 
 
 def assign(docs: DataFrame, plan: pd.DataFrame, n_slots: int = N_SLOTS, n_parts: int = N_PARTS) -> DataFrame:
-    """Adds ``shard`` to each row. The map has n_slots * n_parts rows at most and is broadcast; no row is shuffled."""
+    """docs with ``shard``. The map has n_slots * n_parts rows at most and is broadcast; no row is shuffled."""
     where = map_frame(docs.sparkSession, plan).select(F.col("slot").alias("vslot"), F.col("part").alias("vpart"), "shard")
-    docs = docs.drop("shard", "vslot", "vpart").withColumns(slot_columns(text_of(), F.col("doc_id"), n_slots, n_parts))
-    return docs.join(F.broadcast(where), ["vslot", "vpart"]).drop("vslot", "vpart")
+    rows = packed(docs.drop("shard"), *slot_columns(text_of(), n_slots, n_parts))
+    return rows.join(F.broadcast(where), ["vslot", "vpart"]).select("row.*", "shard")
+
+
+def sharded(docs: DataFrame, n_shards: int = 8) -> DataFrame:
+    """docs with ``shard``, by a map made for them."""
+    return assign(docs, build_map(slot_stats(slotted(docs)), n_shards))
 
 
 def shard_documents(docs: DataFrame, n_shards: int = 8, version: int = 1) -> tuple[DataFrame, pd.DataFrame]:
     """Every row's place (doc_id, size, text_crc32, shard, slot), and the map behind it.
 
     The text is read once; what is counted and numbered afterwards is narrow.
-    ``slot`` numbers the rows of a shard from 0: the part's first row plus the
-    row's number within its part, so no shard is sorted in one task.
+    ``slot`` numbers the rows of a shard from 0: the part's first row, the rows of the
+    sub-parts before its own, and its number within that, so no shard, slot or
+    group of copies is sorted in one task.
     """
     spark = docs.sparkSession
-    text = text_of()
-    narrow = saved(
-        docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), *[c.alias(k) for k, c in slot_columns(text, F.col("doc_id")).items()]),
-        "shard-rows",
-    )
+    narrow = saved(slotted(docs), "shard-rows")
     plan = build_map(slot_stats(narrow), n_shards, version)
-    where = map_frame(spark, plan).select(F.col("slot").alias("vslot"), F.col("part").alias("vpart"), "shard", "first_row")
-    within = Window.partitionBy("vslot", "vpart").orderBy("doc_id", "text_crc32", "size")
-    rows = narrow.withColumn("nth", F.row_number().over(within)).join(F.broadcast(where), ["vslot", "vpart"])
-    return rows.select("doc_id", "size", "text_crc32", "shard", (F.col("first_row") + F.col("nth") - 1).alias("slot")), plan
+    where = map_frame(spark, plan).select(F.col("slot").alias("vslot"), F.col("part").alias("vpart"), "shard", "first_row", "splits")
+    split = F.pmod(F.xxhash64(F.lit(2), "doc_id"), "splits").cast("int").alias("split")
+    keys = ["vslot", "vpart", "split"]
+    rows = narrow.join(F.broadcast(where), ["vslot", "vpart"]).select("*", split)
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    before = counts.select(*keys, (F.sum("n").over(Window.partitionBy("vslot", "vpart").orderBy("split")) - F.col("n")).alias("before"))
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("doc_id", "text_crc32", "size"))
+    placed = rows.withColumn("nth", nth).join(before, keys)
+    return placed.select("doc_id", "size", "text_crc32", "shard", (F.col("first_row") + F.col("before") + F.col("nth") - 1).alias("slot")), plan
 
 
 def write_shards(docs: DataFrame, plan: pd.DataFrame, path: str) -> None:

@@ -58,16 +58,71 @@ def test_word_count(spark):
 # mixing
 
 
+def targets(sizes, weights, most=3.0):
+    """Words by source: the sum of all sizes by weight, held at most times a source's size."""
+    left, open_, out = float(sum(sizes)), set(range(len(sizes))), [0.0] * len(sizes)
+    while open_:
+        weight = sum(weights[i] for i in open_)
+        over = {i for i in open_ if left * weights[i] / weight > most * sizes[i]}
+        if not over:
+            return [left * weights[i] / weight if i in open_ else out[i] for i in range(len(sizes))]
+        for i in over:
+            out[i] = most * sizes[i]
+        left, open_ = sum(sizes) - sum(out), open_ - over
+    return out
+
+
 def test_permutation_is_one():
     for n in (1, 2, 3, 10, 1000, 4097):
         p = mixing.permute(np.arange(n), n, 5)
         assert sorted(p) == list(range(n)) and (mixing.permute(p, n, 5, back=True) == np.arange(n)).all()
-
-
-def test_targets_stop_and_reshare():
-    assert mixing.targets([10, 10, 10], [1, 1, 1]) == [10, 10, 10]
-    assert mixing.targets([1, 99], [2, 1]) == [3, 97]
-    assert mixing.targets([], []) == [] and mixing.targets([0, 0], [1, 2]) == [0, 0]
+    sizes = np.array([3, 1000, 3, 1000, 7])
+    assert [mixing.permute(np.array([2]), n, k)[0] for k, n in enumerate(sizes)] == mixing.permute(np.full(5, 2), sizes, np.arange(5)).tolist()
+
+
+@pytest.mark.parametrize("sizes", [[10, 10, 10], [1, 99], [0, 0], [1, 2, 500, 3, 70, 1000, 1, 9, 12], []])
+def test_targets_stop_and_reshare(spark, sizes):
+    plan = mixing.with_targets(spark.createDataFrame([(k, n, float(k % 3 + 1)) for k, n in enumerate(sizes)], "k long, size long, weight double"))
+    assert [r.target for r in plan.orderBy("k").collect()] == pytest.approx(targets(sizes, [k % 3 + 1 for k in range(len(sizes))]))
+
+
+def test_no_number_of_slots_is_too_large():
+    for n in (2 * 10**9, 10**15):
+        dealt = mixing.deal(n, 3, 64, 17)
+        assert dealt.sum() == n and abs(dealt - n / 64).max() < 8 * (n / 64) ** 0.5
+
+
+def test_very_many_sources(spark):
+    from pyspark.sql.types import LongType
+
+    docs = spark.range(300_000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"), F.concat(F.lit("host"), "id").alias("source"))
+    mixture = mixing.mix(docs, n_shards=4)
+    assert mixture.sources.count() == 300_000 and isinstance(mixture.sources.schema["source_id"].dataType, LongType)
+    r = mixture.pieces().agg(F.sum("n_words"), F.countDistinct("source_id")).first()
+    assert abs(r[0] - 600_000) <= 100_000 and r[1] > 250_000  # targets under a word round to none or one
+
+
+def taken_by_brute_force(mixture):
+    """Words taken of each (source_id, start), slot by slot."""
+    docs: dict = {}
+    for r in mixture.docs.collect():
+        docs.setdefault(r.source_id, []).append((r.start, r.size, r.doc_id))
+    out = {}
+    for s in mixture.sources.collect():
+        owner = []
+        for start, size, doc in sorted(docs[s.source_id], key=lambda d: (d[0], d[1])):
+            assert start == len(owner)
+            owner += [(s.source_id, start, doc)] * size
+        left, n = round(s.target), -(-len(owner) // mixture.block_words)
+        for j in range(10**9):
+            if left <= 0 or not owner:
+                break
+            block = int(mixing.permute(np.array([j % n]), n, mixing.SEED + s.source_id)[0])
+            words = owner[block * mixture.block_words :][: min(left, mixture.block_words)]
+            left -= len(words)
+            for w in words:
+                out[w] = out.get(w, 0) + 1
+    return out
 
 
 def test_mixture_meets_targets(spark, texts):
@@ -82,20 +137,43 @@ def test_mixture_meets_targets(spark, texts):
         own[1] += r.taken
     assert all(size == held and abs(taken - target) <= 1 for (size, target), (held, taken) in by_source.items())
     assert abs(sum(t for _, t in by_source) - sum(s for s, _ in by_source)) < 1e-6 * sum(s for s, _ in by_source)
+    mixture = mixing.mix(spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "source"))
+    want = taken_by_brute_force(mixture)
+    assert {(doc, n) for (_, _, doc), n in want.items()} == {(r.doc_id, r.taken) for r in rows if r.taken}
+
+
+def test_slots_are_dealt_whole(spark, documents):
+    mixture = mixing.mix(documents, n_shards=5, block_words=64)
+    rows = mixture.slots.collect()
+    for shard in range(5):
+        places = sorted(r.position for r in rows if r.shard == shard)
+        assert places == list(range(len(places)))
+    assert len({(r.source_id, r.pass_no, r.block) for r in rows}) == len(rows) == mixture.sources.agg(F.sum("n_slots")).first()[0]
+
 
+#: Names that operators use inside.
+CLASH = ("row", "k1", "k2", "size", "words", "spans", "cut", "hits", "fp", "root", "vslot", "vpart", "_verdict", "_h", "_size", "_digest")
 
-def test_mixture_edges(edges):
+
+def clashing(df):
+    return df.select("*", *[F.lit("own").alias(c) for c in CLASH])
+
+
+def test_mixture_edges(spark, edges):
     mixture = mixing.mix(edges)
     assert mixture.docs.count() == len(EDGES)
-    mixed = mixing.mixed_documents(edges)
-    assert mixed.columns == edges.columns
+    mixed = mixing.mixed_documents(clashing(edges))
+    assert mixed.columns == [*edges.columns, *CLASH] and not mixed.filter("k1 != 'own' or size != 'own' or row != 'own'").count()
     words: dict = {}
     for r in mixed.collect():
         words[r.source] = words.get(r.source, 0) + len(WORD.findall(r.text))
         assert r.n_chars == len(r.text)
-    plan = {r.source: r.target for r in mixture.sources.itertuples()}
-    assert all(abs(words[s] - plan[s]) <= 1 for s in plan)
+    plan = {r.src if r.known else None: r.target for r in mixture.sources.collect()}
+    assert all(abs(words.get(s, 0) - plan[s]) <= 1 for s in plan)
     assert mixing.mixed_documents(edges.limit(0)).count() == 0
+    twins = spark.createDataFrame([(1, None, "a b c"), (1, "a b c", None), (2, "q r", "x"), (2, "q r", "x")], "doc_id long, text string, source string")
+    assert sorted((r.doc_id, r.text) for r in mixing.mixed_documents(twins, weights=spark.createDataFrame([("x", 1.0), (None, 1.0)], "source string, weight double")).collect())[0][1] is not None
+    assert mixing.mix(twins).docs.select("k1", "k2").distinct().count() == 3
 
 
 # simhash
@@ -315,8 +393,7 @@ def test_shards(spark, texts):
 
 
 def test_edited_maps_move_little(spark, documents):
-    sized = documents.select((F.octet_length("text") + 1).alias("size"), *[c.alias(k) for k, c in sharding.slot_columns(F.col("text"), F.col("doc_id")).items()])
-    stats = sharding.slot_stats(sized)
+    stats = sharding.slot_stats(sharding.slotted(documents))
     first = sharding.build_map(stats, 8)
     path = shared_dir(spark, "maps")
     sharding.save_map(spark, first, path)
@@ -333,10 +410,43 @@ def test_edited_maps_move_little(spark, documents):
 def test_shard_edges(spark, edges):
     rows, plan = sharding.shard_documents(edges, 3)
     assert rows.count() == len(EDGES) and sharding.assign(edges.withColumn("shard", F.lit("clash")), plan).count() == len(EDGES)
-    assert sharding.shard_documents(edges.limit(0), 3)[0].count() == 0
-    hot = spark.createDataFrame([(i, "same text") for i in range(300)], "doc_id long, text string")
-    counts = [r["count"] for r in sharding.shard_documents(hot, 4)[0].groupBy("shard").count().collect()]
-    assert len(counts) == 4 and max(counts) < 150  # one group of copies is dealt out
+    clash = sharding.sharded(clashing(edges), 3)
+    assert clash.columns == [*edges.columns, *CLASH, "shard"] and not clash.filter("vslot != 'own' or vpart != 'own' or row != 'own'").count()
+    assert sharding.shard_documents(edges.limit(0), 3)[0].count() == 0 and sharding.sharded(edges.limit(0), 3).count() == 0
+
+
+def test_equal_texts_stay_together(spark):
+    """Half of all rows are one text, and a slot that outweighs a share holds others too: each text has one shard, which brute force over its map gives."""
+    rows = [(i, "same text") for i in range(3000)] + [(10_000 + i, f"text {i % 700} " + "x" * (i % 40)) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    placed, plan = sharding.shard_documents(docs, 4)
+    got = placed.join(docs, "doc_id").collect()
+    homes: dict = {}
+    for r in got:
+        homes.setdefault(r.text, set()).add(r.shard)
+    assert all(len(x) == 1 for x in homes.values()) and len(got) == len(rows)
+    for k in range(4):
+        assert sorted(r.slot for r in got if r.shard == k) == list(range(sum(r.shard == k for r in got)))
+    hot = homes["same text"].pop()
+    assert all(r.shard != hot for r in got if r.text != "same text" and len(homes[r.text]) == 1) or sum(r.shard == hot for r in got) < 3200
+    # the map by hand: heaviest unit first, each to the lightest shard
+    size = {(s, p): 0 for s, p in zip(plan["slot"], plan["part"])}
+    at = {r.text: (r.vslot, r.vpart) for r in docs.distinct().select("text", *sharding.slot_columns(F.col("text"))).collect()}
+    for _, text in rows:
+        size[at[text]] += len(text) + 1
+    whole: dict = {}
+    for (slot, part), n in size.items():
+        whole.setdefault(slot, []).append((part, n))
+    total, units = sum(size.values()), []
+    for slot, parts in whole.items():
+        heavy = sum(n for _, n in parts) * 4 > total
+        units += [(-n, slot, part, [part]) for part, n in parts] if heavy else [(-sum(n for _, n in parts), slot, -1, [p for p, _ in parts])]
+    load, home = [0] * 4, {}
+    for n, slot, _, parts in sorted(units, key=lambda u: u[:3]):
+        shard = min(range(4), key=lambda k: (load[k], k))
+        load[shard] -= n
+        home |= {(slot, p): shard for p in parts}
+    assert all(r.shard == home[at[r.text]] for r in got)
 
 
 # secrets

@@ -5,10 +5,10 @@ from __future__ import annotations
 import re
 
 import corpus_pipeline
-from quillspark.llm import decontaminate, mixing, quality
+from quillspark.llm import decontaminate, quality
 from quillspark.llm.common import saved
 
-from .test_operators import SMALL, WORD, classes, fingerprint
+from .test_operators import SMALL, WORD, targets
 
 
 def test_stages(spark):
@@ -41,12 +41,12 @@ def test_stages(spark):
     for r in before.values():
         sizes[r.source] = sizes.get(r.source, 0) + len(WORD.findall(r.text))
     names = sorted(sizes)
-    targets = dict(zip(names, mixing.targets([sizes[s] for s in names], mixing.cycling_weights(names))))
+    want = dict(zip(names, targets([sizes[s] for s in names], [k % 3 + 1 for k in range(len(names))])))
     taken = dict.fromkeys(names, 0)
     for r in rows:
         taken[r.source] += len(WORD.findall(r.text))
         assert re.sub(r"\s", "", r.text) in re.sub(r"\s", "", before[r.doc_id].text) or len(r.text) < len(before[r.doc_id].text)
-    assert all(abs(taken[s] - targets[s]) <= 1 for s in names)
+    assert all(abs(taken[s] - want[s]) <= 1 for s in names)
 
     _, rows = seen["sharding"]
     loads = [sum(len(r.text.encode()) + 1 for r in rows if r.shard == k) for k in range(8)]
