@@ -1,46 +1,59 @@
 """Main text of web pages by deducing each host's template from equivalence classes of tokens.
 
 A page is a sequence of tokens: tags, told apart by their path of enclosing tags
-(with classes), and text runs, told apart by path and text. Over the pages of one
-host a token has an occurrence vector: how often it stands in each page. Tokens
-with the same vector form an equivalence class. A class is valid if it is large
-(``MIN_TOKENS`` tokens) and frequent (``MIN_PAGES`` pages and ``MIN_SHARE`` of the
-host's), and if it nests: each of its text runs stands inside a tag of a valid class
-that is at least as frequent. The valid classes, so nested, are the host's
-template; all text runs that are not of it are slots.
-
-The main text is what the slots of the article hold (``article``, ``main`` or role
-main; the whole body in pages that have none), without the template's slots for
-menus, headers, footers, sidebars, notices, adverts, forms and comments, which are
-known by their tags, roles and class or id words.
+(with classes), and text runs, told apart by path and text. Over the distinct pages
+of one host a token has an occurrence vector: how often it stands in each page.
+Tokens with the same vector form an equivalence class. A class is valid if it is
+large (``MIN_TOKENS`` tokens) and frequent (``MIN_PAGES`` pages and ``MIN_SHARE`` of
+the host's), and a text run of it nests if a tag about it is of a valid class that is
+at least as frequent. The valid classes, so nested, are the host's template.
+
+What stands between the template's tokens are its slots, each named by the innermost
+template tag about it. Over all of the host's pages a slot is dull if at least half
+of its characters are links, or if, outside of an article, its text runs repeat
+``REPEATS`` times on average (adverts in rotation, notices); a slot with half of the
+host's text is never dull. The main text is what the slots hold that are not dull,
+without the template's own text.
+
+Tags, roles, class and id words and ``hidden`` tell further which parts are no
+article: menus, headers, footers, sidebars, notices, adverts, forms and comments are
+left out on every page, and where a page has an article (``article``, ``main`` or role
+main) only its runs are looked at. Hosts with too few pages have these alone.
+
+The template never takes a page's last text, nor over half of an article's: such
+a page keeps what its tags tell.
 
 Vectors are compared by their length and a sum of hashes over pages, so neither a
 host's pages nor a token's are ever gathered; a host with a third of all pages
-is counted by partial sums.
+is counted by partial sums. A host's template is one row: its tokens stand in 90 %
+of the pages, so it is little longer than a page.
 
 Defined cases: null or empty html has an empty text; a null url is a host of its
-own; hosts with too few pages have no template text to lose; copies of a page on
-one host count as one page and each get its text; tags that are never closed end with what encloses them; broken
-tags are text; an empty table gives no rows; columns named like an added one are
-replaced.
+own; copies of a page on one host count as one page and each get its text; tokens
+of equal frequency are told apart by their vectors alone; tags that are never closed
+end with what encloses them; broken tags are text; a page is read in time linear in
+its length; an empty table gives no rows; columns of the input may have any name,
+only ``text`` is replaced.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import saved, table
+from .common import join_counted, saved, table
 
 MIN_TOKENS = 3
 MIN_PAGES = 8
 MIN_SHARE = 0.9
+#: Average times that a dull slot's text runs repeat.
+REPEATS = 4
 
 MAIN, PLAIN, BOILER = 0, 1, 2
 
@@ -58,14 +71,15 @@ CLOSES_P = BLOCK - {"body", "html", "head", "td", "th", "tr", "tbody", "thead",
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 KEEPS = frozenset("article aside blockquote body div dl fieldset figure footer form header html main menu nav ol section table td th ul".split())
 
-_raw = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|iframe|noframes)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>", re.S | re.I)
-_tag = re.compile(r"""(</?[A-Za-z][^>"'\s/]*(?:[^>"']|"[^"]*"|'[^']*')*+>)""")
+_QUOTED = r"""(?:[^<>"']|"[^"]*"|'[^']*')*+"""
+_raw = re.compile(rf"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|iframe|noframes)\b{_QUOTED}>.*?(?:</\1\s*>|\Z)|<[!?][^<>]*>", re.S | re.I)
+_tag = re.compile(rf"""(</?[A-Za-z][^<>"'\s/]*+{_QUOTED}>)""")
 _name = re.compile(r"</?([A-Za-z][^\s/>]*)")
-_attribute = re.compile(r"""([^\s"'<>/=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|(?<=\s)(hidden)(?=[\s/>])""")
+_attribute = re.compile(r"""(?<![^\s"'<>/=])([^\s"'<>/=]++)\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|(?<=\s)(hidden)(?=[\s/>])""")
 _parts = re.compile(r"[a-z0-9]+")
 
-TOKENS = "array<struct<token:string,n:int>>"
-PARSED = f"struct<row:long,slots:array<struct<text:string,path:string>>,tags:{TOKENS}>"
+PARSED = "struct<row:bigint,main:boolean,tokens:array<bigint>,parents:array<int>,times:array<int>,texts:array<string>,text_tokens:array<bigint>,at:array<int>,chars:array<int>,links:array<int>>"
+FIELDS = ["row", "main", "tokens", "parents", "times", "texts", "text_tokens", "at", "chars", "links"]
 
 
 def _words(value: str) -> list[str]:
@@ -80,131 +94,203 @@ def _opened(tag: str, name: str) -> tuple[str, int]:
         for m in _attribute.finditer(tag, len(name) + 1):
             key, value = (m[1] or m[5]).lower(), m[2] or m[3] or m[4] or ""
             if key == "class":
-                label = f"{name}.{'.'.join(sorted(value.replace('/', '|').split()))}"
+                label = f"{name}.{'.'.join(sorted(value.split()))}"
             if key == "role":
                 role = BOILER if value.lower() in BOILER_ROLES else MAIN if value.lower() == "main" and role != BOILER else role
-            elif key in ("class", "id") and name not in ("html", "body") and not BOILER_WORDS.isdisjoint(_words(value)):
+            elif key in ("class", "id") and name not in ("html", "body", "main") and not BOILER_WORDS.isdisjoint(_words(value)):
                 role = BOILER
-            elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+            elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*+:\s*none|visibility\s*+:\s*hidden", value):
                 role = BOILER
     return label, role
 
 
-def parse(page: str | None) -> tuple[list[tuple[str, int, str]], Counter]:
-    """A page's text runs (text, role, path) and its tags (path, the enclosing path) with their counts."""
-    stack: list[tuple[str, str, int]] = [("", "", PLAIN)]  # name, path, role
-    blocks: list[tuple[str, int, str]] = []
-    tags: Counter = Counter()
+class _Stack:
+    """The open tags, with the places of each name and of those that end an implied close."""
+
+    def __init__(self) -> None:
+        self.tags: list[tuple[str, int, int]] = [("", 0, PLAIN)]  # name, node, role
+        self.places: dict[str, list[int]] = {}
+        self.keeps = [0]
+
+    def push(self, name: str, node: int, role: int) -> None:
+        self.places.setdefault(name, []).append(len(self.tags))
+        if name in KEEPS:
+            self.keeps.append(len(self.tags))
+        self.tags.append((name, node, role))
+
+    def cut(self, k: int) -> None:
+        """Closes the k-th tag and all in it."""
+        while len(self.tags) > k:
+            self.places[self.tags.pop()[0]].pop()
+        while self.keeps[-1] >= k:
+            self.keeps.pop()
+
+    def last(self, names) -> int:
+        """The innermost open tag of these names that no other kept tag shuts in, or 0."""
+        k = max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
+        return k if k >= self.keeps[-1] else 0
+
+
+def parse(page: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[str, int, int, int]]]:
+    """A page's distinct tag paths (hash, parent's place, times) and its text runs outside boilerplate (text, role, path's place, characters in links)."""
+    import xxhash
+
+    stack = _Stack()
+    nodes, place = [[0, -1, 1]], {0: 0}
+    runs: list[tuple[str, int, int, int]] = []
     run: list[str] = []
-    where = stack[0]
+    home, links = (0, PLAIN), 0
 
     def flush() -> None:
+        nonlocal links
         if run:
             text = " ".join(entities.unescape("".join(run)).split())
             if text:
-                blocks.append((text, where[2], where[1]))
+                runs.append((text, home[1], home[0], min(links, len(text))))
             run.clear()
+        links = 0
 
     def close(k: int) -> None:
-        nonlocal where
-        del stack[k:]
-        where = stack[-1]
+        _, node, role = stack.tags[-1]
+        stack.cut(k)
+        if role != BOILER and stack.tags[-1][1] != node:
+            flush()
 
     for piece in _tag.split(_raw.sub("", page or "")):
         if not piece:
             continue
         if piece[0] != "<" or not (m := _name.match(piece)) or piece[-1] != ">":
-            run.append(piece)
+            _, node, role = stack.tags[-1]
+            if role != BOILER:
+                if not run:
+                    home = node, role
+                run.append(piece)
+                if stack.places.get("a"):
+                    links += len(piece.strip())
             continue
         name = m[1].lower()
         if piece[1] == "/":
             if name in BLOCK:
                 flush()
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == name:
-                    close(k)
-                    break
-                if stack[k][0] in KEEPS and name not in KEEPS:
-                    break
+            if name in KEEPS:
+                if stack.places.get(name):
+                    close(stack.places[name][-1])
+            elif k := stack.last((name,)):
+                close(k)
             continue
+        parent = stack.tags[-1]
         if name == "br":
-            run.append(" ")
+            if parent[2] != BOILER:
+                run.append(" ")
             continue
         if name in BLOCK:
             flush()
-            ends = SAME.get(name, set()) | ({"p"} if name in CLOSES_P else set())
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in ends:
-                    close(k)
-                    break
-                if stack[k][0] in KEEPS:
-                    break
-        elif name in BOILER_TAGS:
-            flush()
+            ends = SAME.get(name, frozenset()) | ({"p"} if name in CLOSES_P else frozenset())
+            if k := stack.last(ends):
+                close(k)
+                parent = stack.tags[-1]
         label, role = _opened(piece, name)
-        parent = stack[-1]
-        role = BOILER if parent[2] == BOILER or role == BOILER else MAIN if parent[2] == MAIN or role == MAIN else PLAIN
-        # inline tags that only dress the text leave the path as it is
-        path = f"{parent[1]}/{label}" if name in BLOCK or role != parent[2] else parent[1]
-        if path != parent[1]:
-            tags[path, parent[1]] += 1
-        if name not in VOID:
-            stack.append((name, path, role))
-            if role != where[2]:
+        role = MAIN if name == "main" and role == MAIN else BOILER if parent[2] == BOILER or role == BOILER else MAIN if parent[2] == MAIN or role == MAIN else PLAIN
+        node = parent[1]
+        if name in BLOCK or role != parent[2]:  # inline tags that only dress the text leave the path as it is
+            if role not in (parent[2], BOILER):
                 flush()
-            where = stack[-1] if name in BLOCK or role != where[2] else (where[0], where[1], role)
+            path = xxhash.xxh64_intdigest(label.encode("utf-8", "surrogatepass"), nodes[node][0])
+            if path not in place:
+                place[path] = len(nodes)
+                nodes.append([path, node, 0])
+            node = place[path]
+            nodes[node][2] += 1
+        if name not in VOID:
+            stack.push(name, node, role)
     flush()
-    return blocks, tags
+    return [tuple(n) for n in nodes], runs
 
 
-def parsed(pages: DataFrame) -> DataFrame:
-    """Adds to each page a key, its slots (the text runs of the article, or of the body where there is none) and its tags."""
+def parsed(html: Column) -> Column:
+    """A page's key, and flat arrays: its paths (token, parent, times), and the text runs of its article, or of its body where it has none."""
 
     @F.pandas_udf(PARSED)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        import xxhash
         from pyspark import TaskContext
 
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             out = []
             for page in batch:
-                blocks, tags = parse(page)
-                role = MAIN if any(b[1] == MAIN for b in blocks) else PLAIN
-                out.append((row, [{"text": t, "path": p} for t, r, p in blocks if r == role], [{"token": t, "n": n} for (t, _), n in tags.items()]))
+                nodes, runs = parse(page)
+                main = any(r[1] == MAIN for r in runs)
+                runs = [r for r in runs if r[1] == (MAIN if main else PLAIN)]
+                tokens = np.array([n[0] for n in nodes], "u8")
+                texts = [r[0] for r in runs]
+                text_tokens = [xxhash.xxh64_intdigest(r[0].encode("utf-8", "surrogatepass"), nodes[r[2]][0]) for r in runs]
+                out.append((row, main, tokens.view("i8"), [n[1] for n in nodes], [n[2] for n in nodes], texts, np.array(text_tokens, "u8").view("i8"), [r[2] for r in runs], list(map(len, texts)), [r[3] for r in runs]))
                 row += 1
-            yield pd.DataFrame(out, columns=["row", "slots", "tags"])
-
-    return pages.withColumn("_p", run.asNondeterministic()("html"))
+            yield pd.DataFrame(out, columns=FIELDS)
 
+    return read.asNondeterministic()(html)
 
-def template_runs(pages: DataFrame) -> DataFrame:
-    """(row, place): the slots whose text is of their host's template. pages: host, row, slots, tags, each content of a host once.
 
-    Tokens are counted by their 64-bit hash, so the texts themselves are not shuffled.
-    """
-    runs = pages.select("host", "row", F.posexplode("slots").alias("place", "s")).select("host", "row", "place", F.col("s.path").alias("path"), F.xxhash64("s.path", "s.text").alias("token"))
-    tags = pages.select("host", "row", F.inline("tags")).select("host", "row", F.lit(False).alias("is_text"), F.xxhash64("token").alias("token"), F.col("n").cast("long").alias("n"))
-    tokens = runs.groupBy("host", "row", "token").agg(F.count(F.lit(1)).alias("n")).select("host", "row", F.lit(True).alias("is_text"), "token", "n").unionByName(tags)
+def valid_classes(pages: DataFrame) -> DataFrame:
+    """(host, is_text, token, pages): tokens of valid classes. pages: host, row, tokens, times, text_tokens, each content of a host once."""
+    tags = pages.select("host", "row", F.inline(F.arrays_zip("tokens", "times"))).select("host", "row", F.lit(False).alias("is_text"), F.col("tokens").alias("token"), F.col("times").cast("long").alias("n"))
+    texts = pages.select("host", "row", F.explode("text_tokens").alias("token")).groupBy("host", "row", "token").agg(F.count(F.lit(1)).alias("n"))
+    tokens = texts.select("host", "row", F.lit(True).alias("is_text"), "token", "n").unionByName(tags)
     # a token's vector over the host's pages, by its length and a sum of hashes that fits a long
     part = F.shiftrightunsigned(F.xxhash64("row", "n"), 24)
-    vectors = tokens.groupBy("host", "is_text", "token").agg(F.count(F.lit(1)).alias("pages"), F.sum("n").alias("times"), F.sum(part).alias("vector"))
-    sizes = saved(pages.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")).filter(F.col("host_pages") >= MIN_PAGES), "hosts")
-    frequent = vectors.filter(F.col("pages") >= MIN_PAGES).join(sizes, "host").filter(F.col("pages") >= MIN_SHARE * F.col("host_pages"))
-    frequent = saved(frequent, "frequent-tokens")
+    vectors = tokens.groupBy("host", "is_text", "token").agg(F.count(F.lit(1)).alias("pages"), F.sum("n").alias("times"), F.sum(part).alias("vector")).filter(F.col("pages") >= MIN_PAGES)
+    sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")).filter(F.col("host_pages") >= MIN_PAGES)
+    frequent = saved(vectors.join(sizes, "host").filter(F.col("pages") >= MIN_SHARE * F.col("host_pages")), "frequent-tokens")
     classes = frequent.groupBy("host", "pages", "times", "vector").agg(F.count(F.lit(1)).alias("tokens")).filter(F.col("tokens") >= MIN_TOKENS)
-    valid = saved(frequent.join(classes, ["host", "pages", "times", "vector"]).select("host", "is_text", "token", "pages"), "valid-classes")
-    # a text run nests if a tag about it is of a valid class that is at least as frequent
-    texts, outer = valid.filter("is_text").select("host", "token", "pages"), valid.filter("not is_text").select("host", F.col("token").alias("about"), F.col("pages").alias("outer"))
-    steps = F.split("path", "/")
-    about = F.transform(F.sequence(F.lit(2), F.size(steps)), lambda k: F.xxhash64(F.array_join(F.slice(steps, 1, k), "/")))
-    of_class = runs.filter("path != ''").join(texts, ["host", "token"]).select("host", "row", "place", "pages", F.explode(about).alias("about"))
-    return of_class.join(outer, ["host", "about"]).filter(F.col("outer") >= F.col("pages")).select("row", "place").distinct()
+    return saved(frequent.join(classes, ["host", "pages", "times", "vector"]).select("host", "is_text", "token", "pages"), "valid-classes")
 
 
-def copies_of(pages: DataFrame) -> DataFrame:
-    """(row, first): the rows whose content an earlier row of their host has, and that row. pages: host, row, content."""
-    firsts = pages.groupBy("host", "content").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return pages.join(firsts, ["host", "content"]).filter("row != first").select("row", "first")
+TEMPLATE = ["tag_tokens", "tag_pages", "fixed_tokens", "fixed_pages"]
+
+
+def host_templates(valid: DataFrame) -> DataFrame:
+    """One row for each host: its template's tags and texts with the pages they stand in."""
+    lists = valid.groupBy("host").agg(*[F.collect_list(F.when(F.col("is_text") == kind, F.struct("token", "pages"))).alias(k) for k, kind in (("tags", False), ("fixed", True))])
+    return lists.select("host", *[F.col(f"{x}.{field}").alias(name) for name, x, field in zip(TEMPLATE, ("tags", "tags", "fixed", "fixed"), ("token", "pages") * 2)])
+
+
+def slots_of(tokens, parents, at, text_tokens, tag_tokens, tag_pages, fixed_tokens, fixed_pages) -> tuple[list[int], list[bool]]:
+    """For each text run of a page its slot (0: of no template tag), and whether it is the template's own text."""
+    tags, fixed = dict(zip(tag_tokens.tolist(), tag_pages.tolist())), dict(zip(fixed_tokens.tolist(), fixed_pages.tolist()))
+    slot, about = [0] * len(tokens), [0] * len(tokens)
+    for i, (token, parent) in enumerate(zip(tokens.tolist(), parents.tolist())):
+        own = tags.get(token, 0)
+        slot[i] = token if own else slot[parent] if parent >= 0 else 0
+        about[i] = max(own, about[parent] if parent >= 0 else 0)
+    at = at.tolist()
+    return [slot[k] for k in at], [t in fixed and about[k] >= fixed[t] for t, k in zip(text_tokens.tolist(), at)]
+
+
+def dull_slots(pages: DataFrame, templates: DataFrame) -> DataFrame:
+    """(host, dull): the slots of each host that hold links or repeat themselves. pages as for valid_classes, with parents, at, chars, links and main; templates with n, the host's rows."""
+
+    @F.pandas_udf("struct<slot:array<bigint>,fixed:array<boolean>>")
+    def place(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for columns in batches:
+            yield pd.DataFrame([slots_of(*row) for row in zip(*columns)], columns=["slot", "fixed"])
+
+    met = join_counted(pages, templates, ["host"])
+    met = met.select("host", "main", "text_tokens", "chars", "links", place("tokens", "parents", "at", "text_tokens", *TEMPLATE).alias("p"))
+    runs = met.select("host", "main", F.inline(F.arrays_zip(F.col("p.slot").alias("slot"), F.col("p.fixed").alias("fixed"), "text_tokens", "chars", "links"))).filter("not fixed")
+    texts = runs.groupBy("host", "slot", "text_tokens").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"), F.sum("links").alias("links"), F.bool_or("main").alias("main"))
+    slots = texts.groupBy("host", "slot").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts"), F.sum("chars").alias("chars"), F.sum("links").alias("links"), F.bool_or("main").alias("main"))
+    slots = slots.withColumn("all_chars", F.sum("chars").over(Window.partitionBy("host")))  # a host has few slots
+    linked, repeated = 2 * F.col("links") >= F.col("chars"), ~F.col("main") & (F.col("n") >= MIN_PAGES) & (F.col("n") >= REPEATS * F.col("texts"))
+    return slots.filter((linked | repeated) & (2 * F.col("chars") < F.col("all_chars")) & (F.col("slot") != 0)).groupBy("host").agg(F.collect_list("slot").alias("dull"))
+
+
+def article(texts, main: bool, slots: list[int], fixed: list[bool], dull: set[int]) -> str:
+    """A page's main text from its runs."""
+    kept = [t for t, s, f in zip(texts, slots, fixed) if not f and s not in dull]
+    if not kept or main and 2 * sum(map(len, kept)) < sum(map(len, texts)):
+        kept = texts
+    return "\n".join(kept)
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -213,17 +299,32 @@ def main_text(pages: DataFrame) -> DataFrame:
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     keep = [c for c in plain.columns if c != "html"]
     content = F.unhex(F.md5(F.encode(F.coalesce("html", F.lit("")), "utf-8")))
-    read = saved(parsed(plain).select(*keep, host.alias("_host"), content.alias("_content"), "_p"), "parsed-pages")
-    copies = saved(copies_of(read.select(F.col("_host").alias("host"), F.col("_p.row").alias("row"), F.col("_content").alias("content"))), "copies")
-    once = read.select(F.col("_host").alias("host"), "_p.*")
-    if not copies.isEmpty():
+    own = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.struct(F.lit(0))
+    read = saved(plain.select(own.alias("own"), host.alias("host"), content.alias("content"), parsed(F.col("html")).alias("p")), "parsed-pages")
+    once = read.select("host", "content", *[f"p.{f}" for f in FIELDS if f != "texts"])
+    firsts = saved(once.groupBy("host", "content").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "copied-pages")
+    if not firsts.isEmpty():
+        copies = saved(join_counted(once.select("host", "content", "row"), firsts, ["host", "content"]).filter("row != first").select("row"), "copies")
         once = saved(once.join(copies, "row", "left_anti"), "distinct-pages")
-    lost = template_runs(once).groupBy(F.col("row").alias("_row")).agg(F.collect_set("place").alias("_lost"))
-    lost = saved(lost, "template-runs")
-    lost = lost.unionByName(copies.join(lost, copies["first"] == lost["_row"]).select(copies["row"].alias("_row"), "_lost"))
-    whole = read.join(lost, read["_p.row"] == lost["_row"], "left")
-    slots = F.filter("_p.slots", lambda s, i: ~F.coalesce(F.array_contains("_lost", i), F.lit(False)))
-    return whole.withColumn("text", F.array_join(F.transform(slots, lambda s: s["text"]), "\n")).select(*keep, "text")
+    templates = host_templates(valid_classes(once.select("host", "row", "tokens", "times", "text_tokens")))
+    rows = read.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+    templates = saved(templates.join(rows, "host"), "templates")
+    templates = saved(templates.join(dull_slots(once, templates), "host", "left"), "templates-and-slots")
+
+    @F.pandas_udf("string")
+    def told(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for columns in batches:
+            out = []
+            for texts, main, *page, dull in zip(*columns):
+                if page[-1] is None:  # no template
+                    out.append("\n".join(texts))
+                else:
+                    out.append(article(texts, main, *slots_of(*page), set() if dull is None else set(dull.tolist())))
+            yield pd.Series(out)
+
+    whole = join_counted(read, templates, ["host"], "left")
+    arguments = ["p.texts", "p.main", "p.tokens", "p.parents", "p.at", "p.text_tokens", *TEMPLATE, "dull"]
+    return whole.select("own", told(*map(F.col, arguments)).alias("text")).select(*[F.col(f"own.`{c}`") for c in keep], "text")
 
 
 def op10_template_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
