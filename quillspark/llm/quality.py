@@ -1,20 +1,27 @@
 """Quality rules: base counts, and divergence from language references.
 
 A language's reference holds two histograms over all its documents that pass the
-base rules: characters by class, and the ``COMMON`` most frequent words (lower
-case, edge punctuation off, with a letter) beside all other words. A document is
-rejected if either of its own histograms lies too far from its language's by
-Jensen-Shannon distance (base 2, 0 to 1). Short documents have ragged histograms,
-so those under ``MIN_WORDS`` words are left to the base rules, as are languages
-whose reference has under ``MIN_REFERENCE`` words.
-
-References are counted over the whole table: words are added up within a batch,
-then by Spark; only the top of each language reaches the driver.
+base rules: characters by class, and words by rank (lower case, edge punctuation
+off): how many are among the ``RANKS[0]`` most frequent words with a letter, how many
+among the next up to ``RANKS[1]``, and so on, and how many are none of these. Ranks
+are counted together, as a text of some dozens of words has each single common word
+too seldom to be compared by it. A document is rejected if its own histogram of
+characters lies over ``MAX_CHAR_DISTANCE`` from its language's by Jensen-Shannon
+distance (base 2, 0 to 1), or its histogram of words over ``MAX_WORD_SHARE`` of the
+distance at which a text without any common word lies. Short documents have ragged
+histograms, so those under ``MIN_WORDS`` words are left to the base rules, as are
+languages whose reference has under ``MIN_REFERENCE`` words.
+
+References are counted over the whole table: words are added up in a task, up to
+``HELD`` at a time, then by Spark. They are a table of one short row for each
+language. Up to ``MOST_LANGUAGES`` of them are held by every task; any more are
+joined to the documents.
 
 Defined cases: a null or empty text has no words and fails the base rules; a null
 language is a language of its own; ties in word frequency go by code point;
-repeated rows are judged alike and count each time in the references; an empty
-table gives no rows; columns of the input named like an added one are replaced.
+repeated rows are judged alike and count each time in the references; a long text is
+judged by the same shares as a short one; an empty table gives no rows; columns of
+the input may have any name, those named like an added one are replaced.
 """
 
 from __future__ import annotations
@@ -27,17 +34,19 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import saved, table
+from .common import join_counted, packed, saved, table
 
-#: Words in a language's reference, and languages on the driver at most.
-COMMON = 40
+#: Common words by rank: up to the first, up to the second; the last is their number.
+RANKS = (10, 40)
+#: References held by every task, at most, and words that a task counts at a time.
 MOST_LANGUAGES = 10_000
+HELD = 200_000
 #: Guards: words of a document, and of a language, from which histograms are compared.
 MIN_WORDS = 30
 MIN_REFERENCE = 1000
-#: Jensen-Shannon distances above which a document is rejected.
+#: Jensen-Shannon distance of characters above which a document is rejected, and that of words as a share of a text's without common words.
 MAX_CHAR_DISTANCE = 0.30
-MAX_WORD_DISTANCE = 0.50
+MAX_WORD_SHARE = 0.70
 #: Base rules: fewest words, and most words in repeated windows (in a hundred).
 FEWEST_WORDS = 10
 MOST_REPEATED = 20
@@ -106,85 +115,128 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> float:
     return float(np.sqrt(max(0.0, total / 2)))
 
 
-def references(docs: DataFrame) -> dict[str | None, tuple[np.ndarray, dict[bytes, int], np.ndarray]]:
-    """By language: characters by class, its common words' places, and counts of these and all others."""
+LANGUAGE = ["coalesce(cast(lang as string), '') lang", "lang is not null known"]
+
+
+class Reference:
+    """What documents of a language are held against."""
+
+    def __init__(self, chars, words, counts, total: int):
+        self.chars, self.total = np.asarray(chars, float), total
+        self.ranks = {w: int(np.searchsorted(RANKS, k + 1)) for k, w in enumerate(words)}
+        self.words = np.zeros(len(RANKS) + 1)
+        np.add.at(self.words, np.searchsorted(RANKS, np.arange(1, len(words) + 1)), counts)
+        self.words[-1] = total - self.words.sum()
+        self.furthest = js_distance(np.eye(len(RANKS) + 1)[-1], self.words) if total else 0.0
+
+    def ranked(self, data: bytes) -> np.ndarray:
+        """A text's words by rank."""
+        own = np.zeros(len(RANKS) + 1)
+        for word, n in Counter(data.lower().split()).items():
+            own[self.ranks.get(word.strip(EDGE), -1)] += n
+        return own
+
+
+def references(docs: DataFrame) -> DataFrame:
+    """One row for each language: its documents, characters by class, common words with their counts, and the number of all words."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words: dict = defaultdict(Counter)
+        chars: dict = defaultdict(lambda: np.zeros(CLASSES, "int64"))
+        seen: Counter = Counter()
+
+        def counted() -> Iterator[pd.DataFrame]:
+            for lang in seen:
+                bare: Counter = Counter()
+                for word, n in words[lang].items():
+                    bare[word.strip(EDGE)] += n
+                kept = [(w.decode("utf-8", "replace"), n) for w, n in bare.items() if _has_letter(w)]
+                rest = bare.total() - sum(n for _, n in kept)
+                rows = [("w", w, n) for w, n in kept] + [("rest", "", rest), ("docs", "", seen[lang])] + [("c", str(k), n) for k, n in enumerate(chars[lang].tolist())]
+                yield pd.DataFrame(rows, columns=["kind", "item", "n"]).assign(lang=lang[0], known=lang[1])
+            words.clear(), chars.clear(), seen.clear()
+
         for batch in batches:
-            words: dict = defaultdict(Counter)
-            chars: dict = defaultdict(lambda: np.zeros(CLASSES, "int64"))
-            for text, lang in zip(batch["text"], batch["lang"]):
+            held = 0
+            for text, *lang in zip(batch["text"], batch["lang"], batch["known"]):
                 own, data, counts = base(text)
+                lang = tuple(lang)
+                seen[lang] += 1
                 if not counts[-1]:
+                    held += len(own)
                     words[lang].update(data.lower().split())
                     chars[lang] += char_classes(data)
-            for lang, counts in words.items():
-                bare: Counter = Counter()
-                for word, n in counts.items():
-                    bare[word.strip(EDGE)] += n
-                kept = [(w.decode("utf-8", "replace"), n) for w, n in bare.items() if _has_letter(w)]
-                rest = bare.total() - sum(n for _, n in kept)
-                rows = [("w", w, n) for w, n in kept] + [("rest", "", rest)] + [("c", str(k), n) for k, n in enumerate(chars[lang].tolist())]
-                yield pd.DataFrame(rows, columns=["kind", "item", "n"]).assign(lang=lang)
-
-    counted = docs.select("text", F.col("lang").cast("string").alias("lang")).mapInPandas(count, "kind string, item string, n long, lang string")
-    counted = saved(counted.groupBy("lang", "kind", "item").agg(F.sum("n").alias("n")), "counts")
-    top = counted.filter("kind = 'w'").withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "item"))).filter(F.col("rank") <= COMMON)
-    sums = counted.groupBy("lang", "kind", F.when(F.col("kind") == "c", F.col("item")).alias("item")).agg(F.sum("n").alias("n"))
-    if (n := sums.select("lang").distinct().count()) > MOST_LANGUAGES:
-        raise ValueError(f"{n} languages; references hold {MOST_LANGUAGES} at most")
-    chars: dict = defaultdict(lambda: np.zeros(CLASSES))
-    total: dict = defaultdict(int)
-    for r in sums.collect():
-        if r.kind == "c":
-            chars[r.lang][int(r.item)] = r.n
-        else:
-            total[r.lang] += r.n
-    common: dict = defaultdict(list)
-    for r in top.select("lang", "item", "n", "rank").orderBy("lang", "rank").collect():
-        common[r.lang].append((r.item.encode(), r.n))
-    out = {}
-    for lang in chars:
-        counts = [n for _, n in common[lang]]
-        out[lang] = chars[lang], {w: k for k, (w, _) in enumerate(common[lang])}, np.array([*counts, total[lang] - sum(counts)], float)
-    return out
-
-
-def with_verdict(docs: DataFrame, known: dict | None = None) -> DataFrame:
-    """docs with ``_verdict``: a struct of the base counts, base_failed, kept and the two distances (null where a guard holds)."""
+                if held > HELD:
+                    held = 0
+                    if sum(map(len, words.values())) > HELD:
+                        yield from counted()
+        yield from counted()
+
+    counted = docs.selectExpr("text", *LANGUAGE).mapInPandas(count, "kind string, item string, n long, lang string, known boolean")
+    counted = saved(counted.groupBy("lang", "known", "kind", "item").agg(F.sum("n").alias("n")), "counts")
+    language = ["lang", "known"]
+    order = Window.partitionBy(*language).orderBy(F.desc("n"), "item")
+    top = counted.filter("kind = 'w'").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= RANKS[-1])
+    top = top.groupBy(*language).agg(F.array_sort(F.collect_list(F.struct("rank", "item", "n"))).alias("top"))
+    sums = counted.groupBy(*language).agg(
+        F.sum(F.when(F.col("kind") == "docs", F.col("n"))).alias("n"),
+        F.array(*[F.coalesce(F.sum(F.when((F.col("kind") == "c") & (F.col("item") == str(k)), F.col("n"))), F.lit(0)) for k in range(CLASSES)]).alias("chars"),
+        F.coalesce(F.sum(F.when(F.col("kind").isin("w", "rest"), F.col("n"))), F.lit(0)).alias("total"),
+    )
+    none = F.expr("cast(array() as array<struct<rank:int,item:string,n:long>>)")
+    rows = sums.join(top, language, "left").withColumn("top", F.coalesce("top", none))
+    return saved(rows.select(*language, "n", "chars", F.col("top.item").alias("words"), F.col("top.n").alias("counts"), "total"), "references")
+
+
+def judge(text: str | None, reference: Reference | None) -> tuple:
+    """A text's base counts, base_failed, kept, and its two distances (null where a guard holds)."""
+    words, data, counts = base(text)
+    if counts[-1] or len(words) < MIN_WORDS or reference is None or reference.total < MIN_REFERENCE:
+        return *counts, not counts[-1], None, None
+    by_char, by_word = js_distance(char_classes(data), reference.chars), js_distance(reference.ranked(data), reference.words)
+    return *counts, by_char <= MAX_CHAR_DISTANCE and by_word <= MAX_WORD_SHARE * reference.furthest, by_char, by_word
+
+
+def with_verdict(docs: DataFrame, known: DataFrame | None = None, most_languages: int = MOST_LANGUAGES) -> DataFrame:
+    """(row, verdict): docs, each row packed, with the verdict's fields. known: references(), those of docs unless told."""
     known = references(docs) if known is None else known
     added = [x.split()[0] for x in FEATURES.split(", ")]
+    kind = f"struct<{FEATURES.replace(' ', ':').replace(',:', ',')}>"
+    rows = packed(docs, "text", *map(F.expr, LANGUAGE))
 
-    def judge(text: str | None, lang: str | None) -> tuple:
-        words, data, counts = base(text)
-        failed, reference = counts[-1], known.get(lang)
-        if failed or len(words) < MIN_WORDS or reference is None or reference[2].sum() < MIN_REFERENCE:
-            return *counts, not failed, None, None
-        chars, places, common = reference
-        own = np.zeros(len(common))
-        for word, n in Counter(data.lower().split()).items():
-            own[places.get(word.strip(EDGE), -1)] += n
-        by_char, by_word = js_distance(char_classes(data), chars), js_distance(own, common)
-        return *counts, by_char <= MAX_CHAR_DISTANCE and by_word <= MAX_WORD_DISTANCE, by_char, by_word
+    if known.count() <= most_languages:
+        held = {(r.lang, r.known): (r.chars, [w.encode() for w in r.words], r.counts, r.total) for r in known.collect()}
+
+        @F.pandas_udf(kind)
+        def verdict(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+            made = {k: Reference(*v) for k, v in held.items()}
+            for columns in batches:
+                yield pd.DataFrame([judge(t, made.get((x, k))) for t, x, k in zip(*columns)], columns=added)
 
-    @F.pandas_udf(f"struct<{FEATURES.replace(' ', ':').replace(',:', ',')}>")
-    def verdict(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, langs in batches:
-            yield pd.DataFrame([judge(t, x) for t, x in zip(texts, langs)], columns=added)
+        return rows.select("row", verdict("text", "lang", "known").alias("verdict"))
 
-    return docs.withColumn("_verdict", verdict("text", F.col("lang").cast("string")))
+    @F.pandas_udf(kind)
+    def by_row(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for columns in batches:
+            out = []
+            for text, chars, words, counts, total in zip(*columns):
+                out.append(judge(text, None if chars is None else Reference(chars, [w.encode() for w in words], counts, int(total))))
+            yield pd.DataFrame(out, columns=added)
 
+    met = join_counted(rows, known, ["lang", "known"], "left")
+    return met.select("row", by_row("text", "chars", "words", "counts", "total").alias("verdict"))
 
-def judged(docs: DataFrame, known: dict | None = None) -> DataFrame:
+
+def judged(docs: DataFrame, known: DataFrame | None = None, most_languages: int = MOST_LANGUAGES) -> DataFrame:
     """docs with the verdict's fields as columns, in place of any of their names."""
     added = {x.split()[0] for x in FEATURES.split(", ")}
     plain = docs.drop(*[c for c in docs.columns if c.lower() in added])
-    return with_verdict(plain, known).select(*plain.columns, "_verdict.*")
+    return with_verdict(plain, known, most_languages).select("row.*", "verdict.*")
 
 
-def passing(docs: DataFrame, known: dict | None = None) -> DataFrame:
+def passing(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """The rows of docs that are kept, as they are."""
-    return with_verdict(docs, known).filter("_verdict.kept").select(docs.columns)
+    return with_verdict(docs, known).filter("verdict.kept").select("row.*")
 
 
 def op6_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,20 +260,22 @@ with d as (select row_number() over () rid, doc_id, coalesce(text, '') t, coales
  base as (select *, n_words < {FEWEST_WORDS} or 100 * n_repeat_words > {MOST_REPEATED} * n_words base_failed from b),
  bare as (select rid, lang, trim(translate(word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '.,;:!?''"()-') word from w),
  good as (select lang, word, count(*) n from bare where rid in (select rid from base where not base_failed) group by all),
- top as (select lang, word, n from good where regexp_matches(word, '[a-z]|[^\\x00-\\x7F]') qualify row_number() over (partition by lang order by n desc, word) <= {COMMON}),
+ top as (select lang, word, n, row_number() over (partition by lang order by n desc, word) r from good where regexp_matches(word, '[a-z]|[^\\x00-\\x7F]') qualify r <= {RANKS[1]}),
  total as (select lang, sum(n) n from good group by lang),
+ wref as (select t.lang, g, coalesce(sum(top.n), 0) n from (select lang, unnest([1, 2]) g from total) t left join top on top.lang = t.lang and g = case when r <= {RANKS[0]} then 1 else 2 end group by all
+   union all select lang, 3, total.n - coalesce((select sum(n) from top where top.lang = total.lang), 0) from total),
  cref as (select lang, k, sum(c) n from (select lang, unnest(chars) c, unnest(range({CLASSES})) k from base where not base_failed) group by all),
+ far as (select lang, sqrt(sum(case when g < 3 then q else log2(2 / (1 + q)) + case when q > 0 then q * log2(2 * q / (1 + q)) else 0 end end) / 2) furthest
+   from (select lang, g, wref.n / total.n q from wref join total using (lang)) group by lang),
  judged as (select rid, lang, n_words, chars from base join total using (lang) where not base_failed and n_words >= {MIN_WORDS} and total.n >= {MIN_REFERENCE}),
+ own as (select rid, case when r <= {RANKS[0]} then 1 when r is not null then 2 else 3 end g, count(*) n from bare left join top using (lang, word) group by all),
  pq as (
-  select rid, 'c' kind, c / sum(c) over (partition by rid) p, cref.n / sum(cref.n) over (partition by rid) q
+  select rid, lang, 'c' kind, c / sum(c) over (partition by rid) p, cref.n / sum(cref.n) over (partition by rid) q
    from (select rid, lang, unnest(chars) c, unnest(range({CLASSES})) k from judged) join cref using (lang, k)
   union all
-  select rid, 'w', coalesce(x.n, 0) / n_words, top.n / total.n from judged join top using (lang) join total using (lang) left join (select rid, word, count(*) n from bare group by all) x using (rid, word)
-  union all
-  select rid, 'w', (n_words - coalesce(x.n, 0)) / n_words, (total.n - s.n) / total.n from judged join total using (lang) join (select lang, sum(n) n from top group by lang) s using (lang)
-   left join (select rid, count(*) n from bare join top using (lang, word) group by rid) x using (rid)),
- js as (select rid, kind, sqrt(greatest(0, sum(case when p > 0 then p * log2(2 * p / (p + q)) else 0 end + case when q > 0 then q * log2(2 * q / (p + q)) else 0 end) / 2)) d from pq group by all),
- bad as (select distinct rid from js where d > case kind when 'c' then {MAX_CHAR_DISTANCE} else {MAX_WORD_DISTANCE} end)
+  select rid, lang, 'w', coalesce(own.n, 0) / n_words, wref.n / total.n from judged join wref using (lang) join total using (lang) left join own using (rid, g)),
+ js as (select rid, lang, kind, sqrt(greatest(0, sum(case when p > 0 then p * log2(2 * p / (p + q)) else 0 end + case when q > 0 then q * log2(2 * q / (p + q)) else 0 end) / 2)) d from pq group by all),
+ bad as (select distinct rid from js join far using (lang) where d > case kind when 'c' then {MAX_CHAR_DISTANCE} else {MAX_WORD_SHARE} * furthest end)
 select doc_id, n_words, word_chars::bigint word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and rid not in (select rid from bad) kept from base
 """
 

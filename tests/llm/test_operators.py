@@ -445,11 +445,32 @@ def test_contained_edges(spark, bound):
 
 
 def test_quality_edges(edges):
-    rows = quality.judged(edges.withColumn("kept", F.lit("clash"))).collect()
+    rows = quality.judged(clashing(edges).withColumn("kept", F.lit("clash")).withColumn("verdict", F.lit("own")).withColumn("known", F.lit("own"))).collect()
     assert len(rows) == len(EDGES) and not any(r.kept for r in rows if not r.text or len(r.text.split()) < 10)
+    assert all(r.row == r.verdict == r.known == "own" for r in rows)
     assert quality.judged(edges.limit(0)).count() == 0
 
 
+def test_any_number_of_languages(spark, documents):
+    """The join beside the held references gives the same, and a dirty column of languages harms nobody."""
+    held = {tuple(r) for r in quality.judged(documents.select("doc_id", "text", "lang")).collect()}
+    assert held == {tuple(r) for r in quality.judged(documents.select("doc_id", "text", "lang"), most_languages=0).collect()}
+    dirty = documents.select("doc_id", "text", F.when(F.col("doc_id") % 2 == 0, F.concat("lang", "doc_id")).otherwise(F.col("lang")).alias("lang"))
+    assert quality.judged(dirty, most_languages=10).filter("kept").count() > 100
+
+
+def test_words_without_common_ones_go(spark, documents):
+    """A list of words that no prose of the language has goes, as the words of long prose do not; by language."""
+    rows, prose = [], documents.filter("length(text) between 400 and 4000").select("doc_id", "text", "lang")
+    for k, lang in enumerate(["en", "de", "fr", "es"]):
+        rows += [(-10 * k - i - 1, " | ".join(f"Zu{lang}q{i}w{chr(97 + j % 26)}r{chr(97 + j // 26)}t" for j in range(60)), lang) for i in range(3)]
+    got = quality.judged(prose.unionByName(spark.createDataFrame(rows, "doc_id long, text string, lang string"))).collect()
+    assert not any(r.kept for r in got if r.doc_id < 0) and not any(r.base_failed for r in got if r.doc_id < 0)
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
+    clean = [r for r in got if labels.get(r.doc_id) == 1]
+    assert len(clean) > 20 and all(r.kept for r in clean)
+
+
 def test_distance():
     a, b = np.array([1.0, 0, 1]), np.array([0.0, 1, 0])
     assert quality.js_distance(a, b) == 1 and quality.js_distance(a, a) == 0
