@@ -1,25 +1,28 @@
 """Edit-aware token counts: a segment tree for each document, re-encoded only where edits touch.
 
-A text is cut into leaves of about ``LEAF`` characters, before single spaces between
-two words, where no pre-token of a byte-level tokenizer runs across; so the leaves'
-token counts add up to the text's. ``sums`` holds the tree over them: node i is
-the sum of nodes 2i and 2i + 1, the leaves' own counts are its second half, and
-node 1 is the document's count.
+A text is cut into leaves of about ``LEAF`` characters where no pre-token of a
+byte-level tokenizer runs across: before white space that follows anything else, and
+between letters, digits and punctuation. So the leaves' token counts add up to the
+text's. ``sums`` holds the tree over them: node i is the sum of nodes 2i and 2i + 1,
+the leaves' own counts are its second half, and node 1 is the document's count.
 
 An edit replaces a span of characters. The leaves it touches, and as many
-neighbours as it takes until both borders are clean cuts again, are encoded anew;
-their leaf takes the new count and the sums above it change. Nothing else of the
-document is encoded.
-
-Defined cases: a null or empty text has one empty leaf and no tokens; edits are
-applied by their place in the text before any edit, must not overlap, and are cut
-off at the text's end; a null replacement deletes; null or no edits leave the
-counts alone; repeated rows are counted each; an empty table gives no rows;
-columns named like an added one are replaced.
+neighbours as it takes until both borders are clean cuts again, are encoded anew, cut
+into leaves of the usual length; their leaves take the new counts and the sums above
+them change. Only where more leaves come out than went in is the tree laid out anew,
+from the counts it has. Nothing else of the document is encoded.
+
+Defined cases: a null or empty text has one empty leaf and no tokens; a text that
+cannot be cut (one endless word) is one leaf, however long, and is read in linear time;
+edits are applied by their place in the text before any edit, must not overlap, and
+are cut off at the text's end; a null replacement deletes; null or no edits leave the
+counts alone; repeated rows are counted each; an empty table gives no rows; columns
+named like an added one are replaced.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,19 +41,18 @@ TREE = "leaf_chars array<int>, sums array<long>"
 EDITS = "array<struct<start:int,end:int,text:string>>"
 
 
-def _clean(text: str, at: int) -> bool:
-    """Whether a cut before this place splits no pre-token: a single space between two words follows it."""
-    return 0 < at < len(text) - 1 and text[at] == " " and not text[at + 1].isspace() and not text[at - 1].isspace()
+_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_MARK = r"!-#%-&(-/:;=?@\[-`{}~"  # no quote that may begin a contraction, nothing that may be of a special token
+_LETTER, _STOP = r"A-Za-zぁ-ゖァ-ヺ一-龥", r"、。！，：；？"
+#: A place where a pre-token ends whatever stands before and after the two characters about it.
+CLEAN = re.compile(rf"(?<=[^{_SPACE}])(?=[{_SPACE}])|(?<=[{_LETTER}])(?=[0-9{_MARK}{_STOP}])|(?<=[0-9])(?=[{_LETTER}{_MARK}{_STOP}])|(?<=[{_MARK}{_STOP}])(?=[{_LETTER}0-9])")
 
 
 def cut(text: str) -> list[int]:
     """Where the leaves begin, and the text's end."""
-    bounds, at = [0], text.find(" ", LEAF)
-    while at >= 0:
-        if _clean(text, at):
-            bounds.append(at)
-            at += LEAF
-        at = text.find(" ", at + 1)
+    bounds = [0]
+    while m := CLEAN.search(text, bounds[-1] + LEAF):
+        bounds.append(m.start())
     return [*bounds, len(text)]
 
 
@@ -125,25 +127,37 @@ def edit(text: str, edits: list[tuple[int, int, str]], leaf_chars: np.ndarray, s
                 before = done.pop()
                 region = [before[0], max(last, before[1]), before[2] + own]
                 continue
-            left = first == 0 or len(new) > 1 and new[0] == " " and not new[1].isspace() and not text[int(begins[first]) - 1].isspace()
-            follow = text[int(begins[last + 1]) : int(begins[last + 1]) + 2]
-            right = last == n - 1 or bool(new) and not new[-1].isspace() and len(follow) == 2 and follow[0] == " " and not follow[1].isspace()
+            at, end = int(begins[first]), int(begins[last + 1])
+            left = at == 0 or bool(CLEAN.match(text[at - 1] + new[:1], 1))
+            right = end == len(text) or bool(CLEAN.match(new[-1:] + text[end : end + 1], 1))
             if left and right:
                 done.append([first, last, own, new])
                 break
             region = [first - (not left), last + (not right), own]
-    counts = encode([d[3] for d in done])
-    out, at, touched = [], 0, 0
-    for (first, last, _, new), count in zip(done, counts):
+    pieces = [[new[a:b] for cuts in [cut(new)] for a, b in zip(cuts, cuts[1:])] for *_, new in done]
+    counts = iter(encode([x for own in pieces for x in own]))
+    out, at, touched, fresh, grown = [], 0, 0, [], False
+    for (first, last, _, new), own in zip(done, pieces):
         out += [text[at : int(begins[first])], new]
-        at, touched = int(begins[last + 1]), touched + len(new)
-        for k in range(first, last + 1):
-            leaf_chars[k] = len(new) if k == first else 0
-            change = (count if k == first else 0) - sums[width + k]
-            node = width + k
-            while node:
-                sums[node] += change
-                node //= 2
+        at, touched, room = int(begins[last + 1]), touched + len(new), last + 1 - first
+        chars, tokens = [len(x) for x in own], [next(counts) for _ in own]
+        grown |= len(own) > room
+        fresh.append((first, last, chars + [0] * (room - len(own)), tokens + [0] * (room - len(own))))
+    if grown:
+        chars, tokens, k = [], [], 0
+        for first, last, new_chars, new_tokens in [*fresh, (n, n, [], [])]:
+            chars += [*leaf_chars[k:first].tolist(), *new_chars]
+            tokens += [*sums[width + k : width + first].tolist(), *new_tokens]
+            k = last + 1
+        leaf_chars, sums = np.array(chars, leaf_chars.dtype), tree(tokens)
+    else:
+        for first, last, new_chars, new_tokens in fresh:
+            leaf_chars[first : last + 1] = new_chars
+            for k, tokens in zip(range(first, last + 1), new_tokens):
+                change, node = tokens - sums[width + k], width + k
+                while node:
+                    sums[node] += change
+                    node //= 2
     return "".join([*out, text[at:]]), leaf_chars, sums, touched
 
 
@@ -174,20 +188,20 @@ def n_tokens(sums: str = "sums") -> Column:
     return F.element_at(sums, 2)
 
 
-def redactions(pattern: str, replacement: str) -> Column:
-    """Edits that put a replacement for each match of a pattern in the text."""
-    found = F.regexp_extract_all(text_of(), F.lit(pattern), F.lit(0))
-    between = F.slice(F.split(text_of(), pattern, -1), F.lit(1), F.size(found))
-    step = F.aggregate(
-        F.zip_with(between, found, lambda a, b: F.struct(F.length(a).alias("gap"), F.length(b).alias("len"))),
-        F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as {EDITS})").alias("out")),
-        lambda s, x: F.struct((s["at"] + x["gap"] + x["len"]).alias("at"), F.concat(s["out"], F.array(F.struct((s["at"] + x["gap"]).alias("start"), (s["at"] + x["gap"] + x["len"]).alias("end"), F.lit(replacement).alias("text")))).alias("out")),
-    )
-    return F.when(text_of().rlike(pattern), step["out"]).otherwise(F.expr(f"cast(array() as {EDITS})"))
+def redactions(pattern: str, replacement: str, column: str = "text") -> Column:
+    """Edits that put a replacement for each match of a pattern (Python's ``re``) in the text."""
+    found = re.compile(pattern).finditer
+
+    @F.pandas_udf(EDITS)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([[{"start": m.start(), "end": m.end(), "text": replacement} for m in found(t or "")] for t in texts])
+
+    return run(column)
 
 
 #: What the query redacts: e-mail addresses and runs of three digits or more, with what stands between them.
-REDACTED = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+|[+(]?[0-9]{3}[0-9().+-]*"
+REDACTED = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+|[+(]?[0-9]{3}[0-9().+-]*"
 
 
 def op8_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,18 +16,21 @@ so any store that Spark knows will do, and a task that runs twice leaves one cop
 
 Encoding: a word that follows a single space has the same ids wherever it
 stands, so each distinct word is encoded once by the tokenizer and its ids
-are looked up after that. Texts where spaces meet other white space, or that
-hold the special token's string, are encoded whole.
+are looked up after that, in caches of a bounded number of bytes. Texts where spaces
+meet other white space, or that hold the special token's string, are encoded whole,
+as all are by a tokenizer file of another kind than that holds for.
 
 Defined cases: a null or empty text is the end id alone; null doc_ids come
 first; repeated doc_ids are documents of their own, ordered by the text's hash;
-an empty table gives empty files; where the sample is too small to train on, the
-dictionary is empty and frames are plain.
+a long text is a block of its own; an empty table gives empty files; where the sample
+is too small to train on, the dictionary is empty and frames are plain; only doc_id
+and text are read, whatever other columns are called.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -49,8 +52,10 @@ BLOCK_DOCS = 512
 BLOCK_BYTES = 4 << 20
 #: Blocks' worth of texts that are encoded together, so that a word common to them is looked up once.
 TOGETHER = 4
-#: Distinct words whose ids a worker remembers, at most.
-REMEMBERED = 1_000_000
+#: Bytes of words and their ids that a worker remembers, at most, what Python adds to each entry included, and characters of such a word.
+REMEMBERED = 256 << 20
+ENTRY = 250
+LONGEST = 64
 
 BLOCKS = "part int, block int, first_doc long, last_doc long, dict_hash string, doc_ids array<long>, n_ids array<int>, offsets array<long>, payload binary"
 #: Where words cannot be looked up one by one.
@@ -59,8 +64,17 @@ ODD = r"  |[\s\p{Z}\x{1c}-\x{1f}\x{85}] [\s\p{Z}\x{1c}-\x{1f}\x{85}]|<\|"
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+def _is_byte_level(path: str) -> bool:
+    """Whether a tokenizer file cuts texts as PIECES does: byte-level pieces, no normalizer, special tokens that begin with ``<|``."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    cut = spec.get("pre_tokenizer") or {}
+    level = cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+    return level and spec.get("normalizer") is None and spec["model"].get("type") == "BPE" and not spec["model"].get("dropout") and all(t["content"].startswith("<|") for t in spec.get("added_tokens") or [])
+
+
 class Encoder:
-    """Ids of many texts as bytes, by one byte-level tokenizer file."""
+    """Ids of many texts as bytes, by one tokenizer file."""
 
     _made: dict[str, Encoder] = {}
 
@@ -70,10 +84,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_word = _is_byte_level(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65_536 else "<u4")
         self.pieces = regex.compile(PIECES).findall
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.room = REMEMBERED
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -84,27 +100,32 @@ class Encoder:
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _remember(self, cache: dict[str, bytes], fresh: dict[str, bytes]) -> None:
+        if self.room > 0:
+            short = {k: v for k, v in fresh.items() if len(k) <= LONGEST}
+            cache.update(short)
+            self.room -= sum(map(len, short)) + sum(map(len, short.values())) + ENTRY * len(short)
+
     def _words(self, words: list[str]) -> list[bytes]:
         """Each word's ids; what is new is encoded piece by distinct piece."""
         got = list(map(self.words.get, words))
         new = [i for i, g in enumerate(got) if g is None]
         if new:
             cut = [self.pieces(words[i]) for i in new]
-            missing = list({p for ps in cut for p in ps if p not in self.parts})
+            known = {p: self.parts.get(p) for ps in cut for p in ps}
+            missing = [p for p, ids in known.items() if ids is None]
             fresh = dict(zip(missing, self._plain(missing)))
-            if len(self.parts) < REMEMBERED:
-                self.parts.update(fresh)
-                fresh = self.parts
-            else:
-                fresh.update((p, self.parts[p]) for ps in cut for p in ps if p in self.parts)
+            known.update(fresh)
+            self._remember(self.parts, fresh)
             for i, ps in zip(new, cut):
-                got[i] = b"".join([fresh[p] for p in ps])
-            if len(self.words) < REMEMBERED // 2:
-                self.words.update((words[i], got[i]) for i in new)
+                got[i] = b"".join([known[p] for p in ps])
+            self._remember(self.words, {words[i]: got[i] for i in new})
         return got
 
     def encode(self, texts: pa.Array) -> list[bytes | memoryview]:
         texts = texts.cast(pa.string()).fill_null("")
+        if not self.by_word:
+            return self._plain(texts.to_pylist())
         odd = pc.match_substring_regex(texts, ODD)
         cut = pc.split_pattern(pc.if_else(odd, "", texts), " ")
         bounds = cut.offsets.to_numpy()
@@ -118,8 +139,9 @@ class Encoder:
         data = memoryview(joined.buffers()[2] or b"")
         ends = np.frombuffer(joined.buffers()[1], "<i8")[bounds].tolist()
         out: list[bytes | memoryview] = [data[a:b] for a, b in zip(ends, ends[1:])]
-        for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)):
-            out[i] = self._plain([texts[i].as_py()])[0]
+        whole = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        for i, encoded in zip(whole, self._plain(texts.take(pa.array(whole)).to_pylist())):
+            out[i] = encoded
         return out
 
 
