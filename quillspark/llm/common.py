@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..sources.shared import shared_path as shared_dir
 from ..sources.shared import written as saved
 
-__all__ = ["WORD", "join_counted", "least_hashes", "packed", "saved", "shared_dir", "table", "text_of", "word_count"]
+__all__ = ["WORD", "identity", "join_counted", "least_hashes", "packed", "saved", "shared_dir", "table", "text_of", "word_count"]
 
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -28,6 +28,15 @@ def packed(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *columns)
 
 
+def identity(docs: DataFrame) -> list[Column]:
+    """k1, k2: 128 bits that tell rows apart by all columns and by which are null."""
+    values: list[Column] = []
+    for field in docs.schema:
+        c = F.col(f"`{field.name}`")
+        values += [c.isNull(), F.to_json(F.struct(c)) if "map<" in field.dataType.simpleString() else c]
+    return [F.xxhash64(F.lit(k), *values).alias(f"k{k}") for k in (1, 2)]
+
+
 def join_counted(rows: DataFrame, facts: DataFrame, keys: list[str], how: str = "inner", n: str = "n") -> DataFrame:
     """rows joined with a saved table of facts, one row a key, that says in ``n`` how many rows have it (dropped).
 

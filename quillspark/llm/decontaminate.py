@@ -14,11 +14,14 @@ the shingles themselves.
 
 Small benchmarks (``BROADCAST_SHINGLES`` shingles in all, at most) are broadcast and
 searched where the documents are read. Beyond that, sketches and the documents'
-hashes below the bounds meet in a shuffled join.
+hashes below the bounds meet in a shuffled join, and a text is sent once for every
+``TOGETHER`` of its candidates to be held against them.
 
 Defined cases: a null or empty text has no shingles; a text of one to four words
-is one shingle; an item without words contaminates nothing; a null item_id is
-kept; repeated items are found each; an empty table gives no rows.
+is one shingle; a long text is searched whole, once; an item without words contaminates
+nothing; a null item_id is kept; repeated items, and items that tie, are found each;
+repeated rows are found each; an empty table gives no rows; columns of the documents
+may have any name, only ``hits`` is replaced.
 """
 
 from __future__ import annotations
@@ -31,12 +34,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, table, text_of
+from .common import join_counted, packed, saved, table, text_of
 
 SHINGLE = 5
 CONTAINMENT = 0.8
 #: Shingles of all items up to which the benchmark is broadcast.
 BROADCAST_SHINGLES = 2_000_000
+#: Candidates of a text that are verified together.
+TOGETHER = 256
 #: Distinct words whose hash a worker remembers, at most.
 REMEMBERED = 500_000
 
@@ -169,19 +174,28 @@ def _shuffled_search(docs: DataFrame, items: DataFrame) -> DataFrame:
     sketch = saved(_hashed(items, "place").withColumn("part", F.floor(F.log2("size"))), "sketch")
     # one row for each power of two
     bounds = [(needed(r.size), r.bound) for r in sketch.groupBy("part").agg(F.min("size").alias("size"), F.max("hash").alias("bound")).collect()]
-    named = docs.withColumn("_digest", F.md5(text_of().cast("binary")))
-    texts = saved(named.select("_digest", "text").groupBy("_digest").agg(F.first("text").alias("text")), "texts")
-    pairs = _hashed(texts, "_digest", bounds).select("_digest", "hash").join(sketch.select("place", "hash"), "hash").select("_digest", "place").distinct()
+    named = packed(docs, F.md5(text_of().cast("binary")).alias("digest"))
+    texts = saved(docs.select(F.md5(text_of().cast("binary")).alias("digest"), "text").groupBy("digest").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("n")), "texts")
+    pairs = saved(_hashed(texts, "digest", bounds).select("digest", "hash").join(sketch.select("place", "hash"), "hash").select("digest", "place").distinct(), "candidates")
+    lots = pairs.groupBy("digest").agg(F.ceil(F.count(F.lit(1)) / TOGETHER).alias("lots"))
+    listed = pairs.join(lots, "digest").join(items.select("place", "item_id", F.col("text").alias("item")), "place")
+    listed = listed.groupBy("digest", F.pmod(F.xxhash64("place"), "lots").alias("lot")).agg(F.collect_list(F.struct("item_id", "item")).alias("items"))
 
-    @F.pandas_udf("struct<held:int,size:int>")
-    def verify(text: pd.Series, item: pd.Series) -> pd.DataFrame:
-        sets = [(set(shingles(words_of(a))), set(shingles(words_of(b)))) for a, b in zip(text, item)]
-        return pd.DataFrame({"held": [len(a & b) for a, b in sets], "size": [len(b) for _, b in sets]}, dtype="int32")
-
-    met = pairs.join(texts, "_digest").join(items.select("place", "item_id", F.col("text").alias("item")), "place")
-    met = met.select("_digest", "item_id", verify("text", "item").alias("v")).filter(F.col("v.held") >= F.greatest(F.lit(1), F.ceil(F.lit(CONTAINMENT) * F.col("v.size") - 1e-9)))
-    hits = met.groupBy("_digest").agg(F.collect_list(F.struct("item_id", "v.held", "v.size")).alias("hits"))
-    return named.join(hits, "_digest", "left").withColumn("hits", F.coalesce("hits", F.expr(f"cast(array() as {HITS})"))).drop("_digest")
+    @F.pandas_udf(HITS)
+    def verify(texts: pd.Series, candidates: pd.Series) -> pd.Series:
+        out = []
+        for text, own in zip(texts, candidates):
+            held, hits = set(shingles(words_of(text))), []
+            for x in own:
+                item = set(shingles(words_of(x["item"])))
+                if len(item & held) >= needed(len(item)):
+                    hits.append({"item_id": x["item_id"], "held": len(item & held), "size": len(item)})
+            out.append(hits)
+        return pd.Series(out)
+
+    found = listed.join(texts, "digest").select("digest", "n", verify("text", "items").alias("hits"))
+    hits = saved(found.groupBy("digest").agg(F.flatten(F.collect_list("hits")).alias("hits"), F.first("n").alias("n")), "hits")
+    return join_counted(named, hits, ["digest"], "left").select("row.*", F.coalesce("hits", F.expr(f"cast(array() as {HITS})")).alias("hits"))
 
 
 def search_benchmark(docs: DataFrame, items: DataFrame, broadcast_shingles: int = BROADCAST_SHINGLES) -> DataFrame:
@@ -197,8 +211,7 @@ def search_benchmark(docs: DataFrame, items: DataFrame, broadcast_shingles: int
 
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of docs that no item contaminates."""
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), "text")
-    return search_benchmark(rows, items).filter(F.size("hits") == 0).select("_row.*")
+    return search_benchmark(packed(docs, "text"), items).filter(F.size("hits") == 0).select("row.*")
 
 
 def op5_contained_items(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import join_counted, saved
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -16,20 +16,21 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of edges (a, b); root is the component's least node.
 
     Alternates large-star and small-star steps until no edge changes. Each step
-    joins edges with a node's least neighbour (a partial aggregate), never
-    gathers a node's neighbours, and is written to the shared folder. Loops and
-    repeated edges are allowed; no edges give no rows.
+    joins edges with a node's least neighbour (a partial aggregate; hot nodes are
+    broadcast), never gathers a node's neighbours, and is written to the shared
+    folder. Loops and repeated edges are allowed; no edges give no rows.
     """
     a, b = F.col("a"), F.col("b")
     now = saved(edges.filter(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
     mark = _mark(now)
     while mark[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        least = saved(least.select("u", F.least("u", "m").alias("m"), "n"), "least")
+        large = join_counted(both, least, ["u"]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = saved(large, "large-star")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
+        low = saved(large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")), "low")
+        small = join_counted(large, low, ["u"]).filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
         now = saved(small.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "small-star")
         before, mark = mark, _mark(now)
         if mark == before:

@@ -35,10 +35,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, join_counted, packed, saved, table, text_of, word_count
+from .common import WORD, identity, join_counted, packed, saved, table, text_of, word_count
 
 BLOCK_WORDS = 1024
 N_SHARDS = 64
@@ -196,15 +196,6 @@ def slots(plan: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED) ->
     return dealt_out.mapInPandas(fill, "shard int, position long, source_id long, pass_no long, block long, take long")
 
 
-def identity(docs: DataFrame) -> list[Column]:
-    """k1, k2: 128 bits that tell rows apart by all columns and by which are null."""
-    values: list[Column] = []
-    for field in docs.schema:
-        c = F.col(f"`{field.name}`")
-        values += [c.isNull(), F.to_json(F.struct(c)) if "map<" in field.dataType.simpleString() else c]
-    return [F.xxhash64(F.lit(k), *values).alias(f"k{k}") for k in (1, 2)]
-
-
 def mix(docs: DataFrame, weights: DataFrame | None = None, block_words: int = BLOCK_WORDS, n_shards: int = N_SHARDS, most: float = MOST_TIMES, seed: int = SEED) -> Mixture:
     """Plans the mixture of docs (doc_id, text, source). ``weights`` is a table (source, weight), 0 where it has none; without it sources weigh 1, 2, 3, repeating."""
     named = [F.coalesce(F.col("source").cast("string"), F.lit("")).alias("src"), F.col("source").isNotNull().alias("known")]

@@ -153,14 +153,13 @@ def references(docs: DataFrame) -> DataFrame:
                 kept = [(w.decode("utf-8", "replace"), n) for w, n in bare.items() if _has_letter(w)]
                 rest = bare.total() - sum(n for _, n in kept)
                 rows = [("w", w, n) for w, n in kept] + [("rest", "", rest), ("docs", "", seen[lang])] + [("c", str(k), n) for k, n in enumerate(chars[lang].tolist())]
-                yield pd.DataFrame(rows, columns=["kind", "item", "n"]).assign(lang=lang[0], known=lang[1])
+                yield pd.DataFrame(rows, columns=["kind", "item", "n"]).assign(lang=lang)
             words.clear(), chars.clear(), seen.clear()
 
         for batch in batches:
             held = 0
-            for text, *lang in zip(batch["text"], batch["lang"], batch["known"]):
+            for text, lang in zip(batch["text"], batch["lang"]):
                 own, data, counts = base(text)
-                lang = tuple(lang)
                 seen[lang] += 1
                 if not counts[-1]:
                     held += len(own)
@@ -172,20 +171,19 @@ def references(docs: DataFrame) -> DataFrame:
                         yield from counted()
         yield from counted()
 
-    counted = docs.selectExpr("text", *LANGUAGE).mapInPandas(count, "kind string, item string, n long, lang string, known boolean")
-    counted = saved(counted.groupBy("lang", "known", "kind", "item").agg(F.sum("n").alias("n")), "counts")
-    language = ["lang", "known"]
-    order = Window.partitionBy(*language).orderBy(F.desc("n"), "item")
+    counted = docs.select("text", F.col("lang").cast("string").alias("lang")).mapInPandas(count, "kind string, item string, n long, lang string")
+    counted = saved(counted.groupBy("lang", "kind", "item").agg(F.sum("n").alias("n")), "counts")
+    order = Window.partitionBy("lang").orderBy(F.desc("n"), "item")
     top = counted.filter("kind = 'w'").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= RANKS[-1])
-    top = top.groupBy(*language).agg(F.array_sort(F.collect_list(F.struct("rank", "item", "n"))).alias("top"))
-    sums = counted.groupBy(*language).agg(
+    top = top.groupBy(*map(F.expr, LANGUAGE)).agg(F.array_sort(F.collect_list(F.struct("rank", "item", "n"))).alias("top"))
+    sums = counted.groupBy(*map(F.expr, LANGUAGE)).agg(
         F.sum(F.when(F.col("kind") == "docs", F.col("n"))).alias("n"),
         F.array(*[F.coalesce(F.sum(F.when((F.col("kind") == "c") & (F.col("item") == str(k)), F.col("n"))), F.lit(0)) for k in range(CLASSES)]).alias("chars"),
         F.coalesce(F.sum(F.when(F.col("kind").isin("w", "rest"), F.col("n"))), F.lit(0)).alias("total"),
     )
     none = F.expr("cast(array() as array<struct<rank:int,item:string,n:long>>)")
-    rows = sums.join(top, language, "left").withColumn("top", F.coalesce("top", none))
-    return saved(rows.select(*language, "n", "chars", F.col("top.item").alias("words"), F.col("top.n").alias("counts"), "total"), "references")
+    rows = sums.join(top, ["lang", "known"], "left").withColumn("top", F.coalesce("top", none))
+    return saved(rows.select("lang", "known", "n", "chars", F.col("top.item").alias("words"), F.col("top.n").alias("counts"), "total"), "references")
 
 
 def judge(text: str | None, reference: Reference | None) -> tuple:

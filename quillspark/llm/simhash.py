@@ -9,15 +9,16 @@ segments may differ in one bit and the whole ring in two; that prunes a
 candidate before its full Hamming distance counts as a link.
 
 Work is done on distinct fingerprints, so exact copies never meet one another.
-A key that at most ``BUCKET`` fingerprints share is compared pair by pair. A more
-crowded one is linked exactly without pairs: its members send themselves and each
-one-bit change outside the shared chain to a pivot; two of them differ in two
-bits or fewer just when they share a pivot, and each pivot links its members to
-its least one.
+A key that at most ``BUCKET`` fingerprints share is compared pair by pair. The members
+of more crowded ones are linked exactly without pairs: each sends itself and its 64
+one-bit changes to a pivot; two of them differ in two bits or fewer just when they
+share a pivot, a pivot has 65 members at most, and each links its members to its
+least one. So a fingerprint costs 65 rows at most, be there ever so many.
 
 Defined cases: a null or empty text has fingerprint zero and is linked like any
-other; a null doc_id gets its component's least known id, or null if it has none;
-repeated rows share a component; an empty table gives no rows.
+other; a long text is read once, in pieces; a null doc_id gets its component's least
+known id, or null if it has none; repeated rows and ties share a component; an empty
+table gives no rows; columns of the input may have any name.
 """
 
 from __future__ import annotations
@@ -29,8 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import similar
-from .common import saved, table, text_of
+from .common import identity, join_counted, packed, saved, table, text_of
 from .graph import components
 
 #: Words of a shingle, and the XXH64 seed.
@@ -45,25 +45,34 @@ EQUAL = -(-SEGMENTS // MOST_BITS) - 1
 BUCKET = 48
 
 
-def fingerprint(text: str | None) -> int:
-    """The unsigned fingerprint of one text."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 of each shingle of a text, in order, repeats included; fewer words are one shingle, none have none."""
     import xxhash
 
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # of bytes: ASCII letters and ASCII white space only
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     joined = b" ".join(words)
     starts = np.zeros(len(words) + 1, "int64")
     np.cumsum(np.fromiter(map(len, words), "int64", len(words)) + 1, out=starts[1:])
-    last = min(SHINGLE, len(words))
+    last = min(shingle, len(words))
     digest, begin, end = xxhash.xxh64_intdigest, starts[: len(words) - last + 1].tolist(), (starts[last:] - 1).tolist()
-    hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(begin, end)], "<u8")
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(begin, end)], "<u8")
+
+
+def majority(hashes: np.ndarray) -> int:
+    """Which of 64 bits are set in over half of the hashes."""
     counts = np.zeros(64, "int64")
     for k in range(0, len(hashes), 1 << 16):
         counts += np.unpackbits(hashes[k : k + (1 << 16)].view("u1").reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype="int64")
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str | None) -> int:
+    """The unsigned fingerprint of one text."""
+    return majority(shingle_hashes(text, SHINGLE))
+
+
 def fingerprints(docs: DataFrame, name: str = "fp") -> DataFrame:
     """Adds the fingerprint's 64 bits as a long."""
 
@@ -95,9 +104,9 @@ def chain_keys(fps: DataFrame) -> DataFrame:
 def links(fps: DataFrame) -> DataFrame:
     """(a, b) that connect just those distinct fingerprints within MOST_BITS of each other, directly or by steps."""
     keys = chain_keys(fps)
-    shared = keys.groupBy("start", "chain").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    met = saved(keys.join(shared, ["start", "chain"]), "chains")
-    few, many = met.filter(F.col("n") <= BUCKET), met.filter(F.col("n") > BUCKET)
+    shared = saved(keys.groupBy("start", "chain").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").withColumn("times", F.col("n")), "shared-chains")
+    met = saved(join_counted(keys, shared, ["start", "chain"]), "chains")
+    few, many = met.filter(F.col("times") <= BUCKET), met.filter(F.col("times") > BUCKET)
 
     # the longest chain that may differ in one bit, from each start
     nearly = F.element_at(F.array(*[F.lit(_chain(k, SEGMENTS - 1)) for k in range(SEGMENTS)]), F.col("start") + 1)
@@ -111,32 +120,26 @@ def links(fps: DataFrame) -> DataFrame:
         return F.flatten(F.transform(members, with_later))
 
     by_pair = few.groupBy("start", "chain").agg(F.collect_list("fp").alias("fps")).withColumn("nearly", nearly).select(F.inline(pairs(F.col("fps"))))
-    changes = [F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.lit(b) + WIDTH * F.col("start"), F.lit(64)).cast("int")) for b in range(WIDTH * EQUAL, 64)]
-    pivots = many.select("start", "fp", F.explode(F.array(F.lit(0).cast("long"), *changes)).alias("change")).select("start", "fp", F.col("fp").bitwiseXOR(F.col("change")).alias("pivot"))
-    centre = pivots.groupBy("start", "pivot").agg(F.min("fp").alias("b"))
-    by_pivot = pivots.join(centre, ["start", "pivot"]).select(F.col("fp").alias("a"), "b").filter("a != b")
+    changes = [F.lit(0).cast("long"), *[F.lit((1 << b) - (1 << 64 if b == 63 else 0)).cast("long") for b in range(64)]]
+    pivots = many.select("fp").distinct().select("fp", F.explode(F.array(*changes)).alias("change")).select("fp", F.col("fp").bitwiseXOR(F.col("change")).alias("pivot"))
+    centre = pivots.groupBy("pivot").agg(F.min("fp").alias("b"), F.count(F.lit(1)).alias("members")).filter("members > 1")
+    by_pivot = pivots.join(centre, "pivot").select(F.col("fp").alias("a"), "b").filter("a != b")
     return by_pair.unionByName(by_pivot)
 
 
 def classes(prints: DataFrame, link: Callable[[DataFrame], DataFrame] = links) -> DataFrame:
-    """(fp, root, component_id) for each distinct fp of (doc_id, fp); root names the class by its least fingerprint."""
-    nodes = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
+    """(fp, root, component_id, n) for each distinct fp of (doc_id, fp); root names the class by its least fingerprint, n rows have the fp."""
+    nodes = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "fingerprints")
     roots = components(link(nodes.select("fp"))).withColumnRenamed("node", "fp")
     rooted = saved(nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return saved(rooted.join(least, "root").select("fp", "root", "component_id"), "classes")
+    least = saved(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("members")), "components")
+    return saved(join_counted(rooted, least, ["root"], n="members").select("fp", "root", "component_id", "n"), "classes")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, fp, root, component_id) for each row of docs."""
     prints = saved(fingerprints(docs.select("doc_id", "text")).select("doc_id", "fp"), "prints")
-    return prints.join(classes(prints), "fp").select("doc_id", "fp", "root", "component_id")
-
-
-def similar_documents(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp, root, component_id) for each row of docs, by five-word shingles of similarity 0.8 or more; fp is the digest of the row's shingles."""
-    prints = saved(similar.prepared(docs.select("doc_id", "text")), "prints")
-    return prints.select("doc_id", "fp").join(classes(prints.select("doc_id", "fp"), lambda _: similar.links(docs, prints)), "fp").select("doc_id", "fp", "root", "component_id")
+    return join_counted(prints, classes(prints), ["fp"]).select("doc_id", "fp", "root", "component_id")
 
 
 def one_of_each(docs: DataFrame, find: Callable[[DataFrame], DataFrame] = near_duplicates, prints: Callable[[DataFrame, str], DataFrame] = fingerprints) -> DataFrame:
@@ -152,14 +155,15 @@ def one_of_each(docs: DataFrame, find: Callable[[DataFrame], DataFrame] = near_d
     kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "fp", "root").distinct()
     kept = saved(kept.alias("k").join(often.alias("o"), F.col("k.doc_id").eqNullSafe(F.col("o.doc_id"))).select("k.*", "n"), "kept")
     sure, doubtful = (F.col("doc_id").isNotNull() & (F.col("n") == 1)), kept.filter("doc_id is null or n > 1")
-    single = docs.join(kept.filter(sure).select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    rows = packed(docs, "doc_id", "text", *identity(docs))
+    single = rows.join(kept.filter(sure).select("doc_id"), "doc_id", "left_semi").select("row.*")
     if doubtful.isEmpty():
         return single
-    ids = doubtful.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), F.col("root").alias("_root"))
-    rows = prints(docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi"), "_own")
-    rows = rows.join(ids, rows["doc_id"].eqNullSafe(ids["_id"]) & (rows["_own"] == ids["_fp"]))
-    one = rows.groupBy("_root").agg(F.min_by(F.struct(*docs.columns), F.struct(text_of(), F.xxhash64(*docs.columns))).alias("_row"))
-    return single.unionByName(one.select("_row.*"))
+    ids = doubtful.select(F.col("doc_id").alias("id"), F.col("fp").alias("id_fp"), F.col("root"))
+    own = prints(rows.join(ids, rows["doc_id"].eqNullSafe(ids["id"]), "left_semi"), "fp")
+    own = own.join(ids, own["doc_id"].eqNullSafe(ids["id"]) & (own["fp"] == ids["id_fp"]))
+    one = own.groupBy("root").agg(F.min_by("row", F.struct(text_of(), "k1", "k2")).alias("row"))
+    return single.unionByName(one.select("row.*"))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
