@@ -23,7 +23,7 @@ named like an added one are replaced.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -161,26 +161,32 @@ def edit(text: str, edits: list[tuple[int, int, str]], leaf_chars: np.ndarray, s
     return "".join([*out, text[at:]]), leaf_chars, sums, touched
 
 
-def apply_edits(trees: DataFrame, tokenizer: str) -> DataFrame:
-    """Rows of build_trees with a column ``edits``, after their edits: text, leaf_chars and sums anew, ``n_edits`` and ``encoded_chars``."""
+def apply_edits(trees: DataFrame, tokenizer: str, find: Callable[[str], list[tuple[int, int, str]]] | None = None) -> DataFrame:
+    """Rows of build_trees after edits: text, leaf_chars and sums anew, ``n_edits`` and ``encoded_chars``.
+
+    The edits are those of the column ``edits`` (structs of start, end, text), or those that ``find`` gives for a text.
+    """
     added = ["text", "leaf_chars", "sums", "n_edits", "encoded_chars"]
 
     @F.pandas_udf("struct<text:string,leaf_chars:array<int>,sums:array<bigint>,n_edits:int,encoded_chars:bigint>")
     def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         encoder = Encoder.of(tokenizer)
-        for texts, leaves, sums, edits in batches:
+        for texts, leaves, sums, *edits in batches:
             rows = []
-            for text, own, total, changes in zip(texts, leaves, sums, edits):
-                changes = [(c["start"], c["end"], c["text"] or "") for c in (changes if changes is not None else [])]
+            for k, (text, own, total) in enumerate(zip(texts, leaves, sums)):
+                if find is None:
+                    changes = [(c["start"], c["end"], c["text"] or "") for c in (edits[0][k] if edits[0][k] is not None else [])]
+                else:
+                    changes = find(text or "")
                 if changes:
-                    rows.append((*edit(text or "", changes, np.asarray(own), np.asarray(total), lambda x: count_all(encoder, x)),))
-                    rows[-1] = (*rows[-1][:3], len(changes), rows[-1][3])
+                    text, own, total, touched = edit(text or "", changes, np.asarray(own), np.asarray(total), lambda x: count_all(encoder, x))
+                    rows.append((text, own, total, len(changes), touched))
                 else:
                     rows.append((text, own, total, 0, 0))
             yield pd.DataFrame(rows, columns=added)
 
     keep = [c for c in trees.columns if c not in (*added, "edits", "_e")]
-    return trees.withColumn("_e", run("text", "leaf_chars", "sums", "edits")).select(*keep, "_e.*")
+    return trees.withColumn("_e", run("text", "leaf_chars", "sums", *(["edits"] if find is None else []))).select(*keep, "_e.*")
 
 
 def n_tokens(sums: str = "sums") -> Column:
@@ -188,16 +194,10 @@ def n_tokens(sums: str = "sums") -> Column:
     return F.element_at(sums, 2)
 
 
-def redactions(pattern: str, replacement: str, column: str = "text") -> Column:
-    """Edits that put a replacement for each match of a pattern (Python's ``re``) in the text."""
-    found = re.compile(pattern).finditer
-
-    @F.pandas_udf(EDITS)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([[{"start": m.start(), "end": m.end(), "text": replacement} for m in found(t or "")] for t in texts])
-
-    return run(column)
+def redactions(pattern: str, replacement: str) -> Callable[[str], list[tuple[int, int, str]]]:
+    """Edits that put a replacement for each match of a pattern (Python's ``re``) in a text."""
+    matches = re.compile(pattern).finditer
+    return lambda text: [(*m.span(), replacement) for m in matches(text)]
 
 
 #: What the query redacts: e-mail addresses and runs of three digits or more, with what stands between them.
@@ -210,8 +210,7 @@ def op8_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     trees = saved(build_trees(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer), "token-trees")
-    with_edits = trees.withColumn("edits", redactions(REDACTED, "[redacted]")).withColumn("n_before", n_tokens())
-    edited = apply_edits(with_edits, tokenizer)
+    edited = apply_edits(trees.withColumn("n_before", n_tokens()), tokenizer, redactions(REDACTED, "[redacted]"))
     return edited.select("doc_id", F.length(text_of()).cast("long").alias("n_chars"), "n_before", n_tokens().alias("n_tokens"), F.col("n_edits").cast("long").alias("n_edits"), "encoded_chars")
 
 

@@ -33,7 +33,7 @@ import hashlib
 import json
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,9 +53,11 @@ BLOCK_BYTES = 4 << 20
 #: Blocks' worth of texts that are encoded together, so that a word common to them is looked up once.
 TOGETHER = 4
 #: Bytes of words and their ids that a worker remembers, at most, what Python adds to each entry included, and characters of such a word.
-REMEMBERED = 256 << 20
+REMEMBERED = 320 << 20
 ENTRY = 250
 LONGEST = 64
+#: New words that are encoded at a time.
+CHUNK = 1 << 15
 
 BLOCKS = "part int, block int, first_doc long, last_doc long, dict_hash string, doc_ids array<long>, n_ids array<int>, offsets array<long>, payload binary"
 #: Where words cannot be looked up one by one.
@@ -87,8 +89,7 @@ class Encoder:
         self.by_word = _is_byte_level(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65_536 else "<u4")
         self.pieces = regex.compile(PIECES).findall
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # of words and of their pieces
         self.room = REMEMBERED
 
     @classmethod
@@ -100,26 +101,28 @@ class Encoder:
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _remember(self, cache: dict[str, bytes], fresh: dict[str, bytes]) -> None:
+    def _remember(self, words: Iterable[str], ids: Iterable[bytes]) -> None:
         if self.room > 0:
-            short = {k: v for k, v in fresh.items() if len(k) <= LONGEST}
-            cache.update(short)
-            self.room -= sum(map(len, short)) + sum(map(len, short.values())) + ENTRY * len(short)
+            for word, own in zip(words, ids):
+                if len(word) <= LONGEST:
+                    self.known[word] = own
+                    self.room -= len(word) + len(own) + ENTRY
 
     def _words(self, words: list[str]) -> list[bytes]:
         """Each word's ids; what is new is encoded piece by distinct piece."""
-        got = list(map(self.words.get, words))
+        known = self.known
+        got = list(map(known.get, words))
         new = [i for i, g in enumerate(got) if g is None]
-        if new:
-            cut = [self.pieces(words[i]) for i in new]
-            known = {p: self.parts.get(p) for ps in cut for p in ps}
-            missing = [p for p, ids in known.items() if ids is None]
+        for k in range(0, len(new), CHUNK):
+            own = new[k : k + CHUNK]
+            cut = [self.pieces(words[i]) for i in own]
+            missing = list({p for ps in cut for p in ps if p not in known})
             fresh = dict(zip(missing, self._plain(missing)))
-            known.update(fresh)
-            self._remember(self.parts, fresh)
-            for i, ps in zip(new, cut):
-                got[i] = b"".join([known[p] for p in ps])
-            self._remember(self.words, {words[i]: got[i] for i in new})
+            for i, ps in zip(own, cut):
+                got[i] = b"".join([fresh[p] if p in fresh else known[p] for p in ps])
+            self._remember(fresh, fresh.values())
+            several = [i for i, ps in zip(own, cut) if len(ps) > 1]
+            self._remember([words[i] for i in several], [got[i] for i in several])
         return got
 
     def encode(self, texts: pa.Array) -> list[bytes | memoryview]:

@@ -454,7 +454,10 @@ def test_edit_counts_by_brute_force(spark, texts, tokenizer):
     edges = spark.createDataFrame([(1, None), (2, ""), (None, "call 555-1234 now"), (3, "x" * 5000), (3, "x" * 5000)], "doc_id long, text string")
     trees = token_counts.build_trees(clashing(edges), tokenizer[0])
     assert trees.columns == ["doc_id", "text", *CLASH, "leaf_chars", "sums"]
-    after = token_counts.apply_edits(trees.withColumn("edits", token_counts.redactions(token_counts.REDACTED, "[r]")), tokenizer[0]).select("doc_id", "text", token_counts.n_tokens().alias("n")).collect()
+    told = F.when(F.col("text") == "call 555-1234 now", F.array(F.struct(F.lit(5).alias("start"), F.lit(13).alias("end"), F.lit("[r]").alias("text"))))
+    after = token_counts.apply_edits(trees.withColumn("edits", told), tokenizer[0]).select("doc_id", "text", token_counts.n_tokens().alias("n")).collect()
+    found = token_counts.apply_edits(trees, tokenizer[0], token_counts.redactions(token_counts.REDACTED, "[r]")).select("doc_id", "text", token_counts.n_tokens().alias("n")).collect()
+    assert sorted(map(str, after)) == sorted(map(str, found))
     assert sorted((r.doc_id or 0, r.text or "", r.n) for r in after) == sorted((d or 0, t, count(t)) for d, t in [(1, ""), (2, ""), (None, "call [r] now"), (3, "x" * 5000), (3, "x" * 5000)])
     assert token_counts.build_trees(edges.limit(0), tokenizer[0]).count() == 0
 
@@ -470,7 +473,7 @@ def test_caches_are_bounded(monkeypatch, tokenizer, texts):
     own = list(texts.values())[:60] + ["y" * 3000 + " z", "one two  three", "é" * 200]
     for _ in range(2):
         assert [bytes(x) for x in encoder.encode(pa.array(own))] == encoder._plain(own)
-    assert encoder.room < 100_000 and sum(map(len, encoder.words)) < 200_000 and not any(len(w) > token_files.LONGEST for w in encoder.words)
+    assert encoder.room < 100_000 and sum(map(len, encoder.known)) < 200_000 and not any(len(w) > token_files.LONGEST for w in encoder.known)
     other = public_tokenizers.path("word_bpe_49k.json")
     plain = Tokenizer.from_file(other)
     assert [np.frombuffer(x, token_files.Encoder(other).dtype).tolist() for x in token_files.Encoder(other).encode(pa.array(own))] == [plain.encode(t, add_special_tokens=False).ids for t in own]
