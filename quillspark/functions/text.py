@@ -6,6 +6,8 @@ and Python agree on them; no function here leaves the JVM.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,8 +26,31 @@ TERMS = (
 
 
 def strip(text: Column) -> Column:
-    """Without white space at either end; a run at the end is looked at once, from where it begins."""
-    return F.regexp_replace(text, rf"^{WS}+|(?<!{WS}){WS}+\z", "")
+    """Without white space at either end; only a text that has some there is searched."""
+    ends = F.concat(F.left(text, F.lit(1)), F.right(text, F.lit(1)))
+    return F.when(ends.rlike(WS), F.regexp_replace(text, rf"^{WS}+|(?<!{WS}){WS}+\z", "")).otherwise(text)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out once, however often body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def prefix_sums(numbers: Column) -> Column:
+    """For each number the sum up to it: sums of blocks first, then within a block, so no array grows as it is made."""
+    add = lambda a, n: a + n
+    zero = F.lit(0).cast("long")
+
+    def by_block(s: Column) -> Column:
+        sums = F.transform(s["blocks"], lambda b: F.aggregate(b, zero, add))
+        return let(F.struct(s["blocks"].alias("blocks"), sums.alias("sums")), lambda t: F.flatten(F.transform(t["blocks"], lambda b, i: let(F.aggregate(F.slice(t["sums"], F.lit(1), i), zero, add), lambda before: F.transform(b, lambda x, k: before + F.aggregate(F.slice(b, F.lit(1), k + 1), zero, add))))))
+
+    def blocks(s: Column) -> Column:
+        width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(s))).cast("int"))
+        firsts = F.sequence(F.lit(1), F.greatest(F.size(s), F.lit(1)), width)
+        return F.struct(F.transform(firsts, lambda k: F.slice(s, k, width)).alias("blocks"))
+
+    return let(numbers, lambda s: let(blocks(s), by_block))
 
 
 def split_words(text: Column) -> Column:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import WS, WS_IN, count_sentences, extract_keywords, extract_topic, split_words, strip
+from ..functions.text import WS, WS_IN, count_sentences, extract_keywords, extract_topic, let, prefix_sums, split_words, strip
 
 TARGET, SHORTEST, LONGEST = 2000, 1000, 3500
 
@@ -29,9 +32,9 @@ def word_window_chunks(pages: DataFrame, size: int = 800, overlap: int = 120) ->
 def match_starts(text: Column, pattern: str) -> Column:
     """Where each non-overlapping match of a pattern starts, from 0."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    both = F.zip_with(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), found, lambda gap, hit: F.struct(F.length(gap).alias("gap"), F.length(hit).alias("hit")))
-    none = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("out"))
-    return F.aggregate(both, none, lambda s, x: F.struct((s["at"] + x["gap"] + x["hit"]).alias("at"), F.concat(s["out"], F.array(s["at"] + x["gap"])).alias("out")))["out"]
+    lengths = lambda s: F.zip_with(F.slice(s["gaps"], F.lit(1), F.size(s["found"])), s["found"], lambda gap, hit: (F.length(gap) + F.length(hit)).cast("long"))
+    starts = lambda s: F.zip_with(prefix_sums(lengths(s)), s["found"], lambda end, hit: (end - F.length(hit)).cast("int"))
+    return let(F.struct(F.split(text, pattern, -1).alias("gaps"), found.alias("found")), starts)
 
 
 def section_boundaries(text: Column) -> Column:
@@ -40,13 +43,18 @@ def section_boundaries(text: Column) -> Column:
     return F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0)), *starts, F.array(F.length(text)))))
 
 
-def sections(docs: DataFrame, shortest: int = SHORTEST) -> DataFrame:
-    """Sections of (doc, text): doc, section (their number), text. Short ones are dropped, not merged."""
+def _sections(docs: DataFrame, shortest: int) -> DataFrame:
+    """docs (doc, text, ...) with ``sections``, those that are long enough. Short ones are dropped, not merged."""
     # an empty text has no section; a filter on the boundaries themselves would look for them twice
     found = docs.filter(F.length("text") > 0).withColumn("_at", section_boundaries(F.col("text")))
     cut = F.transform(F.sequence(F.lit(1), F.size("_at") - 1), lambda k: F.substring(F.col("text"), F.get("_at", k - 1) + 1, F.get("_at", k) - F.get("_at", k - 1)))
-    rows = found.select(*[c for c in docs.columns if c != "text"], F.posexplode(cut).alias("section", "text"))
-    return rows.filter(F.length("text") >= shortest)
+    return found.withColumn("sections", F.filter(cut, lambda x: F.length(x) >= shortest)).drop("_at")
+
+
+def sections(docs: DataFrame, shortest: int = SHORTEST) -> DataFrame:
+    """Sections of (doc, text): doc, section (their number), text."""
+    keep = [c for c in docs.columns if c != "text"]
+    return _sections(docs, shortest).select(*keep, F.posexplode("sections").alias("section", "text"))
 
 
 def pack_paragraphs(text: Column, target: int = TARGET) -> Column:
@@ -62,32 +70,58 @@ def pack_paragraphs(text: Column, target: int = TARGET) -> Column:
     return F.aggregate(F.split(text, "\n\n", -1), start, add, lambda s: F.concat(s["out"], F.array(strip(s["cur"]))))
 
 
-def chunk_page_range(chunks: DataFrame, pages: DataFrame) -> DataFrame:
-    """(doc, chunk_no, page_range): the doc's pages that hold the chunk's first or last 100 characters, else its first page.
+def greedy_pack(lengths: Column, target: int = TARGET) -> Column:
+    """How many of a text's paragraphs (by their lengths) each packed part takes, in order: linear, for texts of very many paragraphs."""
 
-    chunks: doc, chunk_no, body. Only equal docs meet, and only the two probes are shuffled.
-    """
-    probes = chunks.select("doc", "chunk_no", F.left("body", F.lit(100)).alias("head"), F.right("body", F.lit(100)).alias("tail"))
-    met = probes.join(pages.select("doc", "page", "text"), "doc").select("doc", "chunk_no", "page", (F.contains("text", F.col("head")) | F.contains("text", F.col("tail"))).alias("holds"))
-    held = met.groupBy("doc", "chunk_no").agg(F.array_sort(F.collect_list(F.when(F.col("holds"), F.col("page")))).alias("held"), F.min("page").alias("first"))
-    return held.select("doc", "chunk_no", F.when(F.size("held") > 0, F.col("held")).otherwise(F.array("first")).alias("page_range"))
+    @F.pandas_udf("array<int>")
+    def pack(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            out = []
+            for own in batch:
+                counts, chars = [], 0
+                for n in own.tolist():
+                    if counts and (chars == 0 or chars + n < target):
+                        counts[-1] += 1
+                    else:
+                        counts.append(1)
+                    chars = chars + n + 2 if chars + n < target else n + 2
+                out.append(counts)
+            yield pd.Series(out)
+
+    return pack(lengths)
+
+
+def pack_many_paragraphs(docs: DataFrame, target: int = TARGET) -> DataFrame:
+    """(doc, part, text): the same parts as pack_paragraphs, by greedy_pack on the lengths alone."""
+    cut = docs.withColumn("_ps", F.split("text", "\n\n", -1)).withColumn("_n", greedy_pack(F.transform("_ps", lambda p: F.length(p)), target))
+    parts = F.zip_with("_n", prefix_sums(F.transform("_n", lambda n: n.cast("long"))), lambda n, end: strip(F.array_join(F.slice("_ps", (end - n + 1).cast("int"), n), "\n\n")))
+    return cut.select(*[c for c in docs.columns if c != "text"], F.posexplode(parts).alias("part", "text"))
+
+
+def page_range(body: Column, pages: Column) -> Column:
+    """The pages (an array of page, id, text in order) that hold a chunk's first or last 100 characters, else the first."""
+    holds = lambda p: F.contains(p["text"], F.left(body, F.lit(100))) | F.contains(p["text"], F.right(body, F.lit(100)))
+    found = F.transform(F.filter(pages, holds), lambda p: p["page"])
+    return let(found, lambda f: F.when(F.size(f) > 0, f).otherwise(F.array(F.get(pages, 0)["page"])))
 
 
 def semantic_chunks(pages: DataFrame, target: int = TARGET, shortest: int = SHORTEST, longest: int = LONGEST, terms: list[str] | None = None) -> DataFrame:
     """Chunks of whole documents from pages (id, doc, page, text).
 
     The text is stripped; counts, topic, keywords and page range are those of
-    the part before stripping. ``chunk_no`` counts the doc's kept chunks.
+    the part before stripping. ``chunk_no`` counts the doc's kept chunks. A doc is
+    one row from its pages to its chunks, so texts are shuffled once, by doc.
     """
     ordered = F.array_sort(F.collect_list(F.struct("page", "id", "text")))
-    docs = pages.groupBy("doc").agg(ordered.alias("p")).select("doc", F.array_join(F.transform("p", lambda x: x["text"]), "\n\n").alias("text"), F.transform("p", lambda x: x["id"]).alias("source_pages"))
-    parts = F.when(F.length("text") > longest, pack_paragraphs(F.col("text"), target)).otherwise(F.array("text"))
-    rows = sections(docs, shortest).select("doc", "source_pages", "section", F.posexplode(parts).alias("part", "body")).filter(F.length("body") >= shortest)
-    numbered = rows.withColumn("chunk_no", F.row_number().over(Window.partitionBy("doc").orderBy("section", "part")))
-    body = F.col("body")
-    chunks = numbered.join(chunk_page_range(numbered, pages), ["doc", "chunk_no"])
-    return chunks.select(
-        F.format_string("%s-chunk%03d", "doc", "chunk_no").alias("id"), strip(body).alias("text"), "doc", "chunk_no", "page_range", extract_topic(body, F.col("doc")).alias("topic"),
+    docs = pages.groupBy("doc").agg(ordered.alias("pages")).select("doc", "pages", F.array_join(F.transform("pages", lambda x: x["text"]), "\n\n").alias("text"))
+    packed = lambda s: F.when(F.length(s) > longest, pack_paragraphs(s, target)).otherwise(F.array(s))
+    bodies = F.flatten(F.transform("sections", lambda s: F.filter(packed(s), lambda b: F.length(b) >= shortest)))
+    found = _sections(docs, shortest).select("doc", "pages", bodies.alias("bodies")).filter(F.size("bodies") > 0)
+    ranged = F.transform("bodies", lambda b: F.struct(b.alias("body"), page_range(b, F.col("pages")).alias("page_range")))
+    rows = found.select("doc", F.transform("pages", lambda x: x["id"]).alias("source_pages"), F.posexplode(ranged).alias("at", "chunk"))
+    body, number = F.col("chunk.body"), F.col("at") + 1
+    return rows.select(
+        F.format_string("%s-chunk%03d", "doc", number).alias("id"), strip(body).alias("text"), "doc", number.alias("chunk_no"), "chunk.page_range", extract_topic(body, F.col("doc")).alias("topic"),
         F.length(body).alias("char_count"), count_sentences(body).alias("sentence_count"), extract_keywords(body, terms).alias("keywords"), "source_pages",
     )
 

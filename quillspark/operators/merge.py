@@ -56,8 +56,11 @@ def dedup_summary(qa: DataFrame) -> DataFrame:
 
 
 def dataset_statistics(scored: DataFrame) -> DataFrame:
-    """One row for the merged set: pairs, mean score, and maps of counts by type, difficulty and batch."""
-    parts = [scored.groupBy(F.col(c).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n")).withColumn("part", F.lit(c)) for c in ("type", "difficulty", "batch_id")]
-    longform = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    maps = [F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("part") == c, F.struct("value", "n"))))).alias(f"by_{c}") for c in ("type", "difficulty", "batch_id")]
-    return longform.filter("value is not null").agg(*maps).crossJoin(F.broadcast(scored.agg(F.count(F.lit(1)).alias("total_pairs"), F.coalesce(F.avg("overall"), F.lit(0.0)).alias("avg_quality"))))
+    """One row for the merged set: pairs, mean score, and maps of counts by type, difficulty and batch; one aggregate over all of them."""
+    by = ["type", "difficulty", "batch_id"]
+    values = [F.col(c).cast("string").alias(c) for c in by]
+    sets = scored.select(*values, "overall").groupingSets([[F.col(c)] for c in by] + [[]], *by).agg(F.grouping_id().alias("_of"), F.count(F.lit(1)).alias("n"), F.avg("overall").alias("mean"))
+    of = dict(zip(by, (3, 5, 6)))  # the bits of the columns that are left out
+    maps = [F.map_from_entries(F.array_sort(F.collect_list(F.when((F.col("_of") == of[c]) & F.col(c).isNotNull(), F.struct(c, "n"))))).alias(f"by_{c}") for c in by]
+    whole = F.col("_of") == 7
+    return sets.agg(F.coalesce(F.max(F.when(whole, F.col("n"))), F.lit(0)).alias("total_pairs"), F.coalesce(F.max(F.when(whole, F.col("mean"))), F.lit(0.0)).alias("avg_quality"), *maps)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from functools import reduce
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,30 +14,69 @@ from ..functions.text import normalize_question, significant_words, strip
 # Bounds of lengths, and forms of vague questions and simple answers (any case).
 QUESTION_LENGTH, ANSWER_LENGTH = (10, 300), (20, 1000)
 VAGUE = (r"(?iu)^What is [^\n]{1,15}\?\z", r"(?iu)^(Yes|No)\.?\z", r"(?iu)^(True|False)\.?\z")
+SIMPLE_LENGTH = 30
 GROUNDED_WORDS = 3
 ORDER = ["chunk_ord", "pair_idx"]
+#: Pairs of a chunk that are looked at together.
+LOT = 64
+
+
+def first_occurrences(qa: DataFrame) -> DataFrame:
+    """(chunk_id, batch_id, chunk_ord, pair_idx) of the first row of each normalised question of a batch.
+
+    Found by a window that Spark cuts to one row a key before it shuffles, so a
+    question that a third of all rows share does no harm; no answer is read.
+    """
+    keyed = qa.select("chunk_id", "batch_id", *ORDER, normalize_question(F.col("question")).alias("_q"))
+    return keyed.withColumn("_n", F.row_number().over(Window.partitionBy("batch_id", "_q").orderBy(*ORDER))).filter("_n = 1").select("chunk_id", "batch_id", *ORDER)
 
 
 def flag_duplicates(qa: DataFrame) -> DataFrame:
     """qa (batch_id, chunk_ord, pair_idx, question) with ``duplicate``: a later row of the batch with the same normalised question.
 
-    The first row of each question is found by a window that Spark cuts to one row
-    a key before it shuffles, so a question that a third of all rows share does no
-    harm; all other rows are then those without a partner by their own unique place.
+    The rows that are not a first occurrence are those without a partner by their own unique place.
     """
-    keyed = qa.select("batch_id", *ORDER, normalize_question(F.col("question")).alias("_q"))
-    first = keyed.withColumn("_n", F.row_number().over(Window.partitionBy("batch_id", "_q").orderBy(*ORDER))).filter("_n = 1").select("batch_id", *ORDER, F.lit(False).alias("_later"))
+    first = first_occurrences(qa).select("batch_id", *ORDER, F.lit(False).alias("_later"))
     return qa.join(first, ["batch_id", *ORDER], "left").withColumn("duplicate", F.coalesce("_later", F.lit(True))).drop("_later")
 
 
-def with_overlap(qa: DataFrame, sources: DataFrame) -> DataFrame:
-    """qa with ``overlap``: significant words that the answer shares with its chunk (chunk_id, text), 0 without a chunk.
+def _lot(place: str = "chunk_id") -> Column:
+    """Part of its chunk that a pair is looked at with; pairs without a chunk are dealt out."""
+    return F.floor(F.col("pair_idx") / LOT) + F.when(F.col(place).isNull(), F.pmod(F.xxhash64(*ORDER), F.lit(4096)) * (1 << 32)).otherwise(0)
+
+
+def _beside_sources(qa: DataFrame, sources: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
+    """qa with ``overlap``, and with ``duplicate`` if the places of first occurrences (chunk_id, batch_id, ORDER) are given.
 
-    A chunk's words are found once, not for each pair.
+    A chunk's pairs, the places and its text meet in one shuffle, by chunk and up to
+    ``LOT`` pairs at a time; a chunk's words are held once against all words of the
+    answers, and each answer against the few that are left.
     """
-    words = sources.select("chunk_id", significant_words(F.coalesce("text", F.lit(""))).alias("_words"))
-    shared = F.size(F.array_intersect(significant_words(F.col("answer")), F.coalesce("_words", F.expr("cast(array() as array<string>)"))))
-    return qa.join(words, "chunk_id", "left").withColumn("overlap", shared).drop("_words")
+    place = F.struct("batch_id", *ORDER)
+    pairs = qa.select("chunk_id", _lot().alias("lot"), F.struct(*qa.columns).alias("pair"))
+    texts = sources.select("chunk_id", F.coalesce("text", F.lit("")).alias("words_of"))
+    more = qa.filter(F.col("pair_idx") >= LOT).filter("chunk_id is not null").select("chunk_id", _lot().alias("lot")).distinct()
+    texts = texts.select("chunk_id", F.lit(0).cast("long").alias("lot"), "words_of").unionByName(texts.join(more, "chunk_id").select("chunk_id", "lot", "words_of"))
+    rows = pairs.unionByName(texts, True)
+    if firsts is not None:
+        rows = rows.unionByName(firsts.select("chunk_id", _lot().alias("lot"), place.alias("first")), True)
+    met = rows.groupBy("chunk_id", "lot").agg(F.collect_list("pair").alias("pairs"), F.max("words_of").alias("words_of"), *([F.collect_list("first").alias("firsts")] if firsts is not None else []))
+    answers = F.array_join(F.transform("pairs", lambda p: p["answer"]), "\n")
+    common = F.array_intersect(significant_words(answers), significant_words(F.coalesce("words_of", F.lit(""))))
+    out = met.filter(F.size("pairs") > 0).select(common.alias("_common"), *met.columns[4:], F.inline("pairs"))
+    out = out.withColumn("overlap", F.size(F.array_intersect(significant_words(F.col("answer")), "_common")))
+    if firsts is not None:
+        out = out.withColumn("duplicate", ~F.array_contains("firsts", place))
+    return out.drop("_common", "firsts")
+
+
+def with_overlap(qa: DataFrame, sources: DataFrame) -> DataFrame:
+    """qa with ``overlap``: significant words that the answer shares with its chunk (chunk_id, text; one row a chunk), 0 without a chunk."""
+    return _beside_sources(qa, sources)
+
+
+def _starts(text: Column, *heads: str) -> Column:
+    return reduce(Column.__or__, [F.startswith(text, F.lit(h)) for h in heads])
 
 
 def heuristic_issues() -> Column:
@@ -46,15 +89,16 @@ def heuristic_issues() -> Column:
         (na < ANSWER_LENGTH[0], F.format_string("Answer too short (%d chars)", na)),
         (na > ANSWER_LENGTH[1], F.format_string("Answer too long (%d chars)", na)),
         (~F.endswith(sq, F.lit("?")), "Question doesn't end with '?'"),
-        (sq.rlike("^(Answer:|Q:|A:)"), "Question has formatting artifacts"),
-        (sa.rlike("^(Question:|Q:|A:)"), "Answer has formatting artifacts"),
+        (_starts(sq, "Answer:", "Q:", "A:"), "Question has formatting artifacts"),
+        (_starts(sa, "Question:", "Q:", "A:"), "Answer has formatting artifacts"),
         (F.lower(q) == F.lower(a), "Question and answer are identical"),
     ]
     for form in VAGUE:
-        tests += [(sq.rlike(form), "Question appears too vague"), (sa.rlike(form), "Answer appears too simple")]
+        # none of these forms is longer than a line of 30 characters
+        tests += [((F.length(sq) <= SIMPLE_LENGTH) & sq.rlike(form), "Question appears too vague"), ((F.length(sa) <= SIMPLE_LENGTH) & sa.rlike(form), "Answer appears too simple")]
     tests += [
-        (q.rlike(r"\.\.\.|\[|___"), "Question appears incomplete"),
-        (a.rlike(r"\.\.\.|\[TBD\]|\[TODO\]"), "Answer appears incomplete"),
+        (F.contains(q, F.lit("...")) | F.contains(q, F.lit("[")) | F.contains(q, F.lit("___")), "Question appears incomplete"),
+        (F.contains(a, F.lit("...")) | F.contains(a, F.lit("[TBD]")) | F.contains(a, F.lit("[TODO]")), "Answer appears incomplete"),
         (F.col("duplicate"), "Duplicate or very similar question"),
         (F.col("overlap") < GROUNDED_WORDS, "Answer may not be grounded in source text"),
     ]
@@ -77,12 +121,27 @@ def score_quality(rows: DataFrame) -> DataFrame:
     return scored.withColumn("overall", overall).withColumn("recommendation", choice)
 
 
-def validated(qa: DataFrame, sources: DataFrame) -> DataFrame:
-    """All checks and scores of qa (chunk_id, batch_id, chunk_ord, pair_idx, question, answer, ...); null texts count as empty."""
+def score_with(rows: DataFrame, score: Callable[[str, str], float], keep_at: float = 6.0) -> DataFrame:
+    """Rows with an overall score by any function of question and answer in place of score_quality, and the recommendation; a score is held within 0 and 10."""
+
+    @F.pandas_udf("double")
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for questions, answers in batches:
+            yield pd.Series([float(score(q or "", a or "")) for q, a in zip(questions, answers)]).clip(0.0, 10.0)
+
+    scored = rows.withColumn("overall", run("question", "answer"))
+    issues = F.size("issues") if "issues" in rows.columns else F.lit(0)
+    return scored.withColumn("recommendation", F.when(F.col("overall") < keep_at, "reject").when(issues > 0, "revise").otherwise("keep"))
+
+
+def validated(qa: DataFrame, sources: DataFrame, scorer: Callable[[DataFrame], DataFrame] = score_quality) -> DataFrame:
+    """All checks and scores of qa (chunk_id, batch_id, chunk_ord, pair_idx, question, answer, ...); null texts count as empty.
+
+    Answers are shuffled once, to their sources. ``scorer`` scores rows with ``issues``.
+    """
     filled = qa.withColumns({c: F.coalesce(c, F.lit("")) for c in ("question", "answer")})
-    # the overlap comes last, so a source's words are not carried through the join of the first occurrences
-    checked = flag_duplicates(filled).transform(with_overlap, sources).withColumns({"_q": strip(F.col("question")), "_a": strip(F.col("answer"))})
-    return score_quality(checked.withColumn("issues", heuristic_issues()).drop("_q", "_a"))
+    checked = _beside_sources(filled, sources, first_occurrences(filled)).withColumns({"_q": strip(F.col("question")), "_a": strip(F.col("answer"))})
+    return scorer(checked.withColumn("issues", heuristic_issues()).drop("_q", "_a"))
 
 
 SCORES = ["accuracy", "clarity", "completeness", "relevance", "specificity", "overall", "issues", "recommendation"]
