@@ -40,7 +40,9 @@ from .common import join_counted, packed, saved, table
 RANKS = (10, 40)
 #: References held by every task, at most, and words that a task counts at a time.
 MOST_LANGUAGES = 10_000
-HELD = 200_000
+HELD = 100_000
+#: Words that a task sends at a time.
+SENT = 20_000
 #: Guards: words of a document, and of a language, from which histograms are compared.
 MIN_WORDS = 30
 MIN_REFERENCE = 1000
@@ -152,8 +154,10 @@ def references(docs: DataFrame) -> DataFrame:
                     bare[word.strip(EDGE)] += n
                 kept = [(w.decode("utf-8", "replace"), n) for w, n in bare.items() if _has_letter(w)]
                 rest = bare.total() - sum(n for _, n in kept)
-                rows = [("w", w, n) for w, n in kept] + [("rest", "", rest), ("docs", "", seen[lang])] + [("c", str(k), n) for k, n in enumerate(chars[lang].tolist())]
+                rows = [("rest", "", rest), ("docs", "", seen[lang])] + [("c", str(k), n) for k, n in enumerate(chars[lang].tolist())]
                 yield pd.DataFrame(rows, columns=["kind", "item", "n"]).assign(lang=lang)
+                for k in range(0, len(kept), SENT):
+                    yield pd.DataFrame(kept[k : k + SENT], columns=["item", "n"]).assign(kind="w", lang=lang)[["kind", "item", "n", "lang"]]
             words.clear(), chars.clear(), seen.clear()
 
         for batch in batches:

@@ -36,6 +36,8 @@ from .graph import components
 #: Words of a shingle, and the XXH64 seed.
 SHINGLE = 3
 SEED = 42
+#: Shingles of a text that are looked at together.
+PIECE = 1 << 15
 #: Bits in which linked fingerprints may differ; segments of the ring; segments of the longest chain that must be equal.
 MOST_BITS = 2
 SEGMENTS = 16
@@ -49,22 +51,24 @@ def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
     """XXH64 of each shingle of a text, in order, repeats included; fewer words are one shingle, none have none."""
     import xxhash
 
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # of bytes: ASCII letters and ASCII white space only
-    if not words:
+    joined = b" ".join((text or "").encode("utf-8", "surrogatepass").lower().split())  # of bytes: ASCII letters and ASCII white space only
+    if not joined:
         return np.zeros(0, "<u8")
-    joined = b" ".join(words)
-    starts = np.zeros(len(words) + 1, "int64")
-    np.cumsum(np.fromiter(map(len, words), "int64", len(words)) + 1, out=starts[1:])
-    last = min(shingle, len(words))
-    digest, begin, end = xxhash.xxh64_intdigest, starts[: len(words) - last + 1].tolist(), (starts[last:] - 1).tolist()
-    return np.array([digest(joined[a:b], SEED) for a, b in zip(begin, end)], "<u8")
+    spaces = np.flatnonzero(np.frombuffer(joined, "u1") == 32)
+    begin, end = np.concatenate([[0], spaces + 1]), np.append(spaces, len(joined))
+    last = min(shingle, len(begin))
+    begin, end = begin[: len(begin) - last + 1], end[last - 1 :]
+    out, digest = np.empty(len(begin), "<u8"), xxhash.xxh64_intdigest
+    for k in range(0, len(begin), PIECE):
+        out[k : k + PIECE] = [digest(joined[a:b], SEED) for a, b in zip(begin[k : k + PIECE].tolist(), end[k : k + PIECE].tolist())]
+    return out
 
 
 def majority(hashes: np.ndarray) -> int:
     """Which of 64 bits are set in over half of the hashes."""
     counts = np.zeros(64, "int64")
-    for k in range(0, len(hashes), 1 << 16):
-        counts += np.unpackbits(hashes[k : k + (1 << 16)].view("u1").reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype="int64")
+    for k in range(0, len(hashes), PIECE):
+        counts += np.unpackbits(hashes[k : k + PIECE].view("u1").reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype="int64")
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
