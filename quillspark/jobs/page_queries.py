@@ -49,6 +49,10 @@ QUERIES = {
     "t4_preview": lambda s, d: P.preview_pages(X.fx_pages(s, d)),
     "u1_union_methods": lambda s, d: P.union_methods(*[P.drop_empty_pages(X.fx_pages(s, d).filter(f"method = '{m}'")) for m in ("digital", "ocr")]).select("id", "method", "source"),
     "p6_word_windows": lambda s, d: C.word_window_chunks(X.fx_pages(s, d), 80, 12),
+    "p6_word_windows_default": lambda s, d: C.word_window_chunks(X.fx_pages(s, d)),
+    "t2_sorted": lambda s, d: P.sorted_documents(X.fx_pages(s, d)),
+    "f2_greedy_pack": lambda s, d: C.pack_many_paragraphs(P.assemble_documents(X.fx_pages(s, d)).select("doc", "text")),
+    "p10_chunk_metadata": lambda s, d: _chunks(s, d).select("id", "topic", F.array_join("keywords", ",").alias("keywords"), F.array_join("source_pages", ",").alias("source_pages")),
     "p7_boundaries": lambda s, d: P.assemble_documents(X.fx_pages(s, d)).select("doc", F.explode(C.section_boundaries(F.col("text"))).alias("boundary")),
     "p8_sections": lambda s, d: C.sections(P.assemble_documents(X.fx_pages(s, d))).select("doc", F.length("text").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("digest")),
     "p9_packing": lambda s, d: P.assemble_documents(X.fx_pages(s, d)).select("doc", F.posexplode(C.pack_paragraphs(F.col("text"))).alias("part", "text")),
@@ -62,7 +66,7 @@ QUERIES = {
     "c8_tokens": lambda s, d: X.fx_pages(s, d).select("id", estimated_tokens(F.col("text")).alias("tokens")),
     "c9_strip_split": lambda s, d: X.fx_pages(s, d).select("id", F.length(strip(F.col("text"))).alias("stripped"), F.size(split_words(F.col("text"))).alias("words")),
     "c13_preview": lambda s, d: X.fx_pages(s, d).select("id", preview(F.col("text"), 500).alias("preview")),
-    "c2_title_case": lambda s, d: X.fx_pages(s, d).select("id", title_case(F.left("text", F.lit(80))).alias("title")),
+    "c2_title_case": lambda s, d: X.fx_pages(s, d).select("id", title_case(F.col("text")).alias("title")),
     "j1_page_range": lambda s, d: _chunks(s, d).select("id", F.array_join(F.transform("page_range", lambda p: p.cast("string")), ",").alias("pages")),
     "a5_chunk_stats": lambda s, d: C.chunk_stats(_chunks(s, d)),
     "j5_chunks_per_doc": lambda s, d: C.chunks_per_document(_chunks(s, d), X.fx_pages(s, d)),
@@ -133,6 +137,22 @@ from (select doc, count(*) total_pages, coalesce(avg(case when page <= 5 then {_
 select id || '-c' || (k + 1) id, doc, page, (k + 1)::int chunk_id, array_to_string(list_slice(w, k * 68 + 1, k * 68 + 80), ' ') text, source from (select *, unnest(range(0, (len(w) + 67) // 68)) k from w)""",
         "fx_pages",
     ),
+    "p6_word_windows_default": duck(
+        f"""with w as (select id, doc, page, source, {_words("text")} w from fx_pages)
+select id || '-c' || (k + 1) id, doc, page, (k + 1)::int chunk_id, array_to_string(list_slice(w, k * 680 + 1, k * 680 + 800), ' ') text, source from (select *, unnest(range(0, (len(w) + 679) // 680)) k from w)""",
+        "fx_pages",
+    ),
+    "t2_sorted": duck("select doc, count(*) pages, sum(length(text))::bigint chars, arg_max(source, page) source, arg_max(method, page) \"method\" from fx_pages group by doc order by doc", "fx_pages"),
+    "f2_greedy_pack": duck(_recursive(f"with asm as ({_by_doc('')}), long as (select doc, 0 b, text body from asm)" + _PACK) + f" select doc, part - 1 part, {_strip('done')} text from pk where done is not null", "fx_pages"),
+    "p10_chunk_metadata": duck(
+        _CHUNKED + f""", tk as (select doc, chunk_no, unnest(regexp_extract_all(lower(body), '[\\p{{L}}\\p{{N}}_]+')) w, unnest(range(0, len(regexp_extract_all(lower(body), '[\\p{{L}}\\p{{N}}_]+')))) i from ck),
+ kw as (select doc, chunk_no, w, count(*) n, min(i) first from tk where w in {_KEY_TERMS} group by doc, chunk_no, w qualify row_number() over (partition by doc, chunk_no order by count(*) desc, min(i)) <= 10),
+ kl as (select doc, chunk_no, string_agg(w, ',' order by n desc, first) keywords from kw group by all), sp as (select doc, string_agg(doc || '-p' || page, ',' order by page) source_pages from fx_pages group by doc)
+select {_ID} id, coalesce(list_filter(list_transform(string_split(left(body, 200), E'\\n'), lambda l: {_strip("l")}), lambda l: length(l) > 10 and length(l) < 80 and regexp_matches(l, '^\\p{{Lu}}'))[1],
+ {_TITLE.format("regexp_replace(regexp_replace(translate(doc, '_-', '  '), '\\d{4}web', '', 'g'), 'chapter\\d+', 'Agricultural Chapter', 'g')")}) topic, coalesce(keywords, '') keywords, source_pages
+ from ck left join kl using (doc, chunk_no) join sp using (doc)""",
+        "fx_pages",
+    ),
     "p7_boundaries": duck(_SECTIONS + " select doc, b::int boundary from bd", "fx_pages"),
     "p8_sections": duck(_SECTIONS + " select doc, length(body)::int n_chars, md5(body) digest from secs", "fx_pages"),
     "p9_packing": duck(_recursive(f"with asm as ({_by_doc('')}), long as (select doc, 0 b, text body from asm)" + _PACK) + f" select doc, part - 1 part, {_strip('done')} text from pk where done is not null", "fx_pages"),
@@ -155,7 +175,7 @@ select p.id, coalesce(string_agg(w, ',' order by n desc, first), '') keywords fr
     "c8_tokens": duck(f"select id, floor(len({_words('text')}) * 1.3::double)::int tokens from fx_pages", "fx_pages"),
     "c9_strip_split": duck(f"select id, {_LEN}::int stripped, len({_words('text')})::int words from fx_pages", "fx_pages"),
     "c13_preview": duck("select id, left(text, 500) || case when length(text) > 500 then '...' else '' end preview from fx_pages", "fx_pages"),
-    "c2_title_case": duck(f"select id, {_TITLE.format('left(text, 80)')} title from fx_pages", "fx_pages"),
+    "c2_title_case": duck(f"select id, {_TITLE.format('text')} title from fx_pages", "fx_pages"),
     "j1_page_range": duck(
         _CHUNKED + f""" select {_ID} id, coalesce(string_agg(case when h then page end::varchar, ',' order by page), min(page)::varchar) pages
  from (select doc, chunk_no, page, contains(text, left(body, 100)) or contains(text, right(body, 100)) h from ck join fx_pages using (doc)) group by doc, chunk_no""",

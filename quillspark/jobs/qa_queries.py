@@ -16,6 +16,7 @@ from ..operators import usage as U
 from ..sources.shared import shared_path, written
 from ..streaming import monitor as S
 from . import fixtures as X
+from . import flow
 from .fixtures import TERMS, duck
 from .page_queries import _CHUNKED, _ID, _strip, _words
 
@@ -92,9 +93,36 @@ def _statistics(s, d):
     return stats.select("total_pairs", F.bround("avg_quality", 6).alias("avg_quality"), *listed)
 
 
+def _scored_by_length(s, d):
+    """The scorer hook with a score of one's own."""
+    return Q.score_with(X.fx_qa(s, d), lambda question, answer: len(answer) / 50).select("chunk_id", "pair_idx", "overall", "recommendation")
+
+
+def _plan_with_waiting(s, d):
+    """The plan with a sixth batch, of chunks made of conversations, that nobody has worked on."""
+    chunks = X.fx_sources(s, d).select((F.col("chunk_id") % 5 + 1).cast("int").alias("batch_id"))
+    waiting = s.read.parquet(f"{d}/conversations.parquet").select("conv_id").distinct().select(F.lit(6).alias("batch_id"))
+    return L.batch_plan(chunks.unionByName(waiting), TARGET, 5)
+
+
+def _throughput(s, d):
+    """Minutes that the watermark has closed, as append mode gives them out."""
+    path = shared_path(s, "arrived")
+    rows = X.fx_qa(s, d).select("batch_id", "chunk_id", "pair_idx", "question", (F.length("answer") % 3 > 0).alias("accepted"), F.timestamp_seconds(F.lit(1_704_067_200) + F.col("chunk_id") * 7 + F.col("pair_idx")).alias("ts"))
+    rows.write.json(path)
+    return S.run_to(S.throughput(S.read_growing(s, path, files_per_trigger=10_000)), "append")
+
+
 def flagship(s, d):
-    """The whole flow: chunks, plan, pairs, checks, merge without duplicates, distribution by type."""
-    return M.distribution(M.keep_first(_kept(s, d)), "type")
+    """The whole flow, from pages to training files; the merged set by type."""
+    return M.distribution(flow.run(X.fx_pages(s, d), shared_path(s, "flow"), terms=TERMS), "type")
+
+
+def _training_files(s, d):
+    """The flow's training files, line by line."""
+    out = shared_path(s, "flow")
+    flow.run(X.fx_pages(s, d), out, terms=TERMS)
+    return s.read.text(f"{out}/chatml").select(F.md5(F.col("value").cast("binary")).alias("digest"))
 
 
 QUERIES = {
@@ -106,7 +134,7 @@ QUERIES = {
     "p11_prompts": lambda s, d: T.build_prompts(
         X.fx_sources(s, d).select(F.col("chunk_id").alias("id"), (F.col("chunk_id") % 5 + 1).cast("int").alias("batch_id"), "text", F.lit("a topic").alias("topic"), F.array(F.lit("k1"), F.lit("k2")).alias("keywords")).join(_plan(s, d).drop("chunks"), "batch_id")
     ).select("chunk_id", "batch_id", F.md5(F.col("prompt").cast("binary")).alias("digest")),
-    "p12_type_prompts": lambda s, d: T.build_type_prompts(X.fx_sources(s, d).withColumnRenamed("chunk_id", "id"), 3, {k: f"{k} {{n}} {{text}} {{{{}}}}" for k in T.TYPES}).select("chunk_id", "type", F.length("prompt").alias("n_chars")),
+    "p12_type_prompts": lambda s, d: T.build_type_prompts(X.fx_sources(s, d).withColumnRenamed("chunk_id", "id"), 3).select("chunk_id", "type", F.md5(F.col("prompt").cast("binary")).alias("digest")),
     "p13_parse": lambda s, d: R.parse_responses(X.fx_responses(s, d)),
     "p14_status": lambda s, d: R.status_counts(X.fx_responses(s, d)),
     "f1_generate": _generated,
@@ -126,7 +154,8 @@ QUERIES = {
     "a13_dedup": lambda s, d: M.dedup_summary(X.fx_qa(s, d)),
     "dataset_statistics": _statistics,
     "a14_run_stats": lambda s, d: Q.batch_run_stats(_scored(s, d), _plan(s, d)),
-    "a15_progress": lambda s, d: L.batch_progress(_plan(s, d), X.fx_qa(s, d).filter("batch_id < 4"), _kept(s, d).filter("batch_id < 4")),
+    "a15_progress": lambda s, d: L.batch_progress(_plan_with_waiting(s, d), X.fx_qa(s, d), _kept(s, d)),
+    "f4_scorer": _scored_by_length,
     "p19_chatml": lambda s, d: E.as_json(E.to_chatml(X.fx_chat(s, d)), "messages").select("conv_id", "turn", "json"),
     "p20_chatml_context": lambda s, d: E.to_chatml_context(X.fx_pages(s, d)).select("doc", "page", F.element_at("messages", 2)["content"].alias("content")),
     "p21_alpaca": lambda s, d: E.to_alpaca(X.fx_pages(s, d)),
@@ -134,11 +163,12 @@ QUERIES = {
     "w5_request_limit": lambda s, d: U.request_limit(X.fx_calls(s, d)).select("event_id", "earlier", "limited"),
     "st6_tokens_per_minute": lambda s, d: U.tokens_per_minute(X.fx_calls(s, d), 5000),
     "st1_live_counts": lambda s, d: S.run_to(S.live_counts(_stream(s, d)), "complete"),
-    "st2_throughput": lambda s, d: S.run_to(S.throughput(_stream(s, d)), "complete"),
+    "st2_throughput": _throughput,
     "st3_polls": _polls,
     "st4_incremental": _incremental,
     "st5_first_seen": lambda s, d: S.run_to(S.first_seen(_stream(s, d)), "append").select("batch_id", "q_norm"),
     "flagship": flagship,
+    "flow_training_files": _training_files,
 }
 
 _WINDOWS = f"""select id || '-c' || (k + 1) id, doc, page * 100000 + k + 1 chunk_no from (select *, unnest(range(0, (len(w) + 67) // 68)) k from (select id, doc, page, {_words("text")} w from fx_pages))"""
@@ -205,6 +235,19 @@ _STARTER = f"coalesce(lower({_words('question')}[1]), 'unknown')"
 _ARRIVED = "select batch_id, chunk_id, pair_idx, question, length(answer) % 3 > 0 accepted, to_timestamp(1704067200 + chunk_id * 7 + pair_idx)::timestamp ts from fx_qa"
 _GOOD = "with g as (select count(*) total_requests, count(*) filter (not failed) successful_requests, count(*) filter (failed) failed_requests, coalesce(sum(floor(prompt_words * 1.3::double)) filter (not failed), 0)::bigint input_tokens, coalesce(sum(floor(response_words * 1.3::double)) filter (not failed), 0)::bigint output_tokens from fx_calls)"
 
+_LIST = lambda names: ", ".join(f"'{n}'" for n in names)
+#: The flow with the generator that extracts: chunks in place of the sources, a pair for each of their sentences.
+_FLOW = (
+    _CHUNKED
+    + f""", rk as (select {_ID} chunk_id, {_strip("body")} text, row_number() over (order by doc, chunk_no) - 1 rank, count(*) over () n from ck), fx_sources as (select chunk_id, text from rk),
+ sn as (select chunk_id, rank chunk_ord, least(rank // (n // 5) + 1, 5)::int batch_id, string_split(text, '. ') a from rk), ex as (select *, unnest(range(1, len(a) + 1))::int pair_idx from sn),
+ fx_qa as (select chunk_id, chunk_ord, batch_id, pair_idx, ([{_LIST(T.TYPES)}])[(pair_idx - 1) % 6 + 1] "type", ([{_LIST(flow.LEVELS)}])[(pair_idx - 1) % 3 + 1] difficulty,
+  ([{_LIST(flow.STARTS)}])[(pair_idx - 1) % 6 + 1] || ' ' || lower(array_to_string(list_slice(string_split(a[pair_idx], ' '), 1, 6), ' ')) || '?' question, a[pair_idx] || '. ' || coalesce(a[pair_idx + 1], '') || '.' answer from ex),
+ """
+    + _CTE.removeprefix("with ")
+    + ", kp as (select * from sc where recommendation = 'keep' and overall >= 6) "
+)
+
 SQL = {
     "w4_batches": duck(_RANKED + " select id, rank, batch_id from bt", "fx_pages"),
     "w1_chunk_numbers": duck(_CHUNKED + " select doc, max(chunk_no)::int last_no, count(*) n from ck group by doc", "fx_pages"),
@@ -217,7 +260,7 @@ SQL = {
         + ") digest from (select *, (chunk_id % 5 + 1)::int batch_id from fx_sources) join pl using (batch_id)",
         "fx_sources",
     ),
-    "p12_type_prompts": duck("select chunk_id, t \"type\", (length(t) + 3 + length(text) + 3)::int n_chars from fx_sources, (select unnest(['factual', 'conceptual', 'procedural', 'comparative', 'scenario', 'analytical']) t)", "fx_sources"),
+    "p12_type_prompts": duck("select chunk_id, t.k \"type\", md5(replace(replace(t.v, '{n}', '3'), '{text}', text)) digest from fx_sources, (values " + ", ".join("('{}', '{}')".format(k, (v + T.TYPE_TAIL).replace("{{", "{").replace("}}", "}").replace("'", "''")) for k, v in T.TYPE_TEMPLATES.items()) + ") t(k, v)", "fx_sources"),
     "p13_parse": duck(_PARSED, "fx_responses"),
     "p14_status": duck(f"with cl as ({_CLEAN}) select case when t = '' then 'empty' when not json_valid(t) then 'malformed' when json_type(t) = 'ARRAY' then 'ok' else 'not_array' end status, count(*) responses from cl group by 1", "fx_responses"),
     "f1_generate": duck("select chunk_id, (chunk_id % 5 + 1)::int batch_id, case when length(text) % 10 != 0 then length(left(text, 20))::int end n_chars, case when length(text) % 10 = 0 then 'ValueError: refused' end error from fx_sources", "fx_sources"),
@@ -250,10 +293,11 @@ SQL = {
         "fx_qa", "fx_sources",
     ),
     "a15_progress": duck(
-        _CTE + f""", pl as ({_PLAN}), r as (select batch_id, count(*) r, count(distinct chunk_id) p from fx_qa where batch_id < 4 group by batch_id), f as (select batch_id, count(*) k from sc where recommendation = 'keep' and overall >= 6 and batch_id < 4 group by batch_id)
+        _CTE + f""", pl as ({_planned("(select (chunk_id % 5 + 1)::int batch_id from fx_sources union all select 6 from (select distinct conv_id from conversations))")}), r as (select batch_id, count(*) r, count(distinct chunk_id) p from fx_qa group by batch_id), f as (select batch_id, count(*) k from sc where recommendation = 'keep' and overall >= 6 group by batch_id)
  select batch_id, case when r is null then 'not_started' when p >= chunks then 'completed' else 'in_progress' end status, target_qa_count, coalesce(r, 0) raw_generated, coalesce(k, 0) filtered_count, round_even(coalesce(k, 0) / target_qa_count * 100, 1) progress_percentage, chunks chunks_total, coalesce(p, 0) chunks_processed from pl left join r using (batch_id) left join f using (batch_id)""",
         "fx_qa", "fx_sources",
     ),
+    "f4_scorer": duck("select chunk_id, pair_idx, o overall, case when o < 6 then 'reject' else 'keep' end recommendation from (select chunk_id, pair_idx, least(10.0::double, length(answer) / 50.0::double) o from fx_qa)", "fx_qa"),
     "p19_chatml": duck(f"""select conv_id, turn, '{{"messages":[{{"role":"system","content":' || to_json('{E.SYSTEM}') || '}},{{"role":"user","content":' || to_json(question) || '}},{{"role":"assistant","content":' || to_json(answer) || '}}]}}' "json" from fx_chat""", "fx_chat"),
     "p20_chatml_context": duck(f"select doc, page, 'Context from ' || source || ' (page ' || page || E'):\\n\\n' || left(text, 3000) || E'\\n\\n{E.CONTEXT_QUESTION}' content from fx_pages", "fx_pages"),
     "p21_alpaca": duck(f"select doc, page, '{E.ALPACA_INSTRUCTION}' instruction, 'Context: ' || left(text, 3000) || E'\\n\\nQuestion: {E.ALPACA_QUESTION}' \"input\", '{E.ALPACA_ANSWER}' \"output\" from fx_pages", "fx_pages"),
@@ -261,9 +305,10 @@ SQL = {
     "w5_request_limit": duck("select event_id, n - 1 earlier, n - 1 >= 15 limited from (select event_id, count(*) over (partition by api_key order by us range between 59999999 preceding and current row) n from fx_calls)", "fx_calls"),
     "st6_tokens_per_minute": duck("select us // 60000000 \"minute\", count(*) calls, sum(floor(prompt_words * 1.3::double + response_words * 1.3::double))::bigint tokens, sum(floor(prompt_words * 1.3::double + response_words * 1.3::double)) > 5000 over_limit from fx_calls where not failed group by 1", "fx_calls"),
     "st1_live_counts": duck(f"with ar as ({_ARRIVED}) select batch_id, count(*) raw, count(*) filter (accepted) filtered, round_even(count(*) filter (accepted) / count(*) * 100, 1) pass_rate from ar group by batch_id", "fx_qa"),
-    "st2_throughput": duck(f"with ar as ({_ARRIVED}) select date_trunc('minute', ts) \"minute\", count(*) pairs from ar where accepted group by 1", "fx_qa"),
+    "st2_throughput": duck(f"with ar as ({_ARRIVED}) select date_trunc('minute', ts) \"minute\", count(*) pairs from ar where accepted group by 1 having date_trunc('minute', ts) + interval 1 minute <= (select max(ts) from ar where accepted) - interval 10 minute", "fx_qa"),
     "st3_polls": duck('select batch_id, count(*) "rows" from fx_qa group by batch_id', "fx_qa"),
     "st4_incremental": duck(f"with pp as ({_PARSED}) select chunk_id, batch_id, pair_idx, question from pp", "fx_responses"),
     "st5_first_seen": duck(f"select distinct batch_id, {_NORM} q_norm from fx_qa", "fx_qa"),
-    "flagship": duck(_CTE + ", kp as (select * from sc where recommendation = 'keep' and overall >= 6) " + _dist(_first("kp"), '"type"'), "fx_qa", "fx_sources"),
+    "flagship": duck(_FLOW + _dist(_first("kp"), '"type"'), "fx_pages"),
+    "flow_training_files": duck(_FLOW + "select md5('{" + '"messages":[{"role":"system","content":' + f"' || to_json('{E.SYSTEM}') || '" + '},{"role":"user","content":' + "' || to_json(question) || '" + '},{"role":"assistant","content":' + "' || to_json(answer) || '" + "}]}') digest from " + _first("kp"), "fx_pages"),
 }

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.io import write_jsonl
+
 # Texts of the training records.
 SYSTEM = "You are an agricultural expert with extensive knowledge about farming, crop production, soil management, and agricultural practices. Provide accurate, detailed, and helpful answers to questions about agriculture."
 CONTEXT_SYSTEM = "You are an agricultural expert. Answer questions based on the provided context."
@@ -42,3 +44,8 @@ def to_alpaca(pages: DataFrame) -> DataFrame:
 def as_json(records: DataFrame, *columns: str) -> DataFrame:
     """Adds the record's JSON text with null fields kept."""
     return records.withColumn("json", F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+
+
+def training_files(qa: DataFrame, path: str, system: str = SYSTEM) -> None:
+    """Writes pairs (question, answer) as ChatML records, one a line, in place of what path held."""
+    write_jsonl(to_chatml(qa.select("question", "answer"), system), path, "overwrite")

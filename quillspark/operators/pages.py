@@ -96,3 +96,8 @@ def preview_pages(pages: DataFrame, n: int = 3, size: int = 500) -> DataFrame:
 def union_methods(digital: DataFrame, ocr: DataFrame) -> DataFrame:
     """Digital and OCR pages as one table."""
     return digital.unionByName(ocr)
+
+
+def sorted_documents(pages: DataFrame) -> DataFrame:
+    """The documents' statistics in the order of their names; sort only where they are shown or written."""
+    return document_stats(pages).orderBy("doc")

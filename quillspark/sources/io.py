@@ -20,16 +20,16 @@ def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return read_jsonl(spark, path, schema) if path.endswith(".jsonl") else spark.read.schema(schema).option("multiLine", True).json(path)
 
 
-def merge_jsonl(spark: SparkSession, root: str, schema: str = PAGE) -> DataFrame:
+def merge_jsonl(spark: SparkSession, root: str, schema: str = PAGE, pattern: str = "*.jsonl") -> DataFrame:
     """All JSON lines below root as one dataset; write it outside root."""
-    return spark.read.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").json(root)
+    return spark.read.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).json(root)
 
 
-def read_markdown(spark: SparkSession, root: str) -> DataFrame:
+def read_markdown(spark: SparkSession, root: str, pattern: str = "*.md") -> DataFrame:
     """One row for each markdown file below root: directory, doc (the file's stem), text."""
-    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.md").text(root, wholetext=True)
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(root, wholetext=True)
     place = F.col("_metadata.file_path")
-    return files.select(F.regexp_replace(place, "/[^/]*$", "").alias("directory"), F.regexp_replace(F.col("_metadata.file_name"), r"\.md$", "").alias("doc"), F.col("value").alias("text"))
+    return files.select(F.regexp_replace(place, "/[^/]*$", "").alias("directory"), F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "").alias("doc"), F.col("value").alias("text"))
 
 
 def with_metadata_file(spark: SparkSession, markdown: DataFrame, root: str) -> DataFrame:
@@ -51,9 +51,9 @@ def list_documents(spark: SparkSession, root: str, pattern: str = "*.pdf") -> Da
     return files.select("path", name.alias("name"), F.regexp_replace(name, r"\.[^.]*$", "").alias("stem"), F.bround(F.col("length") / (1024 * 1024), 2).alias("size_mb"))
 
 
-def write_jsonl(df: DataFrame, path: str) -> None:
+def write_jsonl(df: DataFrame, path: str, mode: str = "error") -> None:
     """UTF-8 lines with non-ASCII kept and null fields written."""
-    df.write.option("ignoreNullFields", False).json(path)
+    df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
 def write_batches(df: DataFrame, path: str) -> None:
@@ -64,3 +64,9 @@ def write_batches(df: DataFrame, path: str) -> None:
 def read_batches(spark: SparkSession, path: str, schema: str, batches: list[int]) -> DataFrame:
     """The union of those batches that exist; the others' folders are not read."""
     return spark.read.schema(schema).json(path).filter(F.col("batch_id").isin(batches))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, in any store that Spark knows."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
