@@ -135,8 +135,9 @@ class Sketches:
 HITS = "array<struct<item_id:long,held:int,size:int>>"
 
 
-def _broadcast_search(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
-    sketches = docs.sparkSession.sparkContext.broadcast(items)
+def _broadcast_search(rows: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
+    """rows (row) with hits."""
+    sketches = rows.sparkSession.sparkContext.broadcast(items)
 
     @F.pandas_udf(HITS)
     def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -144,7 +145,7 @@ def _broadcast_search(docs: DataFrame, items: list[tuple[int, str]]) -> DataFram
         for texts in batches:
             yield pd.Series([[{"item_id": known.ids[k], "held": n, "size": len(known.sets[k])} for k, n in known.search(t)] for t in texts])
 
-    return docs.withColumn("hits", search("text"))
+    return rows.withColumn("hits", search(F.col("row.text")))
 
 
 def _hashed(rows: DataFrame, keep: str, bounds: list[tuple[int, int]] | None = None) -> DataFrame:
@@ -168,13 +169,14 @@ def _hashed(rows: DataFrame, keep: str, bounds: list[tuple[int, int]] | None = N
     return rows.select(keep, "text").mapInPandas(run, f"{keep} {kind}, size int, hash long")
 
 
-def _shuffled_search(docs: DataFrame, items: DataFrame) -> DataFrame:
+def _shuffled_search(rows: DataFrame, items: DataFrame) -> DataFrame:
     """The same by joins: texts are named by their digest, so repeated texts are searched once."""
+    docs = rows.select("row.text")
     items = saved(items.withColumn("place", F.monotonically_increasing_id()), "items")
     sketch = saved(_hashed(items, "place").withColumn("part", F.floor(F.log2("size"))), "sketch")
     # one row for each power of two
     bounds = [(needed(r.size), r.bound) for r in sketch.groupBy("part").agg(F.min("size").alias("size"), F.max("hash").alias("bound")).collect()]
-    named = packed(docs, F.md5(text_of().cast("binary")).alias("digest"))
+    named = rows.select("row", F.md5(text_of("row.text").cast("binary")).alias("digest"))
     texts = saved(docs.select(F.md5(text_of().cast("binary")).alias("digest"), "text").groupBy("digest").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("n")), "texts")
     pairs = saved(_hashed(texts, "digest", bounds).select("digest", "hash").join(sketch.select("place", "hash"), "hash").select("digest", "place").distinct(), "candidates")
     lots = pairs.groupBy("digest").agg(F.ceil(F.count(F.lit(1)) / TOGETHER).alias("lots"))
@@ -195,23 +197,27 @@ def _shuffled_search(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     found = listed.join(texts, "digest").select("digest", "n", verify("text", "items").alias("hits"))
     hits = saved(found.groupBy("digest").agg(F.flatten(F.collect_list("hits")).alias("hits"), F.first("n").alias("n")), "hits")
-    return join_counted(named, hits, ["digest"], "left").select("row.*", F.coalesce("hits", F.expr(f"cast(array() as {HITS})")).alias("hits"))
+    return join_counted(named, hits, ["digest"], "left").select("row", F.coalesce("hits", F.expr(f"cast(array() as {HITS})")).alias("hits"))
 
 
-def search_benchmark(docs: DataFrame, items: DataFrame, broadcast_shingles: int = BROADCAST_SHINGLES) -> DataFrame:
-    """docs with ``hits``: the items (item_id, held, size) that contaminate the row's text, empty if none."""
+def _searched(rows: DataFrame, items: DataFrame, broadcast_shingles: int) -> DataFrame:
+    """rows (row) with ``hits``."""
     items = items.select(F.col("item_id").cast("long").alias("item_id"), "text")
     # an item has no more shingles than half its characters
     size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    docs = docs.drop("hits")
     if size / 2 <= broadcast_shingles:
-        return _broadcast_search(docs, [(r.item_id, r.text) for r in items.collect()])
-    return _shuffled_search(docs, items)
+        return _broadcast_search(rows, [(r.item_id, r.text) for r in items.collect()])
+    return _shuffled_search(rows, items)
+
+
+def search_benchmark(docs: DataFrame, items: DataFrame, broadcast_shingles: int = BROADCAST_SHINGLES) -> DataFrame:
+    """docs with ``hits``: the items (item_id, held, size) that contaminate the row's text, empty if none."""
+    return _searched(packed(docs.drop("hits")), items, broadcast_shingles).select("row.*", "hits")
 
 
-def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
+def clean_documents(docs: DataFrame, items: DataFrame, broadcast_shingles: int = BROADCAST_SHINGLES) -> DataFrame:
     """The rows of docs that no item contaminates."""
-    return search_benchmark(packed(docs, "text"), items).filter(F.size("hits") == 0).select("row.*")
+    return _searched(packed(docs), items, broadcast_shingles).filter(F.size("hits") == 0).select("row.*")
 
 
 def op5_contained_items(spark: SparkSession, sf_dir: str) -> DataFrame:

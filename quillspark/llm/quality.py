@@ -40,7 +40,7 @@ from .common import join_counted, packed, saved, table
 RANKS = (10, 40)
 #: References held by every task, at most, and words that a task counts at a time.
 MOST_LANGUAGES = 10_000
-HELD = 100_000
+HELD = 50_000
 #: Words that a task sends at a time.
 SENT = 20_000
 #: Guards: words of a document, and of a language, from which histograms are compared.
@@ -204,18 +204,19 @@ def with_verdict(docs: DataFrame, known: DataFrame | None = None, most_languages
     known = references(docs) if known is None else known
     added = [x.split()[0] for x in FEATURES.split(", ")]
     kind = f"struct<{FEATURES.replace(' ', ':').replace(',:', ',')}>"
-    rows = packed(docs, "text", *map(F.expr, LANGUAGE))
+    rows = packed(docs)  # the text is in the row alone, for rows wait in memory while Python looks at them
+    text, lang = F.col("row.text"), F.col("row.lang").cast("string")
 
     if known.count() <= most_languages:
-        held = {(r.lang, r.known): (r.chars, [w.encode() for w in r.words], r.counts, r.total) for r in known.collect()}
+        held = {r.lang if r.known else None: (r.chars, [w.encode() for w in r.words], r.counts, r.total) for r in known.collect()}
 
         @F.pandas_udf(kind)
         def verdict(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
             made = {k: Reference(*v) for k, v in held.items()}
             for columns in batches:
-                yield pd.DataFrame([judge(t, made.get((x, k))) for t, x, k in zip(*columns)], columns=added)
+                yield pd.DataFrame([judge(t, made.get(x)) for t, x in zip(*columns)], columns=added)
 
-        return rows.select("row", verdict("text", "lang", "known").alias("verdict"))
+        return rows.select("row", verdict(text, lang).alias("verdict"))
 
     @F.pandas_udf(kind)
     def by_row(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
@@ -225,8 +226,8 @@ def with_verdict(docs: DataFrame, known: DataFrame | None = None, most_languages
                 out.append(judge(text, None if chars is None else Reference(chars, [w.encode() for w in words], counts, int(total))))
             yield pd.DataFrame(out, columns=added)
 
-    met = join_counted(rows, known, ["lang", "known"], "left")
-    return met.select("row", by_row("text", "chars", "words", "counts", "total").alias("verdict"))
+    met = join_counted(rows.select("row", F.coalesce(lang, F.lit("")).alias("lang"), lang.isNotNull().alias("known")), known, ["lang", "known"], "left")
+    return met.select("row", by_row(text, "chars", "words", "counts", "total").alias("verdict"))
 
 
 def judged(docs: DataFrame, known: DataFrame | None = None, most_languages: int = MOST_LANGUAGES) -> DataFrame:

@@ -5,10 +5,12 @@ from __future__ import annotations
 import re
 
 import corpus_pipeline
+import pytest
 from quillspark.llm import decontaminate, quality
 from quillspark.llm.common import saved
 
-from .test_operators import SMALL, WORD, targets
+from .test_operators import CLASH, DOCS, EDGES, SMALL, WORD, clashing, targets
+from .test_similar import least_of_classes
 
 
 def test_stages(spark):
@@ -29,7 +31,7 @@ def test_stages(spark):
     assert not kept & failed and len(kept) > 0.75 * len(before)
 
     before, rows = seen["near duplicates"]
-    assert sorted(r.doc_id for r in rows) == sorted(set(classes({i: fingerprint(r.text) for i, r in before.items()}).values()))
+    assert sorted(r.doc_id for r in rows) == least_of_classes({i: r.text for i, r in before.items()})
 
     before, rows = seen["decontamination"]
     sets = [set(decontaminate.shingles(decontaminate.words_of(t))) for _, t in items]
@@ -51,3 +53,34 @@ def test_stages(spark):
     _, rows = seen["sharding"]
     loads = [sum(len(r.text.encode()) + 1 for r in rows if r.shard == k) for k in range(8)]
     assert len(rows) == len(seen["mixing"][1]) and max(loads) < 1.1 * min(loads)
+
+
+@pytest.mark.parametrize(("name", "stage"), corpus_pipeline.STAGES)
+def test_stage_edges(spark, name, stage):
+    """Nulls in any column, empty and long texts, ties, repeated rows, clashing names and an empty table: what each stage keeps of them."""
+    long = " ".join(f"w{k}x{k % 7}" for k in range(3000))
+    docs = clashing(spark.createDataFrame([*EDGES, (9, long, "en", "z", len(long)), (9, long, "en", "z", len(long)), (None, long + " end", None, None, None)], DOCS))
+    out = stage(spark, docs, SMALL)
+    rows = out.collect()
+    assert out.columns == [*docs.columns, *(["shard"] if name == "sharding" else [])]
+    assert all(r[c] == "own" for r in rows for c in CLASH)
+    texts = sorted((r.text or "")[:3] for r in rows)
+    want = {
+        "quality": ["w0x"] * 3,  # under ten words, or all repeated, go; of no language is enough known
+        "near duplicates": ["", "Q w", "a b", "e e", "oth", "w0x"],  # of equal texts one stays, that of the least known doc_id
+        "decontamination": sorted((t or "")[:3] for t in [*(r[1] for r in EDGES), long, long, long]),
+        "sharding": sorted((t or "")[:3] for t in [*(r[1] for r in EDGES), long, long, long]),
+    }
+    if name in want:
+        assert texts == want[name]
+    else:  # mixing: each source's words by its target
+        sizes: dict = {}
+        for r in docs.collect():
+            sizes[r.source] = sizes.get(r.source, 0) + len(WORD.findall(r.text or ""))
+        names = sorted(sizes, key=lambda s: (s is None, s or ""))
+        goal = dict(zip(names, targets([sizes[s] for s in names], [k % 3 + 1 for k in range(len(names))])))
+        taken = dict.fromkeys(names, 0)
+        for r in rows:
+            taken[r.source] += len(WORD.findall(r.text))
+        assert all(abs(taken[s] - goal[s]) <= 1 for s in names)
+    assert stage(spark, docs.limit(0), SMALL).count() == 0
