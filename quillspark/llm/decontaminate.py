@@ -43,7 +43,7 @@ BROADCAST_SHINGLES = 2_000_000
 #: Candidates of a text that are verified together.
 TOGETHER = 256
 #: Distinct words whose hash a worker remembers, at most.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 _words = re.compile(r"[^\W_]+").findall
 _P = np.uint64(0x9E3779B97F4A7C15)

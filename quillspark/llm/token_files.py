@@ -33,7 +33,8 @@ import hashlib
 import json
 import os
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -99,30 +100,41 @@ class Encoder:
         return cls._made[path]
 
     def _plain(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _remember(self, words: Iterable[str], ids: Iterable[bytes]) -> None:
-        if self.room > 0:
-            for word, own in zip(words, ids):
-                if len(word) <= LONGEST:
-                    self.known[word] = own
-                    self.room -= len(word) + len(own) + ENTRY
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ends = (np.cumsum(list(map(len, ids)), dtype="int64") * self.dtype.itemsize).tolist()
+        flat = np.fromiter(chain.from_iterable(ids), self.dtype).tobytes()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _remember(self, fresh: dict[str, bytes]) -> None:
+        if self.room > 0 and fresh:
+            if max(map(len, fresh)) > LONGEST:
+                fresh = {k: v for k, v in fresh.items() if len(k) <= LONGEST}
+            self.known.update(fresh)
+            self.room -= sum(map(len, fresh)) + sum(map(len, fresh.values())) + ENTRY * len(fresh)
 
     def _words(self, words: list[str]) -> list[bytes]:
-        """Each word's ids; what is new is encoded piece by distinct piece."""
+        """Each word's ids; what is new is encoded by distinct pieces, a word of letters as one."""
         known = self.known
         got = list(map(known.get, words))
         new = [i for i, g in enumerate(got) if g is None]
         for k in range(0, len(new), CHUNK):
             own = new[k : k + CHUNK]
-            cut = [self.pieces(words[i]) for i in own]
-            missing = list({p for ps in cut for p in ps if p not in known})
-            fresh = dict(zip(missing, self._plain(missing)))
-            for i, ps in zip(own, cut):
+            single, several = [], []
+            for i in own:
+                if words[i][1:].isalpha():
+                    single.append(i)
+                else:
+                    several.append((i, self.pieces(words[i])))
+            missing = {p for _, ps in several for p in ps if p not in known}
+            missing.update([words[i] for i in single])
+            todo = list(missing)
+            fresh = dict(zip(todo, self._plain(todo)))
+            for i in single:
+                got[i] = fresh[words[i]]
+            for i, ps in several:
                 got[i] = b"".join([fresh[p] if p in fresh else known[p] for p in ps])
-            self._remember(fresh, fresh.values())
-            several = [i for i, ps in zip(own, cut) if len(ps) > 1]
-            self._remember([words[i] for i in several], [got[i] for i in several])
+            self._remember(fresh)
+            self._remember({words[i]: got[i] for i, ps in several if len(ps) > 1})
         return got
 
     def encode(self, texts: pa.Array) -> list[bytes | memoryview]:
