@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.shared import shared_path as shared_dir
-from ..sources.shared import written as saved
+from ..sources.shared import written
 
 __all__ = ["WORD", "identity", "join_counted", "least_hashes", "packed", "saved", "shared_dir", "table", "text_of", "word_count"]
 
@@ -18,9 +18,26 @@ BROADCAST_KEYS = 100_000
 HOT_SHARE = 10_000
 
 
+#: Rows that Python is sent at a time in place of Spark's 10,000, as each holds a whole text; another number that a user has set stays.
+BATCH_ROWS = 2_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def _with_small_batches(spark: SparkSession) -> SparkSession:
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, BATCH_ROWS)
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _with_small_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """df, written to the shared folder and read back: computed once, and safe from lost executors."""
+    _with_small_batches(df.sparkSession)
+    return written(df, name)
 
 
 def packed(docs: DataFrame, *columns: str) -> DataFrame:
