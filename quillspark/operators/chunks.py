@@ -116,7 +116,7 @@ def semantic_chunks(pages: DataFrame, target: int = TARGET, shortest: int = SHOR
     docs = pages.groupBy("doc").agg(ordered.alias("pages")).select("doc", "pages", F.array_join(F.transform("pages", lambda x: x["text"]), "\n\n").alias("text"))
     packed = lambda s: F.when(F.length(s) > longest, pack_paragraphs(s, target)).otherwise(F.array(s))
     bodies = F.flatten(F.transform("sections", lambda s: F.filter(packed(s), lambda b: F.length(b) >= shortest)))
-    found = _sections(docs, shortest).select("doc", "pages", bodies.alias("bodies")).filter(F.size("bodies") > 0)
+    found = _sections(docs, shortest).select("doc", "pages", bodies.alias("bodies"))  # docs without chunks go with the explosion; a filter would pack them twice
     ranged = F.transform("bodies", lambda b: F.struct(b.alias("body"), page_range(b, F.col("pages")).alias("page_range")))
     rows = found.select("doc", F.transform("pages", lambda x: x["id"]).alias("source_pages"), F.posexplode(ranged).alias("at", "chunk"))
     body, number = F.col("chunk.body"), F.col("at") + 1
