@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_template, mixing, pii, quality, secrets, sharding, simhash, token_counts, token_files
+from . import decontaminate, divergence_audit, html_template, mixing, pii, ppm, quality, secrets, sharding, simhash, token_counts, token_files, whitening
 
-MODULES = (mixing, simhash, pii, token_files, decontaminate, quality, sharding, token_counts, secrets, html_template)
+MODULES = (mixing, simhash, pii, token_files, decontaminate, quality, sharding, token_counts, secrets, html_template, divergence_audit, whitening, ppm)
 
 
 def queries() -> dict:
