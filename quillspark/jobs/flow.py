@@ -44,7 +44,7 @@ def run(pages: DataFrame, out: str, answer: Callable[[str], str] = extractive, t
     what follows from the responses, so it repeats and loses nothing.
     """
     spark = pages.sparkSession
-    batched = written(L.contiguous_batches(C.semantic_chunks(pages, terms=terms), n_batches), "batched-chunks")
+    batched = written(L.contiguous_batches(written(C.semantic_chunks(pages, terms=terms), "chunks"), n_batches), "batched-chunks")
     planned = L.plan_chunks(batched, L.batch_plan(batched, total, n_batches))
     prompts = T.build_prompts(planned)
     told = f"{out}/responses"

@@ -63,7 +63,8 @@ def _beside_sources(qa: DataFrame, sources: DataFrame, firsts: DataFrame | None
     met = rows.groupBy("chunk_id", "lot").agg(F.collect_list("pair").alias("pairs"), F.max("words_of").alias("words_of"), *([F.collect_list("first").alias("firsts")] if firsts is not None else []))
     answers = F.array_join(F.transform("pairs", lambda p: p["answer"]), "\n")
     common = F.array_intersect(significant_words(answers), significant_words(F.coalesce("words_of", F.lit(""))))
-    out = met.filter(F.size("pairs") > 0).select(common.alias("_common"), *met.columns[4:], F.inline("pairs"))
+    # worked out below the explosion: in one select with it, Spark would find the words anew for each pair
+    out = met.filter(F.size("pairs") > 0).withColumn("_common", common).select("_common", *met.columns[4:], F.inline("pairs"))
     out = out.withColumn("overlap", F.size(F.array_intersect(significant_words(F.col("answer")), "_common")))
     if firsts is not None:
         out = out.withColumn("duplicate", ~F.array_contains("firsts", place))

@@ -58,6 +58,15 @@ def test_answers_are_shuffled_once(spark, tmp_path):
     assert "CartesianProduct" not in plan and "SortMergeJoin" not in plan.split("AdaptiveSparkPlan")[0]
 
 
+def test_words_are_found_once_a_chunk(spark):
+    """No search for words of a source or of a chunk's answers stands above the explosion into pairs."""
+    qa, sources = fixtures.fx_qa(spark, SMALL), fixtures.fx_sources(spark, SMALL)
+    plan = Q.validated(qa, sources)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    at = next(k for k, line in enumerate(plan) if "Generate inline(pairs" in line)
+    assert not any("words_of" in line or "array_join(transform(pairs" in line for line in plan[:at])
+    assert any("regexp_extract_all(lower(coalesce(words_of" in line for line in plan[at:])
+
+
 def test_pairs_without_a_chunk(spark):
     rows = [(None, 1, k, 1, f"How does it grow {k}?", "maize nitrogen harvest water and fields of grain") for k in range(200)] + [(7, 1, 500 + k, k, f"Why is it so {k % 3}?", "maize nitrogen harvest water") for k in range(200)]
     qa = spark.createDataFrame(rows, "chunk_id long, batch_id int, chunk_ord long, pair_idx int, question string, answer string")
