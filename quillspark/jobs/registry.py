@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import io_queries, page_queries, qa_queries
+from . import io_queries, page_queries, qa_queries, scale_queries
 
-MODULES = (page_queries, qa_queries, io_queries)
+MODULES = (page_queries, qa_queries, io_queries, scale_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
