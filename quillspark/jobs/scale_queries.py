@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import segments as G
+from ..operators.seen import SeenKeys
+from ..sources.shared import shared_path
 from . import fixtures as X
-from . import page_queries
+from . import page_queries, qa_queries
 from .fixtures import TERMS, duck
 
 
@@ -20,12 +25,22 @@ def _page_index(s, d):
     return chunks.select("id", F.array_join(F.transform("page_range", lambda p: p.cast("string")), ",").alias("pages"))
 
 
+def _batch_by_batch(s, d):
+    """Five batches, one after the other, each held against the stored keys of those before it."""
+    index = SeenKeys(s, shared_path(s, "seen-keys"), buckets=16)
+    qa = X.fx_qa(s, d)
+    kept = [index.add(qa.filter(F.col("batch_id") == batch), batch).select("chunk_id", "pair_idx", "batch_id", "question") for batch in range(1, 6)]
+    index.close()
+    return reduce(DataFrame.unionByName, kept)
+
+
 QUERIES = {
     "p10_large_documents": lambda s, d: G.semantic_chunks(_pages(s, d), terms=TERMS).select("id", "text", "doc", "chunk_no", "char_count", "sentence_count"),
     "p10_large_metadata": lambda s, d: G.with_source_pages(G.semantic_chunks(_pages(s, d), terms=TERMS), _pages(s, d)).select("id", "topic", F.array_join("keywords", ",").alias("keywords"), F.array_join("source_pages", ",").alias("source_pages")),
     "p7_large_boundaries": lambda s, d: G.boundaries(_pages(s, d)).select("doc", F.col("boundary").cast("int").alias("boundary")),
     "a1_page_offsets": lambda s, d: G.page_offsets(_pages(s, d)).select("id", "start"),
     "j1_page_index": _page_index,
+    "w3_batch_by_batch": _batch_by_batch,
 }
 SQL = {
     "p10_large_documents": page_queries.SQL["p10_semantic_chunks"],
@@ -33,4 +48,5 @@ SQL = {
     "p7_large_boundaries": page_queries.SQL["p7_boundaries"],
     "a1_page_offsets": duck('select id, (sum(length(text) + 2) over (partition by doc order by page) - length(text) - 2)::bigint "start" from fx_pages', "fx_pages"),
     "j1_page_index": page_queries.SQL["j1_page_range"],
+    "w3_batch_by_batch": qa_queries.SQL["w3_keep_first"],
 }
