@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..operators import segments as G
 from ..operators.seen import SeenKeys
 from ..sources.shared import shared_path
+from ..streaming import monitor as S
+from ..streaming import stateful as P
 from . import fixtures as X
 from . import page_queries, qa_queries
 from .fixtures import TERMS, duck
@@ -34,6 +36,48 @@ def _batch_by_batch(s, d):
     return reduce(DataFrame.unionByName, kept)
 
 
+#: Event time of the first pair, and a moment after all others.
+_FIRST, _LAST = 1_704_067_200, 1_900_000_000
+
+
+def _as_stream(s, rows, name):
+    """Rows as JSON files that a stream reads."""
+    path = shared_path(s, name)
+    rows.write.json(path)
+    return s.readStream.schema(rows.schema).option("maxFilesPerTrigger", 10_000).json(path)
+
+
+def _timed_pairs(s, d):
+    return X.fx_qa(s, d).select("batch_id", "chunk_id", "chunk_ord", "pair_idx", "question", (F.length("answer") % 3 > 0).alias("accepted"), F.timestamp_seconds(F.lit(_FIRST) + F.col("chunk_id") * 7 + F.col("pair_idx")).alias("ts"))
+
+
+def _two_outputs(s, d):
+    """Raw and filtered pairs as two growing folders, held side by side; a last row in each moves the watermark past all others."""
+    last = s.range(1).select(F.lit(0).alias("batch_id"), F.lit(0).cast("long").alias("chunk_id"), F.lit(0).alias("pair_idx"), F.timestamp_seconds(F.lit(_LAST)).alias("ts"))
+    pairs = _timed_pairs(s, d)
+    raw, filtered = (x.select("batch_id", "chunk_id", "pair_idx", "ts").unionByName(last) for x in (pairs, pairs.filter("accepted")))
+    told = S.run_to(P.side_by_side(_as_stream(s, raw, "raw"), _as_stream(s, filtered, "filtered")), "append")
+    return S.live_counts(told.filter("batch_id > 0"))
+
+
+def _by_order(s, d):
+    """First occurrences by order, from a stream in which pairs arrive as they fall."""
+    with P.program_state(s):
+        changes = S.run_to(P.first_by_order(_as_stream(s, _timed_pairs(s, d).drop("accepted"), "pairs"), "30 days", 10**8), "append")
+    return P.settled(changes).select("batch_id", "chunk_id", "pair_idx")
+
+
+def _calls(s, d, failed):
+    last = s.range(1).select(F.lit(-1).cast("long").alias("event_id"), F.lit("end").alias("api_key"), F.lit(_LAST * 1_000_000).alias("us"), F.lit(failed).alias("failed"), F.lit(0).alias("prompt_words"), F.lit(0).alias("response_words"))
+    return _as_stream(s, X.fx_calls(s, d).unionByName(last), "calls")
+
+
+def _limit_over_stream(s, d):
+    with P.program_state(s):
+        told = S.run_to(P.request_limit(_calls(s, d, True), "1 day"), "append")
+    return told.filter("event_id >= 0").select("event_id", "earlier", "limited")
+
+
 QUERIES = {
     "p10_large_documents": lambda s, d: G.semantic_chunks(_pages(s, d), terms=TERMS).select("id", "text", "doc", "chunk_no", "char_count", "sentence_count"),
     "p10_large_metadata": lambda s, d: G.with_source_pages(G.semantic_chunks(_pages(s, d), terms=TERMS), _pages(s, d)).select("id", "topic", F.array_join("keywords", ",").alias("keywords"), F.array_join("source_pages", ",").alias("source_pages")),
@@ -41,6 +85,10 @@ QUERIES = {
     "a1_page_offsets": lambda s, d: G.page_offsets(_pages(s, d)).select("id", "start"),
     "j1_page_index": _page_index,
     "w3_batch_by_batch": _batch_by_batch,
+    "st1_two_outputs": _two_outputs,
+    "st5_first_by_order": _by_order,
+    "w5_limit_over_stream": _limit_over_stream,
+    "st6_tokens_over_stream": lambda s, d: S.run_to(P.tokens_per_minute(_calls(s, d, True), "1 day", 5000), "append"),
 }
 SQL = {
     "p10_large_documents": page_queries.SQL["p10_semantic_chunks"],
@@ -49,4 +97,8 @@ SQL = {
     "a1_page_offsets": duck('select id, (sum(length(text) + 2) over (partition by doc order by page) - length(text) - 2)::bigint "start" from fx_pages', "fx_pages"),
     "j1_page_index": page_queries.SQL["j1_page_range"],
     "w3_batch_by_batch": qa_queries.SQL["w3_keep_first"],
+    "st1_two_outputs": qa_queries.SQL["st1_live_counts"],
+    "st5_first_by_order": duck(f"select batch_id, chunk_id, pair_idx from fx_qa qualify row_number() over (partition by batch_id, {qa_queries._NORM} order by chunk_ord, pair_idx) = 1", "fx_qa"),
+    "w5_limit_over_stream": qa_queries.SQL["w5_request_limit"],
+    "st6_tokens_over_stream": qa_queries.SQL["st6_tokens_per_minute"],
 }
