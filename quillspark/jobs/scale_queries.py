@@ -67,14 +67,15 @@ def _by_order(s, d):
     return P.settled(changes).select("batch_id", "chunk_id", "pair_idx")
 
 
-def _calls(s, d, failed):
-    last = s.range(1).select(F.lit(-1).cast("long").alias("event_id"), F.lit("end").alias("api_key"), F.lit(_LAST * 1_000_000).alias("us"), F.lit(failed).alias("failed"), F.lit(0).alias("prompt_words"), F.lit(0).alias("response_words"))
+def _calls(s, d):
+    """The call log, and a last call that moves the watermark past all others."""
+    last = s.range(1).select(F.lit(-1).cast("long").alias("event_id"), F.lit("end").alias("api_key"), F.lit(_LAST * 1_000_000).alias("us"), F.lit(False).alias("failed"), F.lit(0).alias("prompt_words"), F.lit(0).alias("response_words"))
     return _as_stream(s, X.fx_calls(s, d).unionByName(last), "calls")
 
 
 def _limit_over_stream(s, d):
     with P.program_state(s):
-        told = S.run_to(P.request_limit(_calls(s, d, True), "1 day"), "append")
+        told = S.run_to(P.request_limit(_calls(s, d), "1 day"), "append")
     return told.filter("event_id >= 0").select("event_id", "earlier", "limited")
 
 
@@ -88,7 +89,7 @@ QUERIES = {
     "st1_two_outputs": _two_outputs,
     "st5_first_by_order": _by_order,
     "w5_limit_over_stream": _limit_over_stream,
-    "st6_tokens_over_stream": lambda s, d: S.run_to(P.tokens_per_minute(_calls(s, d, True), "1 day", 5000), "append"),
+    "st6_tokens_over_stream": lambda s, d: S.run_to(P.tokens_per_minute(_calls(s, d), "1 day", 5000), "append"),
 }
 SQL = {
     "p10_large_documents": page_queries.SQL["p10_semantic_chunks"],
