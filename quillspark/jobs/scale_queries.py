@@ -7,8 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import quality as Q
 from ..operators import segments as G
 from ..operators.seen import SeenKeys
+from ..sources import records as R
 from ..sources.shared import shared_path
 from ..streaming import monitor as S
 from ..streaming import stateful as P
@@ -79,6 +81,17 @@ def _limit_over_stream(s, d):
     return told.filter("event_id >= 0").select("event_id", "earlier", "limited")
 
 
+def _rejected(s, d):
+    """Pairs as JSON lines, among them for each chunk a line that is cut off, and what is read of them: good pairs, and rejected lines."""
+    root, out = shared_path(s, "mixed"), shared_path(s, "records")
+    qa = X.fx_qa(s, d)
+    good = qa.select(F.to_json(F.struct("chunk_id", "pair_idx", "question")).alias("value"))
+    broken = qa.filter("pair_idx = 1").select(F.concat(F.lit('{"chunk_id": '), "chunk_id", F.lit(', "pair_idx": 1, "question": "cut')).alias("value"))
+    good.unionByName(broken).repartition(6).write.text(root)
+    read = R.read_records(s, root, "chunk_id long, pair_idx int, question string", out)
+    return read.good.select("chunk_id", "pair_idx", "question").unionByName(read.rejected.select(F.lit(None).alias("chunk_id"), F.lit(None).alias("pair_idx"), F.col("value").alias("question")))
+
+
 QUERIES = {
     "p10_large_documents": lambda s, d: G.semantic_chunks(_pages(s, d), terms=TERMS).select("id", "text", "doc", "chunk_no", "char_count", "sentence_count"),
     "p10_large_metadata": lambda s, d: G.with_source_pages(G.semantic_chunks(_pages(s, d), terms=TERMS), _pages(s, d)).select("id", "topic", F.array_join("keywords", ",").alias("keywords"), F.array_join("source_pages", ",").alias("source_pages")),
@@ -86,6 +99,9 @@ QUERIES = {
     "a1_page_offsets": lambda s, d: G.page_offsets(_pages(s, d)).select("id", "start"),
     "j1_page_index": _page_index,
     "w3_batch_by_batch": _batch_by_batch,
+    "s1_rejected": _rejected,
+    "p18_rejected": lambda s, d: Q.filter_batch(Q.validated(X.fx_qa(s, d), X.fx_sources(s, d)))[1].select("chunk_id", "pair_idx", F.col("quality_score.recommendation").alias("recommendation"), F.array_join("quality_score.issues", "; ").alias("issues")),
+    "st5_within_watermark": lambda s, d: S.run_to(S.first_seen(_as_stream(s, _timed_pairs(s, d), "bounded"), "30 days"), "append").select("batch_id", "q_norm"),
     "st1_two_outputs": _two_outputs,
     "st5_first_by_order": _by_order,
     "w5_limit_over_stream": _limit_over_stream,
@@ -98,6 +114,9 @@ SQL = {
     "a1_page_offsets": duck('select id, (sum(length(text) + 2) over (partition by doc order by page) - length(text) - 2)::bigint "start" from fx_pages', "fx_pages"),
     "j1_page_index": page_queries.SQL["j1_page_range"],
     "w3_batch_by_batch": qa_queries.SQL["w3_keep_first"],
+    "s1_rejected": duck("select chunk_id, pair_idx, question from fx_qa union all select null, null, '{\"chunk_id\": ' || chunk_id || ', \"pair_idx\": 1, \"question\": \"cut' from fx_qa where pair_idx = 1", "fx_qa"),
+    "p18_rejected": duck(qa_queries._CTE + " select chunk_id, pair_idx, recommendation, array_to_string(issues, '; ') issues from sc where not (recommendation = 'keep' and overall >= 6)", "fx_qa", "fx_sources"),
+    "st5_within_watermark": qa_queries.SQL["st5_first_seen"],
     "st1_two_outputs": qa_queries.SQL["st1_live_counts"],
     "st5_first_by_order": duck(f"select batch_id, chunk_id, pair_idx from fx_qa qualify row_number() over (partition by batch_id, {qa_queries._NORM} order by chunk_ord, pair_idx) = 1", "fx_qa"),
     "w5_limit_over_stream": qa_queries.SQL["w5_request_limit"],

@@ -33,8 +33,11 @@ def generate(prompts: DataFrame, answer: Callable[[str], str], concurrency: int
             yield pd.DataFrame({"chunk_id": batch["chunk_id"], "batch_id": batch["batch_id"], "response": replies, "error": errors})
 
     rows = prompts.select("chunk_id", "batch_id", "prompt")
-    kinds = ", ".join(f"{c} {t}" for c, t in rows.dtypes[:2])
-    return (rows.repartition(concurrency) if concurrency else rows).mapInPandas(call, f"{kinds}, response string, error string")
+    # ids pass as text: beside a null, pandas would round a long
+    ids = [(c, t) for c, t in rows.dtypes[:2]]
+    sent = rows.select(*[F.col(c).cast("string").alias(c) for c, _ in ids], "prompt")
+    told = (sent.repartition(concurrency) if concurrency else sent).mapInPandas(call, "chunk_id string, batch_id string, response string, error string")
+    return told.select(*[F.col(c).cast(t).alias(c) for c, t in ids], "response", "error")
 
 
 def extract_pages(files: DataFrame, extract: Callable[[str, bytes], list[str]]) -> DataFrame:

@@ -107,6 +107,12 @@ def test_hook_keeps_errors(spark):
     assert {r.chunk_id: (r.response, r.error) for r in rows.collect()} == {1: ("a!", None), 2: (None, "RuntimeError: no")}
 
 
+def test_ids_beside_nulls_stay_whole(spark):
+    rows = R.generate(spark.createDataFrame([(2**53 + 1, 1, "a"), (None, None, "b"), (2**53 + 3, 2, "c")], "chunk_id long, batch_id int, prompt string"), str.upper, 1)
+    assert rows.dtypes[:2] == [("chunk_id", "bigint"), ("batch_id", "int")]
+    assert {(r.chunk_id, r.batch_id, r.response) for r in rows.collect()} == {(2**53 + 1, 1, "A"), (None, None, "B"), (2**53 + 3, 2, "C")}
+
+
 def test_prompt_fields(spark):
     values = spark.createDataFrame([("id", 1, "text {n}", "t", ["a", "b"], 3, 1, 1, 1, 0, 0, 0)], "id string, batch_id int, text string, topic string, keywords array<string>, qa_per_chunk int, " + ", ".join(f"{t} int" for t in T.TYPES))
     prompt = T.build_prompts(values).first().prompt
