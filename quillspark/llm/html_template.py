@@ -62,11 +62,15 @@ BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead title tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-BOILER_TAGS = frozenset("head nav header footer aside form menu dialog button select option label input svg canvas iframe object audio video map search".split())
+BOILER_TAGS = frozenset("head nav header footer aside menu dialog button select option label input svg canvas iframe object audio video map search".split())
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar status".split())
 BOILER_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promos promotion banner nav navbar navigation menu menus submenu breadcrumb breadcrumbs sidebar sidebars aside rail header masthead topbar footer foot colophon cookie cookies consent gdpr notice notices alert alerts popup modal overlay newsletter subscribe subscription signup login form forms search comment comments commentlist respond reply replies disqus discussion share sharing social related recommended widget widgets pagination pager toolbar skip".split()
 )
+#: Those that name boilerplate inside an article as well, where they are a whole class or id.
+INNER_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promos promotion nav navbar navigation menu breadcrumb breadcrumbs sidebar sidebars cookie cookies consent popup modal overlay newsletter signup login comments commentlist disqus share sharing social widget widgets pagination pager toolbar".split()
+)
 CLOSES_P = BLOCK - {"body", "html", "head", "td", "th", "tr", "tbody", "thead", "tfoot", "legend", "summary", "title"}
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 KEEPS = frozenset("article aside blockquote body div dl fieldset figure footer form header html main menu nav ol section table td th ul".split())
@@ -87,8 +91,13 @@ def _words(value: str) -> list[str]:
     return _parts.findall(re.sub(r"([a-z0-9])([A-Z])", r"\1 \2", value).lower())
 
 
-def _opened(tag: str, name: str) -> tuple[str, int]:
-    """A start tag's label and the role it gives to what it holds (PLAIN: its parent's)."""
+def _dull(value: str, around: int) -> bool:
+    """Whether a class or id names boilerplate: by any of its words, but inside an article only by a whole name of few."""
+    return not BOILER_WORDS.isdisjoint(_words(value)) if around != MAIN else not INNER_WORDS.isdisjoint(value.lower().split())
+
+
+def _opened(tag: str, name: str, around: int = PLAIN, lenient: bool = False) -> tuple[str, int]:
+    """A start tag's label and the role it gives to what it holds (PLAIN: its parent's, which is ``around``); lenient: classes and ids tell nothing."""
     label, role = name, BOILER if name in BOILER_TAGS else MAIN if name in ("article", "main") else PLAIN
     if len(tag) > len(name) + 2:
         for m in _attribute.finditer(tag, len(name) + 1):
@@ -97,7 +106,7 @@ def _opened(tag: str, name: str) -> tuple[str, int]:
                 label = f"{name}.{'.'.join(sorted(value.split()))}"
             if key == "role":
                 role = BOILER if value.lower() in BOILER_ROLES else MAIN if value.lower() == "main" and role != BOILER else role
-            elif key in ("class", "id") and name not in ("html", "body", "main") and not BOILER_WORDS.isdisjoint(_words(value)):
+            elif key in ("class", "id") and not lenient and name not in ("html", "body", "main", "form") and _dull(value, around):
                 role = BOILER
             elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*+:\s*none|visibility\s*+:\s*hidden", value):
                 role = BOILER
@@ -108,15 +117,15 @@ class _Stack:
     """The open tags, with the places of each name and of those that end an implied close."""
 
     def __init__(self) -> None:
-        self.tags: list[tuple[str, int, int]] = [("", 0, PLAIN)]  # name, node, role
+        self.tags: list[tuple[str, int, int, int]] = [("", 0, PLAIN, -1)]  # name, node, role, form
         self.places: dict[str, list[int]] = {}
         self.keeps = [0]
 
-    def push(self, name: str, node: int, role: int) -> None:
+    def push(self, name: str, node: int, role: int, form: int) -> None:
         self.places.setdefault(name, []).append(len(self.tags))
         if name in KEEPS:
             self.keeps.append(len(self.tags))
-        self.tags.append((name, node, role))
+        self.tags.append((name, node, role, form))
 
     def cut(self, k: int) -> None:
         """Closes the k-th tag and all in it."""
@@ -131,15 +140,20 @@ class _Stack:
         return k if k >= self.keeps[-1] else 0
 
 
-def parse(page: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[str, int, int, int]]]:
-    """A page's distinct tag paths (hash, parent's place, times) and its text runs outside boilerplate (text, role, path's place, characters in links)."""
+def parse(page: str | None, lenient: bool = False) -> tuple[list[tuple[int, int, int]], list[tuple[str, int, int, int]]]:
+    """A page's distinct tag paths (hash, parent's place, times) and its text runs outside boilerplate (text, role, path's place, characters in links).
+
+    A form is boilerplate unless it frames the page: an article begins in it, or half of the text is its own.
+    """
     import xxhash
 
     stack = _Stack()
     nodes, place = [[0, -1, 1]], {0: 0}
     runs: list[tuple[str, int, int, int]] = []
     run: list[str] = []
-    home, links = (0, PLAIN), 0
+    home, links = (0, PLAIN, -1), 0
+    forms: list[int] = []  # the role around each form
+    within: list[int] = []  # the form of each run
 
     def flush() -> None:
         nonlocal links
@@ -147,11 +161,12 @@ def parse(page: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[str,
             text = " ".join(entities.unescape("".join(run)).split())
             if text:
                 runs.append((text, home[1], home[0], min(links, len(text))))
+                within.append(home[2])
             run.clear()
         links = 0
 
     def close(k: int) -> None:
-        _, node, role = stack.tags[-1]
+        _, node, role, _ = stack.tags[-1]
         stack.cut(k)
         if role != BOILER and stack.tags[-1][1] != node:
             flush()
@@ -160,10 +175,10 @@ def parse(page: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[str,
         if not piece:
             continue
         if piece[0] != "<" or not (m := _name.match(piece)) or piece[-1] != ">":
-            _, node, role = stack.tags[-1]
+            _, node, role, form = stack.tags[-1]
             if role != BOILER:
                 if not run:
-                    home = node, role
+                    home = node, role, form
                 run.append(piece)
                 if stack.places.get("a"):
                     links += len(piece.strip())
@@ -189,7 +204,7 @@ def parse(page: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[str,
             if k := stack.last(ends):
                 close(k)
                 parent = stack.tags[-1]
-        label, role = _opened(piece, name)
+        label, role = _opened(piece, name, parent[2], lenient)
         role = MAIN if name == "main" and role == MAIN else BOILER if parent[2] == BOILER or role == BOILER else MAIN if parent[2] == MAIN or role == MAIN else PLAIN
         node = parent[1]
         if name in BLOCK or role != parent[2]:  # inline tags that only dress the text leave the path as it is
@@ -202,8 +217,19 @@ def parse(page: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[str,
             node = place[path]
             nodes[node][2] += 1
         if name not in VOID:
-            stack.push(name, node, role)
+            form = parent[3]
+            if name == "form":
+                form = len(forms)
+                forms.append(parent[2])
+            stack.push(name, node, role, form)
     flush()
+    if forms:
+        own, held, total = [0] * len(forms), [False] * len(forms), sum(len(r[0]) for r in runs)
+        for r, form in zip(runs, within):
+            if form >= 0:
+                own[form] += len(r[0])
+                held[form] |= r[1] == MAIN and forms[form] != MAIN
+        runs = [r for r, form in zip(runs, within) if form < 0 or held[form] or 2 * own[form] >= total]
     return [tuple(n) for n in nodes], runs
 
 
@@ -220,6 +246,8 @@ def parsed(html: Column) -> Column:
             out = []
             for page in batch:
                 nodes, runs = parse(page)
+                if not runs:  # classes and ids must not empty a page
+                    nodes, runs = parse(page, lenient=True)
                 main = any(r[1] == MAIN for r in runs)
                 runs = [r for r in runs if r[1] == (MAIN if main else PLAIN)]
                 tokens = np.array([n[0] for n in nodes], "u8")

@@ -47,7 +47,7 @@ CONTEXT = 80
 
 SPAN = "struct<start:int,kind:int,end:int>"
 SEEN = "struct<start:int,end:int,value:string,seed:int,looks:array<int>,refuted:array<int>,patterns:array<string>>"
-FOUND = f"row long, doc_id long, base array<{SPAN}>, seen array<{SEEN}>"
+FOUND = f"row long, doc_id string, base array<{SPAN}>, seen array<{SEEN}>"
 
 _local = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _domain = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -188,15 +188,17 @@ def scan(docs: DataFrame) -> DataFrame:
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch["doc_id"].astype(object), batch["text"]):
+            for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 base, seen = _scan(text or "")
-                out.append((row, None if pd.isna(doc_id) else doc_id, base, seen))
+                out.append((row, doc_id, base, seen))
                 row += 1
             spans = [[{"start": s, "kind": k, "end": e} for s, k, e in b] for _, _, b, _ in out]
             seen = [[dict(zip(("start", "end", "value", "seed", "looks", "refuted", "patterns"), x)) for x in s] for *_, s in out]
-            yield pd.DataFrame({"row": [r for r, *_ in out], "doc_id": pd.array([d for _, d, *_ in out], "Int64"), "base": spans, "seen": seen})
+            yield pd.DataFrame({"row": [r for r, *_ in out], "doc_id": [d for _, d, *_ in out], "base": spans, "seen": seen})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, FOUND)
+    # ids pass as text: beside a null, pandas would round a long
+    found = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), "text").mapInPandas(run, FOUND)
+    return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def trusted_patterns(found: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, table, text_of
+from .common import packed, saved, table, text_of
 from .token_files import Encoder
 
 LEAF = 512
@@ -90,8 +90,8 @@ def build_trees(docs: DataFrame, tokenizer: str) -> DataFrame:
                 at += len(cuts) - 1
             yield pd.DataFrame(rows, columns=["leaf_chars", "sums"])
 
-    plain = docs.drop("leaf_chars", "sums", "_t")
-    return plain.withColumn("_t", build("text")).select(*plain.columns, "_t.*")
+    plain = docs.drop("leaf_chars", "sums")
+    return packed(plain).select("row", build("row.text").alias("built")).select("row.*", "built.*")
 
 
 def edit(text: str, edits: list[tuple[int, int, str]], leaf_chars: np.ndarray, sums: np.ndarray, encode) -> tuple[str, np.ndarray, np.ndarray, int]:
@@ -185,8 +185,9 @@ def apply_edits(trees: DataFrame, tokenizer: str, find: Callable[[str], list[tup
                     rows.append((text, own, total, 0, 0))
             yield pd.DataFrame(rows, columns=added)
 
-    keep = [c for c in trees.columns if c not in (*added, "edits", "_e")]
-    return trees.withColumn("_e", run("text", "leaf_chars", "sums", *(["edits"] if find is None else []))).select(*keep, "_e.*")
+    keep = [F.col(f"row.`{c}`") for c in trees.columns if c not in (*added, *(["edits"] if find is None else []))]
+    told = packed(trees).select("row", run("row.text", "row.leaf_chars", "row.sums", *(["row.edits"] if find is None else [])).alias("edited"))
+    return told.select(*keep, "edited.*")
 
 
 def n_tokens(sums: str = "sums") -> Column:
