@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import keywords as K
 from ..operators import quality as Q
 from ..operators import segments as G
 from ..operators.seen import SeenKeys
@@ -92,6 +93,13 @@ def _rejected(s, d):
     return read.good.select("chunk_id", "pair_idx", "question").unionByName(read.rejected.select(F.lit(None).alias("chunk_id"), F.lit(None).alias("pair_idx"), F.col("value").alias("question")))
 
 
+def _large_dictionary(s, d):
+    """Keywords of every page by a dictionary of all words of the benchmark."""
+    words = F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), F.lit(0)))
+    terms = s.read.parquet(f"{d}/benchmark.parquet").select(words.alias("term"))
+    return K.keywords(X.fx_pages(s, d).select("id", "text"), terms).select("id", F.array_join("keywords", ",").alias("keywords"))
+
+
 QUERIES = {
     "p10_large_documents": lambda s, d: G.semantic_chunks(_pages(s, d), terms=TERMS).select("id", "text", "doc", "chunk_no", "char_count", "sentence_count"),
     "p10_large_metadata": lambda s, d: G.with_source_pages(G.semantic_chunks(_pages(s, d), terms=TERMS), _pages(s, d)).select("id", "topic", F.array_join("keywords", ",").alias("keywords"), F.array_join("source_pages", ",").alias("source_pages")),
@@ -100,6 +108,7 @@ QUERIES = {
     "j1_page_index": _page_index,
     "w3_batch_by_batch": _batch_by_batch,
     "s1_rejected": _rejected,
+    "c1_large_dictionary": _large_dictionary,
     "p18_rejected": lambda s, d: Q.filter_batch(Q.validated(X.fx_qa(s, d), X.fx_sources(s, d)))[1].select("chunk_id", "pair_idx", F.col("quality_score.recommendation").alias("recommendation"), F.array_join("quality_score.issues", "; ").alias("issues")),
     "st5_within_watermark": lambda s, d: S.run_to(S.first_seen(_as_stream(s, _timed_pairs(s, d), "bounded"), "30 days"), "append").select("batch_id", "q_norm"),
     "st1_two_outputs": _two_outputs,
@@ -114,6 +123,7 @@ SQL = {
     "a1_page_offsets": duck('select id, (sum(length(text) + 2) over (partition by doc order by page) - length(text) - 2)::bigint "start" from fx_pages', "fx_pages"),
     "j1_page_index": page_queries.SQL["j1_page_range"],
     "w3_batch_by_batch": qa_queries.SQL["w3_keep_first"],
+    "c1_large_dictionary": page_queries.SQL["c1_keywords"].replace(page_queries._KEY_TERMS, "(select unnest(regexp_extract_all(lower(text), '[a-z]{4,}')) from benchmark)"),
     "s1_rejected": duck("select chunk_id, pair_idx, question from fx_qa union all select null, null, '{\"chunk_id\": ' || chunk_id || ', \"pair_idx\": 1, \"question\": \"cut' from fx_qa where pair_idx = 1", "fx_qa"),
     "p18_rejected": duck(qa_queries._CTE + " select chunk_id, pair_idx, recommendation, array_to_string(issues, '; ') issues from sc where not (recommendation = 'keep' and overall >= 6)", "fx_qa", "fx_sources"),
     "st5_within_watermark": qa_queries.SQL["st5_first_seen"],
