@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import keywords as K
 from ..operators import quality as Q
+from ..operators import rollups as RU
 from ..operators import segments as G
 from ..operators.seen import SeenKeys
 from ..sources import records as R
@@ -100,6 +101,14 @@ def _large_dictionary(s, d):
     return K.keywords(X.fx_pages(s, d).select("id", "text"), terms).select("id", F.array_join("keywords", ",").alias("keywords"))
 
 
+def _rolled_up(spark, name, rows, measures, by):
+    """Totals of five batches, each added on its own."""
+    rollup = RU.Rollup(spark, shared_path(spark, name), measures, by)
+    for batch in range(1, 6):
+        rollup.add(rows.filter(F.col("batch_id") == batch), batch)
+    return rollup.totals()
+
+
 QUERIES = {
     "p10_large_documents": lambda s, d: G.semantic_chunks(_pages(s, d), terms=TERMS).select("id", "text", "doc", "chunk_no", "char_count", "sentence_count"),
     "p10_large_metadata": lambda s, d: G.with_source_pages(G.semantic_chunks(_pages(s, d), terms=TERMS), _pages(s, d)).select("id", "topic", F.array_join("keywords", ",").alias("keywords"), F.array_join("source_pages", ",").alias("source_pages")),
@@ -108,6 +117,8 @@ QUERIES = {
     "j1_page_index": _page_index,
     "w3_batch_by_batch": _batch_by_batch,
     "s1_rejected": _rejected,
+    "a11_starters_by_batch": lambda s, d: _rolled_up(s, "starters", X.fx_qa(s, d).withColumn("starter", RU.starter()), {"n": ("count", None)}, ["starter"]),
+    "a12_lengths_by_batch": lambda s, d: _rolled_up(s, "lengths", X.fx_qa(s, d), RU.PAIRS, ["type"]),
     "c1_large_dictionary": _large_dictionary,
     "p18_rejected": lambda s, d: Q.filter_batch(Q.validated(X.fx_qa(s, d), X.fx_sources(s, d)))[1].select("chunk_id", "pair_idx", F.col("quality_score.recommendation").alias("recommendation"), F.array_join("quality_score.issues", "; ").alias("issues")),
     "st5_within_watermark": lambda s, d: S.run_to(S.first_seen(_as_stream(s, _timed_pairs(s, d), "bounded"), "30 days"), "append").select("batch_id", "q_norm"),
@@ -124,6 +135,8 @@ SQL = {
     "j1_page_index": page_queries.SQL["j1_page_range"],
     "w3_batch_by_batch": qa_queries.SQL["w3_keep_first"],
     "c1_large_dictionary": page_queries.SQL["c1_keywords"].replace(page_queries._KEY_TERMS, "(select unnest(regexp_extract_all(lower(text), '[a-z]{4,}')) from benchmark)"),
+    "a11_starters_by_batch": qa_queries.SQL["a11_starters"],
+    "a12_lengths_by_batch": duck('select "type", count(*) total_pairs, sum(length(question))::bigint question_chars, sum(length(answer))::bigint answer_chars from fx_qa group by "type"', "fx_qa"),
     "s1_rejected": duck("select chunk_id, pair_idx, question from fx_qa union all select null, null, '{\"chunk_id\": ' || chunk_id || ', \"pair_idx\": 1, \"question\": \"cut' from fx_qa where pair_idx = 1", "fx_qa"),
     "p18_rejected": duck(qa_queries._CTE + " select chunk_id, pair_idx, recommendation, array_to_string(issues, '; ') issues from sc where not (recommendation = 'keep' and overall >= 6)", "fx_qa", "fx_sources"),
     "st5_within_watermark": qa_queries.SQL["st5_first_seen"],
