@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import sql
 from ..operators import keywords as K
 from ..operators import quality as Q
 from ..operators import rollups as RU
@@ -109,6 +110,18 @@ def _rolled_up(spark, name, rows, measures, by):
     return rollup.totals()
 
 
+def _in_sql(text, *views):
+    """A query written in Spark's SQL over views and the library's functions for SQL."""
+
+    def run(s, d):
+        sql.register(s)
+        return s.sql(text, **{v: getattr(X, v)(s, d) for v in views})
+
+    return run
+
+
+_PACKED = "select * from ql_pack(table(select doc, n, paragraph from (select doc, array_join(transform(array_sort(collect_list(struct(page, text))), x -> x.text), '\\n\\n') text from {fx_pages} group by doc), lateral posexplode(split(text, '\\n\\n', -1)) as x(n, paragraph)), 2000)"
+
 QUERIES = {
     "p10_large_documents": lambda s, d: G.semantic_chunks(_pages(s, d), terms=TERMS).select("id", "text", "doc", "chunk_no", "char_count", "sentence_count"),
     "p10_large_metadata": lambda s, d: G.with_source_pages(G.semantic_chunks(_pages(s, d), terms=TERMS), _pages(s, d)).select("id", "topic", F.array_join("keywords", ",").alias("keywords"), F.array_join("source_pages", ",").alias("source_pages")),
@@ -117,6 +130,9 @@ QUERIES = {
     "j1_page_index": _page_index,
     "w3_batch_by_batch": _batch_by_batch,
     "s1_rejected": _rejected,
+    "p6_windows_in_sql": _in_sql("select format_string('%s-c%d', id, w.chunk_id) id, doc, page, w.chunk_id, w.text, source from {fx_pages}, lateral ql_word_windows(text, 80, 12) w", "fx_pages"),
+    "p9_packing_in_sql": _in_sql(_PACKED, "fx_pages"),
+    "c5_normalized_in_sql": _in_sql("select chunk_id, pair_idx, ql_normalized(question) key from {fx_qa}", "fx_qa"),
     "a11_starters_by_batch": lambda s, d: _rolled_up(s, "starters", X.fx_qa(s, d).withColumn("starter", RU.starter()), {"n": ("count", None)}, ["starter"]),
     "a12_lengths_by_batch": lambda s, d: _rolled_up(s, "lengths", X.fx_qa(s, d), RU.PAIRS, ["type"]),
     "c1_large_dictionary": _large_dictionary,
@@ -137,6 +153,9 @@ SQL = {
     "c1_large_dictionary": page_queries.SQL["c1_keywords"].replace(page_queries._KEY_TERMS, "(select unnest(regexp_extract_all(lower(text), '[a-z]{4,}')) from benchmark)"),
     "a11_starters_by_batch": qa_queries.SQL["a11_starters"],
     "a12_lengths_by_batch": duck('select "type", count(*) total_pairs, sum(length(question))::bigint question_chars, sum(length(answer))::bigint answer_chars from fx_qa group by "type"', "fx_qa"),
+    "p6_windows_in_sql": page_queries.SQL["p6_word_windows"],
+    "p9_packing_in_sql": page_queries.SQL["p9_packing"],
+    "c5_normalized_in_sql": page_queries.SQL["c5_normalized"],
     "s1_rejected": duck("select chunk_id, pair_idx, question from fx_qa union all select null, null, '{\"chunk_id\": ' || chunk_id || ', \"pair_idx\": 1, \"question\": \"cut' from fx_qa where pair_idx = 1", "fx_qa"),
     "p18_rejected": duck(qa_queries._CTE + " select chunk_id, pair_idx, recommendation, array_to_string(issues, '; ') issues from sc where not (recommendation = 'keep' and overall >= 6)", "fx_qa", "fx_sources"),
     "st5_within_watermark": qa_queries.SQL["st5_first_seen"],
