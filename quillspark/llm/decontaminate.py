@@ -18,7 +18,8 @@ hashes below the bounds meet in a shuffled join, and a text is sent once for eve
 ``TOGETHER`` of its candidates to be held against them.
 
 Defined cases: a null or empty text has no shingles; a text of one to four words
-is one shingle; a long text is searched whole, once; an item without words contaminates
+is one shingle, and an item of so few is found wherever these words stand in a row;
+a long text is searched whole, once; an item without words contaminates
 nothing; a null item_id is kept; repeated items, and items that tie, are found each;
 repeated rows are found each; an empty table gives no rows; columns of the documents
 may have any name, only ``hits`` is replaced.
@@ -68,17 +69,32 @@ def words_of(text: str | None) -> list[str]:
     return _words((text or "").lower())
 
 
-def shingles(words: list[str]) -> list[str]:
+def shingles(words: list[str], size: int = SHINGLE) -> list[str]:
     """The shingles in order, joined by a space."""
-    return [" ".join(words[i : i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))] if words else []
+    return [" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))] if words else []
 
 
-def shingle_hashes(words: list[str]) -> np.ndarray:
+def _shorter(words: list[str], short: list[int]) -> list[int]:
+    """Lengths of short items that the shingles of these words do not tell."""
+    return [n for n in short if n < min(SHINGLE, len(words))]
+
+
+def all_shingles(words: list[str], short: list[int]) -> set[str]:
+    """The distinct shingles, and the sequences as long as the short items, each of which is one shingle."""
+    return set(shingles(words)).union(*[shingles(words, n) for n in _shorter(words, short)])
+
+
+def all_hashes(words: list[str], short: list[int]) -> np.ndarray:
+    """Hashes of all_shingles, repeats included."""
+    return np.concatenate([shingle_hashes(words), *[shingle_hashes(words, n) for n in _shorter(words, short)]])
+
+
+def shingle_hashes(words: list[str], size: int = SHINGLE) -> np.ndarray:
     """A 63-bit hash of each shingle, in order."""
     if not words:
         return np.zeros(0, "u8")
     h = np.fromiter(map(_hash_of.__getitem__, words), "u8", len(words))
-    n = min(SHINGLE, len(words))
+    n = min(size, len(words))
     last = len(words) - n + 1
     out = np.full(last, n, "u8")
     for k in range(n):
@@ -93,12 +109,18 @@ def needed(size: int, containment: float = CONTAINMENT) -> int:
     return max(1, int(np.ceil(containment * size - 1e-9)))
 
 
+def short_lengths(texts) -> list[int]:
+    """The numbers of words, below a shingle's, that some items have."""
+    return sorted({n for n in (len(words_of(t)) for t in texts) if 0 < n < SHINGLE})
+
+
 class Sketches:
     """The sketches of a broadcast benchmark, partitioned by size."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.sets = [frozenset(shingles(words_of(text))) for _, text in items]
         self.ids = [i for i, _ in items]
+        self.short = short_lengths(text for _, text in items)
         groups: dict[int, list[int]] = {}
         for k, own in enumerate(self.sets):
             if own:
@@ -117,7 +139,7 @@ class Sketches:
     def search(self, text: str | None) -> list[tuple[int, int]]:
         """(item's place, shingles held) of each item that contaminates the text."""
         words = words_of(text)
-        hashes = shingle_hashes(words)
+        hashes = all_hashes(words, self.short)
         found: set[int] = set()
         for least, bound, keys, first, owner in self.parts:
             if len(hashes) >= least:
@@ -127,7 +149,7 @@ class Sketches:
                     found.update(owner[first[k] : first[k + 1]].tolist())
         if not found:
             return []
-        own = set(shingles(words))
+        own = all_shingles(words, self.short)
         held = ((k, len(self.sets[k] & own)) for k in sorted(found))
         return [(k, n) for k, n in held if n >= needed(len(self.sets[k]))]
 
@@ -148,14 +170,14 @@ def _broadcast_search(rows: DataFrame, items: list[tuple[int, str]]) -> DataFram
     return rows.withColumn("hits", search(F.col("row.text")))
 
 
-def _hashed(rows: DataFrame, keep: str, bounds: list[tuple[int, int]] | None = None) -> DataFrame:
+def _hashed(rows: DataFrame, keep: str, bounds: list[tuple[int, int]] | None = None, short: list[int] = []) -> DataFrame:
     """Distinct shingle hashes of (keep, text): all, with the size, or those below the bounds (fewest shingles, greatest hash)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for key, text in zip(batch[keep], batch["text"]):
                 words = words_of(text)
-                hashes = np.unique(shingle_hashes(words))
+                hashes = np.unique(all_hashes(words, short))
                 size = len(set(shingles(words))) if bounds is None else len(hashes)
                 if bounds is None:
                     hashes = hashes[: size - needed(size) + 1] if size else hashes
@@ -176,9 +198,11 @@ def _shuffled_search(rows: DataFrame, items: DataFrame) -> DataFrame:
     sketch = saved(_hashed(items, "place").withColumn("part", F.floor(F.log2("size"))), "sketch")
     # one row for each power of two
     bounds = [(needed(r.size), r.bound) for r in sketch.groupBy("part").agg(F.min("size").alias("size"), F.max("hash").alias("bound")).collect()]
+    lengths = F.pandas_udf(lambda texts: pd.Series([min(len(words_of(t)), SHINGLE) for t in texts]), "int", F.PandasUDFType.SCALAR)
+    short = [r.n for r in items.select(lengths("text").alias("n")).distinct().collect() if 0 < r.n < SHINGLE]  # four at most
     named = rows.select("row", F.md5(text_of("row.text").cast("binary")).alias("digest"))
     texts = saved(docs.select(F.md5(text_of().cast("binary")).alias("digest"), "text").groupBy("digest").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("n")), "texts")
-    pairs = saved(_hashed(texts, "digest", bounds).select("digest", "hash").join(sketch.select("place", "hash"), "hash").select("digest", "place").distinct(), "candidates")
+    pairs = saved(_hashed(texts, "digest", bounds, short).select("digest", "hash").join(sketch.select("place", "hash"), "hash").select("digest", "place").distinct(), "candidates")
     lots = pairs.groupBy("digest").agg(F.ceil(F.count(F.lit(1)) / TOGETHER).alias("lots"))
     listed = pairs.join(lots, "digest").join(items.select("place", "item_id", F.col("text").alias("item")), "place")
     listed = listed.groupBy("digest", F.pmod(F.xxhash64("place"), "lots").alias("lot")).agg(F.collect_list(F.struct("item_id", "item")).alias("items"))
@@ -187,7 +211,7 @@ def _shuffled_search(rows: DataFrame, items: DataFrame) -> DataFrame:
     def verify(texts: pd.Series, candidates: pd.Series) -> pd.Series:
         out = []
         for text, own in zip(texts, candidates):
-            held, hits = set(shingles(words_of(text))), []
+            held, hits = all_shingles(words_of(text), short), []
             for x in own:
                 item = set(shingles(words_of(x["item"])))
                 if len(item & held) >= needed(len(item)):
@@ -231,8 +255,10 @@ _SHINGLED = """select {k} id, unnest(case when len(w) = 0 then [] when len(w) <
 _SQL = f"""
 with i as (select distinct * from ({_SHINGLED.format(k="item_id", t="benchmark")})),
  d as (select distinct * from ({_SHINGLED.format(k="doc_id", t="documents")})),
- n as (select id, count(*) n from i group by id)
-select d.id doc_id, i.id item_id, count(*) held, n.n item_size from d join i using (s) join n on n.id = i.id group by all having count(*) >= {CONTAINMENT} * n.n
+ n as (select id, count(*) n from i group by id),
+ short as (select distinct len(regexp_extract_all(s, '[^ ]+')) k from i where len(regexp_extract_all(s, '[^ ]+')) < 5),
+ e as (select * from d union select id, unnest(list_transform(range(1, len(w) - k + 2), lambda j: array_to_string(w[j:j + k - 1], ' '))) from (select doc_id id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') w, k from documents, short) where len(w) > k)
+select d.id doc_id, i.id item_id, count(*) held, n.n item_size from e d join i using (s) join n on n.id = i.id group by all having count(*) >= {CONTAINMENT} * n.n
 """
 
 QUERIES = {"op5_contained_items": op5_contained_items}

@@ -45,3 +45,14 @@ def test_columns_of_edited_rows(spark):
     docs = spark.createDataFrame([(1, "call 555 1234 now", "t", "e", "r")], "doc_id long, text string, _t string, _e string, row string")
     got = token_counts.apply_edits(token_counts.build_trees(docs, path), path, token_counts.redactions("[0-9]+", "#")).first()
     assert (got._t, got._e, got["row"], got.text, got.n_edits) == ("t", "e", "r", "call # # now", 2)
+
+
+def test_short_items_inside_long_texts(spark):
+    from quillspark.llm import decontaminate
+
+    rows = [(1, "word " * 50 + "Three short words, here " + "more " * 50), (2, "three short words"), (3, "three short x words"), (4, "alone"), (5, "it stands alone here now and on"), (6, None), (7, "a b c d e f g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(10, "three short words"), (11, "Alone"), (12, "a b c d e"), (13, "")], "item_id long, text string")
+    for size in (decontaminate.BROADCAST_SHINGLES, 0):
+        got = decontaminate.search_benchmark(docs, items, size).select("doc_id", F.inline("hits")).collect()
+        assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 10), (2, 10), (4, 11), (5, 11), (7, 12)], size
