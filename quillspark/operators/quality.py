@@ -49,8 +49,8 @@ def _beside_sources(qa: DataFrame, sources: DataFrame, firsts: DataFrame | None
     """qa with ``overlap``, and with ``duplicate`` if the places of first occurrences (chunk_id, batch_id, ORDER) are given.
 
     A chunk's pairs, the places and its text meet in one shuffle, by chunk and up to
-    ``LOT`` pairs at a time; a chunk's words are held once against all words of the
-    answers, and each answer against the few that are left.
+    ``LOT`` pairs at a time; each text is searched for words once, a chunk's words are held
+    against those of all its answers, and each answer's against the few that are left.
     """
     place = F.struct("batch_id", *ORDER)
     pairs = qa.select("chunk_id", _lot().alias("lot"), F.struct(*qa.columns).alias("pair"))
@@ -61,14 +61,14 @@ def _beside_sources(qa: DataFrame, sources: DataFrame, firsts: DataFrame | None
     if firsts is not None:
         rows = rows.unionByName(firsts.select("chunk_id", _lot().alias("lot"), place.alias("first")), True)
     met = rows.groupBy("chunk_id", "lot").agg(F.collect_list("pair").alias("pairs"), F.max("words_of").alias("words_of"), *([F.collect_list("first").alias("firsts")] if firsts is not None else []))
-    answers = F.array_join(F.transform("pairs", lambda p: p["answer"]), "\n")
-    common = F.array_intersect(significant_words(answers), significant_words(F.coalesce("words_of", F.lit(""))))
-    # worked out below the explosion: in one select with it, Spark would find the words anew for each pair
-    out = met.filter(F.size("pairs") > 0).withColumn("_common", common).select("_common", *met.columns[4:], F.inline("pairs"))
-    out = out.withColumn("overlap", F.size(F.array_intersect(significant_words(F.col("answer")), "_common")))
+    # all below the explosion: in one select with it, Spark would look for words anew for each pair; a pair takes a number along, no words
+    worded = met.filter(F.size("pairs") > 0).withColumn("_words", F.transform("pairs", lambda p: significant_words(F.coalesce(p["answer"], F.lit("")))))
+    common = F.array_intersect(F.array_distinct(F.flatten("_words")), significant_words(F.coalesce("words_of", F.lit(""))))
+    counted = worded.withColumn("_common", common).withColumn("_overlaps", F.transform("_words", lambda w: F.size(F.array_intersect(w, "_common"))))
+    out = counted.select(*met.columns[4:], F.inline(F.arrays_zip(F.col("pairs").alias("pair"), F.col("_overlaps").alias("overlap")))).select(*met.columns[4:], "pair.*", "overlap")
     if firsts is not None:
         out = out.withColumn("duplicate", ~F.array_contains("firsts", place))
-    return out.drop("_common", "firsts")
+    return out.drop("firsts")
 
 
 def with_overlap(qa: DataFrame, sources: DataFrame) -> DataFrame:
