@@ -10,9 +10,16 @@ CHUNK = "id string, text string, doc string, page_range array<int>, topic string
 QA = "question string, answer string, difficulty string, type string, chunk_id string, batch_id int"
 
 
-def read_jsonl(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
-    """One record a line; blank lines are skipped. The schema is given, never inferred."""
-    return spark.read.schema(schema).json(path)
+def _mode(strict: bool) -> str:
+    return "FAILFAST" if strict else "PERMISSIVE"
+
+
+def read_jsonl(spark: SparkSession, path: str | list[str], schema: str, strict: bool = False) -> DataFrame:
+    """One record a line; blank lines are skipped. The schema is given, never inferred.
+
+    A malformed line is a row of nulls, or if ``strict`` an error; ``records.read_records`` sets such lines apart.
+    """
+    return spark.read.schema(schema).option("mode", _mode(strict)).json(path)
 
 
 def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -20,9 +27,9 @@ def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return read_jsonl(spark, path, schema) if path.endswith(".jsonl") else spark.read.schema(schema).option("multiLine", True).json(path)
 
 
-def merge_jsonl(spark: SparkSession, root: str, schema: str = PAGE, pattern: str = "*.jsonl") -> DataFrame:
-    """All JSON lines below root as one dataset; write it outside root."""
-    return spark.read.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).json(root)
+def merge_jsonl(spark: SparkSession, root: str, schema: str = PAGE, pattern: str = "*.jsonl", strict: bool = False) -> DataFrame:
+    """All JSON lines below root as one dataset; write it outside root. Malformed lines as in read_jsonl."""
+    return spark.read.schema(schema).option("mode", _mode(strict)).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).json(root)
 
 
 def read_markdown(spark: SparkSession, root: str, pattern: str = "*.md") -> DataFrame:
@@ -61,9 +68,9 @@ def write_batches(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("ignoreNullFields", False).partitionBy("batch_id").json(path)
 
 
-def read_batches(spark: SparkSession, path: str, schema: str, batches: list[int]) -> DataFrame:
-    """The union of those batches that exist; the others' folders are not read."""
-    return spark.read.schema(schema).json(path).filter(F.col("batch_id").isin(batches))
+def read_batches(spark: SparkSession, path: str, schema: str, batches: list[int], strict: bool = False) -> DataFrame:
+    """The union of those batches that exist; the others' folders are not read. Malformed lines as in read_jsonl."""
+    return read_jsonl(spark, path, schema, strict).filter(F.col("batch_id").isin(batches))
 
 
 def exists(spark: SparkSession, path: str) -> bool:

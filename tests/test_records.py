@@ -6,6 +6,7 @@ import json
 
 import pytest
 
+from quillspark.sources import io as S
 from quillspark.sources import records as R
 
 SCHEMA = "id long, text string"
@@ -57,3 +58,7 @@ def test_strict(spark, files):
     assert R.read_strict(spark, [str(root / "in" / "a.jsonl"), str(root / "in" / "b.jsonl")], SCHEMA).count() == 507
     with pytest.raises(Exception, match=r"malformed record in file:.*c\.jsonl"):
         R.read_strict(spark, str(root / "in"), SCHEMA, "*.jsonl").collect()
+    for read in (lambda: S.read_jsonl(spark, str(root / "in" / "sub"), SCHEMA, strict=True), lambda: S.merge_jsonl(spark, str(root / "in"), SCHEMA, strict=True)):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            read().collect()
+    assert S.merge_jsonl(spark, str(root / "in" / "sub"), SCHEMA).filter("id is null").count() > 0
