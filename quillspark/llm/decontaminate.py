@@ -170,7 +170,7 @@ def _broadcast_search(rows: DataFrame, items: list[tuple[int, str]]) -> DataFram
     return rows.withColumn("hits", search(F.col("row.text")))
 
 
-def _hashed(rows: DataFrame, keep: str, bounds: list[tuple[int, int]] | None = None, short: list[int] = []) -> DataFrame:
+def _hashed(rows: DataFrame, keep: str, bounds: list[tuple[int, int]] | None = None, short: tuple[int, ...] | list[int] = ()) -> DataFrame:
     """Distinct shingle hashes of (keep, text): all, with the size, or those below the bounds (fewest shingles, greatest hash)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -198,7 +198,11 @@ def _shuffled_search(rows: DataFrame, items: DataFrame) -> DataFrame:
     sketch = saved(_hashed(items, "place").withColumn("part", F.floor(F.log2("size"))), "sketch")
     # one row for each power of two
     bounds = [(needed(r.size), r.bound) for r in sketch.groupBy("part").agg(F.min("size").alias("size"), F.max("hash").alias("bound")).collect()]
-    lengths = F.pandas_udf(lambda texts: pd.Series([min(len(words_of(t)), SHINGLE) for t in texts]), "int", F.PandasUDFType.SCALAR)
+
+    @F.pandas_udf("int")
+    def lengths(texts: pd.Series) -> pd.Series:
+        return pd.Series([min(len(words_of(t)), SHINGLE) for t in texts])
+
     short = [r.n for r in items.select(lengths("text").alias("n")).distinct().collect() if 0 < r.n < SHINGLE]  # four at most
     named = rows.select("row", F.md5(text_of("row.text").cast("binary")).alias("digest"))
     texts = saved(docs.select(F.md5(text_of().cast("binary")).alias("digest"), "text").groupBy("digest").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("n")), "texts")
