@@ -11,11 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 _given: dict[str, list[str]] = {}
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder that the driver and all executors share.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share, the session's ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only where that is
-    unset and all runs on one machine, as in tests, a local one is made and set.
+    Only where that is unset and all runs on one machine, as in tests, a local one is made and set.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -23,7 +22,12 @@ def shared_path(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder, which ``clear`` removes."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     _given.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
 
@@ -35,6 +39,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept_path(spark: SparkSession, name: str) -> str:
+    """The path of this name in the shared folder, the same at every call; ``clear`` leaves it."""
+    return f"{shared_folder(spark)}/kept/{name}"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a file or folder, in any store."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def clear(spark: SparkSession) -> int:
     """Removes all that this application has written to the shared folder; what was read from it must be stored by then. Returns the number of paths."""
     paths = _given.pop(spark.sparkContext.applicationId, [])
