@@ -1,15 +1,18 @@
 """Quality rules: base counts, and divergence from language references.
 
 A language's reference holds two histograms over all its documents that pass the
-base rules: characters by class, and words by rank (lower case, edge punctuation
-off): how many are among the ``RANKS[0]`` most frequent words with a letter, how many
-among the next up to ``RANKS[1]``, and so on, and how many are none of these. Ranks
-are counted together, as a text of some dozens of words has each single common word
-too seldom to be compared by it. A document is rejected if its own histogram of
-characters lies over ``MAX_CHAR_DISTANCE`` from its language's by Jensen-Shannon
-distance (base 2, 0 to 1), or its histogram of words over ``MAX_WORD_SHARE`` of the
-distance at which a text without any common word lies. Short documents have ragged
-histograms, so those under ``MIN_WORDS`` words are left to the base rules, as are
+base rules: characters by class, and common words (lower case, edge punctuation off),
+a bin for each of the ``RANKS[-1]`` most frequent words with a letter and one for all
+others. A document is rejected if its own histogram of characters lies over
+``MAX_CHAR_DISTANCE`` from its language's by Jensen-Shannon distance (base 2, 0 to
+1), or if its common words do, which are looked at twice. First by rank, bins up to
+``RANKS[0]``, up to ``RANKS[1]`` and the others pooled, as a text of some dozens of words
+has each single word too seldom: over ``MAX_WORD_SHARE`` of the distance at which a
+text without any common word lies. Then word by word: the divergence (the distance's
+square) less what chance alone gives a text of as many words drawn from the
+reference, over ``MAX_WORD_EXCESS`` of the divergence of a text without any common
+word. So the right share of the wrong common words does not pass in a text long
+enough to tell. Documents under ``MIN_WORDS`` words are left to the base rules, as are
 languages whose reference has under ``MIN_REFERENCE`` words.
 
 References are counted over the whole table: words are added up in a task, up to
@@ -46,9 +49,11 @@ SENT = 20_000
 #: Guards: words of a document, and of a language, from which histograms are compared.
 MIN_WORDS = 30
 MIN_REFERENCE = 1000
-#: Jensen-Shannon distance of characters above which a document is rejected, and that of words as a share of a text's without common words.
+#: Jensen-Shannon distance of characters above which a document is rejected; of words by rank that distance, and word by word
+#: the divergence beyond chance, as shares of those of a text without common words.
 MAX_CHAR_DISTANCE = 0.30
 MAX_WORD_SHARE = 0.70
+MAX_WORD_EXCESS = 0.60
 #: Base rules: fewest words, and most words in repeated windows (in a hundred).
 FEWEST_WORDS = 10
 MOST_REPEATED = 20
@@ -63,7 +68,7 @@ _CLASS[ord("a") : ord("z") + 1], _CLASS[ord("A") : ord("Z") + 1], _CLASS[ord("0"
 _CLASS[list(SPACE)], _CLASS[list(EDGE)] = 3, 4
 _CLASS[128:192] = 7  # later bytes of a character
 
-FEATURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, char_distance double, word_distance double"
+FEATURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, char_distance double, word_distance double, word_excess double"
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -125,19 +130,27 @@ class Reference:
 
     def __init__(self, chars, words, counts, total: int):
         self.chars, self.total = np.asarray(chars, float), total
-        self.ranks = {w: int(np.searchsorted(RANKS, k + 1)) for k, w in enumerate(words)}
-        self.words = np.zeros(len(RANKS) + 1)
-        np.add.at(self.words, np.searchsorted(RANKS, np.arange(1, len(words) + 1)), counts)
-        self.words[-1] = total - self.words.sum()
-        self.furthest = js_distance(np.eye(len(RANKS) + 1)[-1], self.words) if total else 0.0
-
-    def ranked(self, data: bytes) -> np.ndarray:
-        """A text's words by rank."""
-        own = np.zeros(len(RANKS) + 1)
+        self.bins = {w: k for k, w in enumerate(words)}
+        self.words = np.array([*counts, total - sum(counts)], float)
+        self.pools = np.append(np.searchsorted(RANKS, np.arange(1, len(words) + 1)), len(RANKS))
+        self.furthest = js_distance(np.eye(len(words) + 1)[-1], self.words) if total else 0.0
+
+    def binned(self, data: bytes) -> np.ndarray:
+        """How often a text has each common word, and others."""
+        own = np.zeros(len(self.words))
         for word, n in Counter(data.lower().split()).items():
-            own[self.ranks.get(word.strip(EDGE), -1)] += n
+            own[self.bins.get(word.strip(EDGE), -1)] += n
         return own
 
+    def by_rank(self, own: np.ndarray) -> float:
+        """Distance of common words, bins pooled by rank."""
+        return js_distance(*(np.bincount(self.pools, x, len(RANKS) + 1) for x in (own, self.words)))
+
+    def excess(self, own: np.ndarray) -> float:
+        """Divergence of common words, less what chance gives so many words: a bin's share of a chi-square's mean, or all of a bin that is likely empty."""
+        q = self.words / self.words.sum()
+        return js_distance(own, self.words) ** 2 - float(np.minimum((1 - q) / (8 * np.log(2) * own.sum()), q / 2).sum())
+
 
 def references(docs: DataFrame) -> DataFrame:
     """One row for each language: its documents, characters by class, common words with their counts, and the number of all words."""
@@ -191,12 +204,13 @@ def references(docs: DataFrame) -> DataFrame:
 
 
 def judge(text: str | None, reference: Reference | None) -> tuple:
-    """A text's base counts, base_failed, kept, and its two distances (null where a guard holds)."""
+    """A text's base counts, base_failed, kept, its two distances and the excess (null where a guard holds)."""
     words, data, counts = base(text)
     if counts[-1] or len(words) < MIN_WORDS or reference is None or reference.total < MIN_REFERENCE:
-        return *counts, not counts[-1], None, None
-    by_char, by_word = js_distance(char_classes(data), reference.chars), js_distance(reference.ranked(data), reference.words)
-    return *counts, by_char <= MAX_CHAR_DISTANCE and by_word <= MAX_WORD_SHARE * reference.furthest, by_char, by_word
+        return *counts, not counts[-1], None, None, None
+    own, far = reference.binned(data), reference.furthest
+    by_char, by_word, excess = js_distance(char_classes(data), reference.chars), reference.by_rank(own), reference.excess(own)
+    return *counts, by_char <= MAX_CHAR_DISTANCE and by_word <= MAX_WORD_SHARE * far and excess <= MAX_WORD_EXCESS * far**2, by_char, by_word, excess
 
 
 def with_verdict(docs: DataFrame, known: DataFrame | None = None, most_languages: int = MOST_LANGUAGES) -> DataFrame:
@@ -278,7 +292,13 @@ with d as (select row_number() over () rid, doc_id, coalesce(text, '') t, coales
   union all
   select rid, lang, 'w', coalesce(own.n, 0) / n_words, wref.n / total.n from judged join wref using (lang) join total using (lang) left join own using (rid, g)),
  js as (select rid, lang, kind, sqrt(greatest(0, sum(case when p > 0 then p * log2(2 * p / (p + q)) else 0 end + case when q > 0 then q * log2(2 * q / (p + q)) else 0 end) / 2)) d from pq group by all),
- bad as (select distinct rid from js join far using (lang) where d > case kind when 'c' then {MAX_CHAR_DISTANCE} else {MAX_WORD_SHARE} * furthest end)
+ wbin as (select lang, r, n from top union all select lang, {RANKS[1]} + 1, n from wref where g = 3),
+ ownbin as (select rid, coalesce(r, {RANKS[1]} + 1) r, count(*) n from bare left join top using (lang, word) group by all),
+ bins as (select rid, lang, n_words, coalesce(ownbin.n, 0) / n_words p, wbin.n / total.n q from judged join wbin using (lang) join total using (lang) left join ownbin using (rid, r)),
+ excess as (select rid, lang, sum(case when p > 0 then p * log2(2 * p / (p + q)) else 0 end + case when q > 0 then q * log2(2 * q / (p + q)) else 0 end) / 2
+   - sum(least((1 - q) / (8 * ln(2) * n_words), q / 2)) e from bins group by all),
+ bad as (select rid from excess join far using (lang) where e > {MAX_WORD_EXCESS} * furthest * furthest union
+  select distinct rid from js join far using (lang) where d > case kind when 'c' then {MAX_CHAR_DISTANCE} else {MAX_WORD_SHARE} * furthest end)
 select doc_id, n_words, word_chars::bigint word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and rid not in (select rid from bad) kept from base
 """
 
