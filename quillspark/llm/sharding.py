@@ -10,7 +10,9 @@ where it outweighs a share by itself; its shard is then the heavier one.
 
 The map is a table (version, slot, part, shard, rows, bytes, first_row, splits);
 growing or evening out the shards edits it under the next version and moves few
-slots. Rows are numbered within a part by up to ``splits`` sub-parts (by a hash of
+slots. Maps are kept at a path that the caller names: where one is stored there, the
+newest is edited for the new counts, and stored as the next version if that changes
+it. Rows are numbered within a part by up to ``splits`` sub-parts (by a hash of
 doc_id), so that a group with a third of all rows is numbered by many tasks.
 
 Defined cases: a null text counts as empty; an empty table gives an empty map
@@ -21,6 +23,7 @@ may have any name, only ``shard`` is replaced.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 
 import numpy as np
@@ -28,7 +31,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import packed, saved, shared_dir, table, text_of
+from ..sources.shared import exists, kept_path
+from .common import packed, saved, table, text_of
 
 N_SLOTS = 4096
 N_PARTS = 4
@@ -126,17 +130,31 @@ def edit_map(old: pd.DataFrame, stats: pd.DataFrame, n_shards: int, tolerance: f
 
 
 def save_map(spark: SparkSession, plan: pd.DataFrame, path: str) -> None:
-    """Adds one version to the stored maps."""
-    map_frame(spark, plan).write.mode("append").partitionBy("version").parquet(path)
+    """Adds one version to the stored maps, as one file, so that no version is seen half."""
+    map_frame(spark, plan).coalesce(1).write.mode("append").partitionBy("version").parquet(path)
 
 
 def load_map(spark: SparkSession, path: str, version: int | None = None) -> pd.DataFrame:
     """The newest stored version, or the one asked for."""
-    maps = spark.read.parquet(path)
+    maps = spark.read.schema(MAP_SCHEMA).parquet(path)
     version = maps.agg(F.max("version")).first()[0] if version is None else version
     return maps.filter(F.col("version") == version).toPandas().sort_values(["slot", "part"]).reset_index(drop=True)
 
 
+def next_map(spark: SparkSession, stats: pd.DataFrame, n_shards: int, path: str | None = None) -> pd.DataFrame:
+    """The map for these counts: the newest at the path, edited, or one from scratch; what is new is stored there."""
+    old = load_map(spark, path) if path and exists(spark, path) else None
+    if old is None or not len(old):
+        plan = build_map(stats, n_shards)
+    else:
+        plan, same = edit_map(old, stats, n_shards), [c for c in MAP if c != "version"]
+        if plan[same].sort_values(["slot", "part"]).reset_index(drop=True).astype("int64").equals(old[same].astype("int64")):
+            return plan.assign(version=old["version"].max())
+    if path and len(plan):
+        save_map(spark, plan, path)
+    return plan
+
+
 def map_frame(spark: SparkSession, plan: pd.DataFrame) -> DataFrame:
     return spark.createDataFrame(plan[MAP] if len(plan) else [], MAP_SCHEMA)
 
@@ -159,8 +177,8 @@ def sharded(docs: DataFrame, n_shards: int = 8) -> DataFrame:
     return assign(docs, build_map(slot_stats(slotted(docs)), n_shards))
 
 
-def shard_documents(docs: DataFrame, n_shards: int = 8, version: int = 1) -> tuple[DataFrame, pd.DataFrame]:
-    """Every row's place (doc_id, size, text_crc32, shard, slot), and the map behind it.
+def shard_documents(docs: DataFrame, n_shards: int = 8, maps: str | None = None) -> tuple[DataFrame, pd.DataFrame]:
+    """Every row's place (doc_id, size, text_crc32, shard, slot), and the map behind it, from the maps stored at a path if one is named.
 
     The text is read once; what is counted and numbered afterwards is narrow.
     ``slot`` numbers the rows of a shard from 0: the part's first row, the rows of the
@@ -169,7 +187,7 @@ def shard_documents(docs: DataFrame, n_shards: int = 8, version: int = 1) -> tup
     """
     spark = docs.sparkSession
     narrow = saved(slotted(docs), "shard-rows")
-    plan = build_map(slot_stats(narrow), n_shards, version)
+    plan = next_map(spark, slot_stats(narrow), n_shards, maps)
     where = map_frame(spark, plan).select(F.col("slot").alias("vslot"), F.col("part").alias("vpart"), "shard", "first_row", "splits")
     split = F.pmod(F.xxhash64(F.lit(2), "doc_id"), "splits").cast("int").alias("split")
     keys = ["vslot", "vpart", "split"]
@@ -186,10 +204,14 @@ def write_shards(docs: DataFrame, plan: pd.DataFrame, path: str) -> None:
     assign(docs, plan).write.partitionBy("shard").parquet(path)
 
 
+def stored_maps(spark: SparkSession, sf_dir: str) -> str:
+    """Where the maps for a folder's documents are kept."""
+    return kept_path(spark, f"slot-maps-{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}")
+
+
 def op7_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents in shards 0 to 7 of near equal bytes; the map is stored as version 1."""
-    rows, plan = shard_documents(table(spark, sf_dir, "documents"), 8)
-    save_map(spark, plan, shared_dir(spark, "slot-map"))
+    """All documents in shards 0 to 7 of near equal bytes, by the map kept for these tables, which a later call finds and edits."""
+    rows, _ = shard_documents(table(spark, sf_dir, "documents"), 8, stored_maps(spark, sf_dir))
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 

@@ -526,6 +526,37 @@ def test_words_without_common_ones_go(spark, documents):
     assert len(clean) > 20 and all(r.kept for r in clean)
 
 
+def test_wrong_common_words_go_at_the_right_share(spark, documents):
+    """Common words in the right share of ranks, but always the same two: by rank nothing is seen, word by word it is; the first 40 words of clean texts pass."""
+    prose = documents.filter("length(text) > 400").select("doc_id", "text", "lang")
+    known = quality.references(prose)
+    row = known.filter("lang = 'en'").first()
+    reference = quality.Reference(row.chars, [w.encode() for w in row.words], row.counts, row.total)
+    rare = [w for r in prose.filter("lang = 'en'").select("text").take(40) for w in r.text.lower().split() if w.isalpha() and w.encode() not in reference.bins]
+
+    def text(n: int) -> str:
+        mixed = ([row.words[4]] * (n // 5) + [row.words[20]] * (n // 9) + rare[: n - n // 5 - n // 9])
+        order = np.random.default_rng(n).permutation(len(mixed))
+        return " ".join(mixed[k] for k in order)
+
+    clean = {r.doc_id for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect() if r.quality == 1}
+    short = [(r.doc_id, " ".join(r.text.split()[:40]), "en") for r in prose.filter("lang = 'en'").collect() if r.doc_id in clean]
+    got = quality.judged(spark.createDataFrame([(-1, text(600), "en"), *short], "doc_id long, text string, lang string"), known).orderBy("doc_id").collect()
+    assert len(got) > 20
+    for r in got:
+        words = [w.strip(".,;:!?'\"()-") for w in r.text.lower().split()]
+        p = np.array([words.count(w) for w in row.words] + [0.0])
+        p[-1] = len(words) - p.sum()
+        q = np.array([*row.counts, row.total - sum(row.counts)], float)
+        p, q = p / p.sum(), q / q.sum()
+        m = (p + q) / 2
+        divergence = sum(a * np.log2(a / b) for x in (p, q) for a, b in zip(x, m) if a > 0) / 2
+        chance = sum(min((1 - x) / (8 * np.log(2) * len(words)), x / 2) for x in q)
+        assert abs(r.word_excess - (divergence - chance)) < 1e-9
+    assert not got[0].base_failed and got[0].char_distance <= quality.MAX_CHAR_DISTANCE and got[0].word_distance <= quality.MAX_WORD_SHARE * reference.furthest
+    assert not got[0].kept and all(r.word_excess <= quality.MAX_WORD_EXCESS * reference.furthest**2 for r in got[1:])
+
+
 def test_distance():
     a, b = np.array([1.0, 0, 1]), np.array([0.0, 1, 0])
     assert quality.js_distance(a, b) == 1 and quality.js_distance(a, a) == 0
@@ -569,6 +600,25 @@ def test_edited_maps_move_little(spark, documents):
     assert len(loads) == 9 and loads.max() < 1.2 * loads.mean()
 
 
+def test_a_later_call_finds_the_map(spark, documents):
+    """The query's map is found by its path; unchanged counts keep its version, new rows and shards make the next, and few texts move."""
+    sharding.op7_virtual_slots(spark, SMALL).count()
+    path = sharding.stored_maps(spark, SMALL)
+    first = sharding.load_map(spark, path)
+    again = {(r.doc_id, r.shard, r.slot) for r in sharding.op7_virtual_slots(spark, SMALL).collect()}
+    assert again == {(r.doc_id, r.shard, r.slot) for r in sharding.op7_virtual_slots(spark, SMALL).collect()}
+    assert sharding.load_map(spark, path).equals(first) and set(first["version"]) == {1}
+    own = shared_dir(spark, "own-maps")
+    before, _ = sharding.shard_documents(documents, 8, own)
+    more = documents.unionByName(documents.limit(40).withColumn("text", F.concat("text", F.lit(" more"))))
+    after, plan = sharding.shard_documents(more, 9, own)
+    assert set(plan["version"]) == {2} and len(sharding.load_map(spark, own, 1)) == len(first)
+    assert sorted(r.slot for r in after.filter("shard = 8").collect()) == list(range(after.filter("shard = 8").count()))
+    moved = before.select("doc_id", "text_crc32", F.col("shard").alias("was")).join(after, ["doc_id", "text_crc32"]).filter("was != shard and shard != 8")
+    assert moved.count() < 0.05 * documents.count()
+    assert sharding.shard_documents(documents.limit(0), 8, own)[0].count() == 0
+
+
 def test_shard_edges(spark, edges):
     rows, plan = sharding.shard_documents(edges, 3)
     assert rows.count() == len(EDGES) and sharding.assign(edges.withColumn("shard", F.lit("clash")), plan).count() == len(EDGES)
