@@ -6,12 +6,19 @@ have a similarity of ``4/5`` or more, directly or by steps.
 
 SimHash comes first: sets of equal fingerprints, and those that pigeonring filtering
 finds within two bits, are candidates, and the shingles themselves decide. That links
-most copies at the cost of one fingerprint each. But a similarity of 4/5 leaves some
-10 of 64 bits to differ, and no budget of bits that wide would tell copies from
-others, so a second search completes the classes: two sets of that similarity share a
-shingle among the first ``n - ceil(4n/5) + 1`` of each, in any order of all shingles,
-so only these prefixes meet and no pair is lost. The order puts shingles that are
-frequent in a sample last; that bears on speed, never on results.
+most copies at the cost of one fingerprint each, and what follows is a search between
+the classes it leaves, not between sets: a shingle that only one class holds is asked
+no more. But a similarity of 4/5 leaves some 10 of 64 bits to differ, and no budget of
+bits that wide would tell copies from others, so that second search completes the
+classes: two sets of that similarity share a shingle among the first
+``n - ceil(4n/5) + 1`` of each, in any order of all shingles, so only these prefixes
+meet and no pair is lost.
+
+The order of shingles bears on speed, never on results. Those frequent in a sample come
+last. Of the others, those in a fixed share of the hash range come first and are
+counted over all sets: first those that one class holds, then the rarer ones. That
+share is wider than a prefix, so the prefix of a set without a partner is mostly made
+of its own shingles, and it meets none, however many texts there are.
 
 Pairs that meet are pruned by size and by parity maps of 256 bits, then of 1,024:
 maps never differ in more bits than the sets in shingles. The shingles decide the rest. Sets that share
@@ -31,7 +38,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import simhash
@@ -46,6 +53,8 @@ WIDE = 1024
 #: Documents of the sample that orders shingles, and shingles known as frequent, at most.
 SAMPLE = 5_000
 FREQUENT = 50_000
+#: Shingles below this hash are counted: three tenths of all, where a prefix takes two.
+COUNTED = 3 * (1 << 64) // 10
 #: Sets of a block; pivots that sets of a shingle with more than a block are held against.
 BLOCK = 48
 PIVOTS = 8
@@ -91,14 +100,15 @@ def frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prepared(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, text, fp, sim, n, map0.., tokens) of each row: its text, and its set's digest, SimHash, size, parity map and prefix.
+    """(doc_id, row, text, fp, sim, n, spare, wide, map0.., tokens, common) of each row: its text, and its set's digest, SimHash, size, parity maps and first shingles.
 
-    The text is kept and not the set, which has twice its bytes and none to spare: the few that are compared are made again.
+    ``common`` are those of the first shingles that are known as frequent, ``spare`` is by
+    how many the others outnumber the prefix. The text is kept and not the set, which has twice its bytes and none to spare: the few that are compared are made again.
     """
     known, times = frequent(docs)
     maps = [f"map{k}" for k in range(MAPS)]
 
-    @F.pandas_udf(f"struct<fp:long,sim:long,n:int,wide:array<long>,{','.join(f'{m}:long' for m in maps)},tokens:array<long>>")
+    @F.pandas_udf(f"struct<fp:long,sim:long,n:int,spare:int,wide:array<long>,{','.join(f'{m}:long' for m in maps)},tokens:array<long>,common:array<long>>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             out = []
@@ -111,9 +121,12 @@ def prepared(docs: DataFrame) -> DataFrame:
                 if len(known):
                     at = np.minimum(np.searchsorted(known, own), len(known) - 1)
                     often = np.where(known[at] == own, times[at], 0)
-                first = own[np.argsort(often, kind="stable")[: n - -(-4 * n // 5) + 1]]
-                out.append((int(np.uint64(_digest(own)).view("i8")), int(np.uint64(simhash.majority(own.astype("<u8"))).view("i8")), n, np.packbits(wide, bitorder="little").view("<i8"), *parity.tolist(), first.view("i8")))
-            yield pd.DataFrame(out, columns=["fp", "sim", "n", "wide", *maps, "tokens"])
+                prefix = n - -(-4 * n // 5) + 1
+                spare = max(0, int(np.searchsorted(own[often == 0], np.uint64(COUNTED))) - prefix)
+                first = np.argsort(often, kind="stable")[: prefix + spare]
+                tokens, common = (own[first[told]].view("i8") for told in (often[first] == 0, often[first] > 0))
+                out.append((int(np.uint64(_digest(own)).view("i8")), int(np.uint64(simhash.majority(own.astype("<u8"))).view("i8")), n, spare, np.packbits(wide, bitorder="little").view("<i8"), *parity.tolist(), tokens, common))
+            yield pd.DataFrame(out, columns=["fp", "sim", "n", "spare", "wide", *maps, "tokens", "common"])
 
     return docs.select("doc_id", F.monotonically_increasing_id().alias("row"), "text", run("text").alias("s")).select("doc_id", "row", "text", "s.*")
 
@@ -150,7 +163,7 @@ def _allowed(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").filter(9 * apart <= F.col("n_a") + F.col("n_b")).select("a", "b", "n")
 
 
-def _linked(pairs: DataFrame, before: DataFrame | None, found: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
+def _linked(pairs: DataFrame, before: DataFrame, found: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
     """Those of the saved pairs (a, b, n) that are similar, but for pairs whose sets the links before and the other pairs here make one class.
 
     A pair's sets move to be compared, so each set is first held against one partner, that with which it shares the
@@ -160,7 +173,7 @@ def _linked(pairs: DataFrame, before: DataFrame | None, found: DataFrame, nodes:
     best = pairs.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
     best = saved(best, f"{name}-best")
     links = saved(_verified(best, found, nodes), f"{name}-best-links")
-    known = components(links if before is None else links.unionByName(before))
+    known = components(links.unionByName(before))
     root = lambda k: known.select(F.col("node").alias(k), F.col("root").alias(f"root_{k}"))
     open_ = pairs.select("a", "b").join(best, ["a", "b"], "left_anti").join(root("a"), "a", "left").join(root("b"), "b", "left")
     open_ = saved(open_.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b"), f"{name}-open")
@@ -168,24 +181,53 @@ def _linked(pairs: DataFrame, before: DataFrame | None, found: DataFrame, nodes:
 
 
 def simhash_pairs(nodes: DataFrame) -> DataFrame:
-    """(a, b): each set and the least set of its fingerprint, and the least sets of fingerprints that pigeonring filtering links."""
+    """(a, b), distinct: each set and the least set of its fingerprint, and the least sets of fingerprints that pigeonring filtering links."""
     least = saved(nodes.groupBy("sim").agg(F.min("fp").alias("first"), F.count(F.lit(1)).alias("n")), "sims")
     own = join_counted(nodes.select("sim", "fp"), least, ["sim"]).select(F.col("fp").alias("a"), F.col("first").alias("b"))
     a, b = (least.select(F.col("sim").alias(k), F.col("first").alias(f"first_{k}")) for k in "ab")
     near = simhash.links(least.select(F.col("sim").alias("fp"))).distinct().join(a, "a").join(b, "b").select(F.col("first_a").alias("a"), F.col("first_b").alias("b"))
-    return own.unionByName(near).filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    return own.unionByName(near).filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+def prefixes(found: DataFrame, firsts: DataFrame, nodes: DataFrame, known: DataFrame) -> DataFrame:
+    """(token, fp) of each set's prefix, without shingles that only one of the classes known (fp, root) holds."""
+    at = lambda k, row: nodes.select(F.col("fp").alias(k), F.col("row").alias(row))
+    linked = known.join(at("fp", "row"), "fp").join(at("root", "class"), "root").select("row", "class", F.lit(False).alias("copy"))
+    copies = found.select("row").join(firsts, "row", "left_anti").select("row", F.lit(None).cast("long").alias("class"), F.lit(True).alias("copy"))
+    told = saved(linked.unionByName(copies).withColumn("rows", F.lit(1)), "linked-and-copies")
+    sets = join_counted(found.select("row", "tokens", "common"), told, ["row"], "left", n="rows").filter(~F.coalesce("copy", F.lit(False)))
+    sets = sets.withColumn("class", F.coalesce("class", "row"))
+
+    # shingles that are not frequent: counted where they meet, and the most crowded beyond the prefix left out
+    own = Window.partitionBy("token")
+    rare = sets.select("row", "class", F.explode("tokens").alias("token"))
+    rare = rare.select("token", "row", F.count(F.lit(1)).over(own).alias("times"), F.min("class").over(own).alias("low"), F.max("class").over(own).alias("high"))
+    rare = rare.filter("low != high").select("token", "row", "times").join(nodes.select("row", "fp", "spare"), "row")
+    place = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("times"), F.desc("token")))
+    rare = rare.withColumn("place", place).filter(F.col("place") > F.col("spare")).select("token", "fp")
+
+    # frequent ones may be in any number of sets, so these are never gathered
+    common = sets.select("row", "class", F.explode("common").alias("token"))
+    shared = common.groupBy("token").agg(F.count(F.lit(1)).alias("rows"), F.min("class").alias("low"), F.max("class").alias("high"))
+    shared = saved(shared.filter("low != high").select("token", "rows"), "shared-frequent")
+    common = join_counted(common.select("token", "row"), shared, ["token"], n="rows").join(nodes.select("row", "fp"), "row").select("token", "fp")
+    return saved(rare.unionByName(common), "prefixes")
 
 
 def links(found: DataFrame) -> DataFrame:
     """(a, b) that connect just those digests whose sets are similar by 4/5, directly or by steps. found: prepared(docs), saved."""
     facts = ["fp", "n", *[f"map{k}" for k in range(MAPS)]]
     firsts = saved(found.groupBy("fp").agg(F.min("row").alias("row")).select("row"), "first-rows")
-    nodes = saved(found.drop("doc_id", "text", "tokens").join(firsts, "row", "left_semi"), "sets")
-    tokens = found.select("row", "fp", "tokens").join(firsts, "row", "left_semi").select("fp", F.explode("tokens").alias("token"))
+    nodes = saved(found.drop("doc_id", "text", "tokens", "common").join(firsts, "row", "left_semi"), "sets")
+
+    # fingerprints: what they link is one class to all that follows
+    near = saved(_allowed(simhash_pairs(nodes).withColumn("n", F.lit(1)), nodes), "print-pairs")
+    printed = saved(_verified(near.select("a", "b"), found, nodes), "print-links")
+    tokens = prefixes(found, firsts, nodes, components(printed).withColumnRenamed("node", "fp"))
     shared = saved(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").withColumn("rows", F.col("times")), "shared-shingles")
     met = saved(join_counted(tokens, shared, ["token"], n="rows").join(nodes.select(facts), "fp"), "met")
 
-    # fingerprints, and crowded shingles: all against a few pivots
+    # crowded shingles: all against a few pivots
     many = met.filter(F.col("times") > BLOCK)
     pivots = [F.min_by("fp", F.xxhash64(F.lit(k), "fp")) for k in range(PIVOTS)]
     centres = many.groupBy("token").agg(*[p.alias(f"c{k}") for k, p in enumerate(pivots)], F.count(F.lit(1)).alias("rows"))
@@ -193,8 +235,8 @@ def links(found: DataFrame) -> DataFrame:
     centres = saved(centres.groupBy("token", "rows").agg(F.collect_list(F.struct(*facts)).alias("centres")), "centres")
     near = F.filter("centres", lambda c: (c["fp"] != F.col("fp")) & _near(c, {k: F.col(k) for k in facts}))
     stars = join_counted(many, centres, ["token"], n="rows").select("fp", F.explode(near).alias("c")).select(F.greatest("fp", "c.fp").alias("a"), F.least("fp", "c.fp").alias("b"))
-    stars = stars.unionByName(simhash_pairs(nodes)).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
-    first = saved(_linked(saved(stars, "first-pairs"), None, found, nodes, "first"), "first-links")
+    stars = stars.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    first = saved(printed.unionByName(_linked(saved(stars, "first-pairs"), printed, found, nodes, "first")), "first-links")
     known = components(first).select(F.col("node").alias("fp"), "root")
     met = met.join(known, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 

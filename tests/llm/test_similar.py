@@ -64,3 +64,53 @@ def test_near_duplicate_edges(spark):
     rows = corpus_pipeline.near_duplicates(spark, docs, SMALL).collect()
     assert sorted((r.doc_id is None, r.doc_id or 0, (r.text or "")[:2]) for r in rows) == [(False, 1, "a "), (False, 2, ""), (False, 4, "Q "), (False, 4, "ot"), (True, 0, "e ")]
     assert kept(spark, docs.limit(0)) == []
+
+
+def counted(monkeypatch) -> dict:
+    """Rows of the intermediate tables from now on, by name."""
+    rows: dict = {}
+    write = similar.saved
+
+    def saved(df, name):
+        out = write(df, name)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(similar, "saved", saved)
+    return rows
+
+
+def documents(spark, texts: dict):
+    return spark.createDataFrame([(i, t, "en", "x", len(t)) for i, t in texts.items()], DOCS)
+
+
+def test_fingerprints_bear_on_what_follows(spark, monkeypatch):
+    """What fingerprints link is one class, of which the second search sees nothing; without them it finds the same links."""
+    texts = {10 * f + i: " ".join([*(f"f{f}w{k}" for k in range(1500)), f"end{i}"]) for f in range(4) for i in range(5)}
+    rows = counted(monkeypatch)
+    assert kept(spark, documents(spark, texts)) == [0, 10, 20, 30]
+    assert rows["met"] == 0
+    assert rows["print-links"] > 0 and rows["prefixes"] == rows["pairs"] == 0
+    found = similar.simhash_pairs
+    monkeypatch.setattr(similar, "simhash_pairs", lambda nodes: found(nodes).limit(0))
+    assert kept(spark, documents(spark, texts)) == [0, 10, 20, 30]
+    assert rows["print-links"] == 0 and rows["prefixes"] > 0 and rows["pairs"] > 0
+
+
+def test_phrases_shared_by_chance_make_no_pairs(spark, monkeypatch):
+    """Texts with a sixth of their shingles from phrases that no sample knows: only copies meet."""
+    monkeypatch.setattr(similar, "FREQUENT", 1)
+    rng = np.random.default_rng(3)
+    phrases, texts = [" ".join(f"p{k}q{j}" for j in range(12)) for k in range(60)], {}
+    for i in range(100):
+        texts[i] = " ".join(f"{phrases[k]} " + " ".join(f"t{i}n{n}m{j}" for j in range(40)) for n, k in enumerate(rng.integers(0, 60, 15)))
+    for i in range(100, 110):
+        words = texts[i - 100].split()
+        for k in rng.integers(0, len(words), 10):
+            words[k] = f"x{i}"
+        texts[i] = " ".join(words)
+    want = least_of_classes(texts)
+    assert want == list(range(100))
+    rows = counted(monkeypatch)
+    assert kept(spark, documents(spark, texts)) == want
+    assert rows["pairs"] <= 20
