@@ -23,7 +23,9 @@ of its own shingles, and it meets none, however many texts there are.
 Pairs that meet are pruned by size and by parity maps of 256 bits, then of 1,024:
 maps never differ in more bits than the sets in shingles. The shingles decide the rest. Sets that share
 a crowded shingle are first held against a few pivots; after that, only pairs not yet
-known to be of one class are looked at, block by block.
+known to be of one class are looked at, block by block. Two sets that share many
+shingles of their prefixes would meet at each; as each set knows which of its own
+come shortly before, the rarest first, they make a pair where they first meet and hardly ever again.
 
 Defined cases: texts without words are alike; a text of one to four words is one
 shingle; a long text is a larger set; equal sets are one node, so exact copies and
@@ -58,6 +60,8 @@ COUNTED = 3 * (1 << 64) // 10
 #: Sets of a block; pivots that sets of a shingle with more than a block are held against.
 BLOCK = 48
 PIVOTS = 8
+#: Shingles of its prefix that a set brings along to the next one, so that two sets do not make a pair at each that they share.
+BEFORE = 8
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -157,20 +161,21 @@ def _verified(pairs: DataFrame, found: DataFrame, nodes: DataFrame) -> DataFrame
 
 
 def _allowed(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b, n) whose wide parity maps allow a similarity of 4/5."""
+    """Those of the pairs (a, b) whose wide parity maps allow a similarity of 4/5, with ``near``, the greater the nearer by these maps."""
     a, b = (nodes.select(F.col("fp").alias(k), F.col("n").alias(f"n_{k}"), F.col("wide").alias(f"wide_{k}")) for k in "ab")
     apart = F.aggregate(F.zip_with("wide_a", "wide_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, n: t + n)
-    return pairs.join(a, "a").join(b, "b").filter(9 * apart <= F.col("n_a") + F.col("n_b")).select("a", "b", "n")
+    both = pairs.join(a, "a").join(b, "b").select("a", "b", (F.col("n_a") + F.col("n_b")).alias("size"), apart.alias("apart"))
+    return both.filter(9 * F.col("apart") <= F.col("size")).select("a", "b", (1 - F.col("apart") / F.greatest("size", F.lit(1))).cast("float").alias("near"))
 
 
 def _linked(pairs: DataFrame, before: DataFrame, found: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
-    """Those of the saved pairs (a, b, n) that are similar, but for pairs whose sets the links before and the other pairs here make one class.
+    """Those of the saved pairs (a, b) that are similar, but for pairs whose sets the links before and the other pairs here make one class.
 
-    A pair's sets move to be compared, so each set is first held against one partner, that with which it shares the
-    most prefix shingles; of its other pairs only those are left whose sets are not yet of one class.
+    A pair's sets move to be compared, so each set is first held against one partner, the
+    nearest by their parity maps; of its other pairs only those are left whose sets are not yet of one class.
     """
     pairs = saved(_allowed(pairs, nodes), f"{name}-allowed")
-    best = pairs.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
+    best = pairs.groupBy("a").agg(F.max_by("b", F.struct("near", "b")).alias("b"))
     best = saved(best, f"{name}-best")
     links = saved(_verified(best, found, nodes), f"{name}-best-links")
     known = components(links.unionByName(before))
@@ -214,6 +219,34 @@ def prefixes(found: DataFrame, firsts: DataFrame, nodes: DataFrame, known: DataF
     return saved(rare.unionByName(common), "prefixes")
 
 
+def meetings(met: DataFrame) -> DataFrame:
+    """(a, b), few of them twice: all pairs of sets that share a shingle, are not of one class and may be similar. met: (token, fp, times, before, root, n, map0..).
+
+    A pair is made where the last ``BEFORE`` shingles of both, in one order of all shingles, have none in common. That
+    holds where they first meet, so no pair is lost, and seldom after that.
+    """
+    facts = ["fp", "n", *[f"map{k}" for k in range(MAPS)], "root", "before"]
+    block = F.when(F.col("times") > BLOCK, F.pmod(F.xxhash64("fp"), F.ceil(F.col("times") / BLOCK))).otherwise(0).cast("int").alias("block")
+    blocks = saved(met.select("token", "times", block, F.struct(*facts).alias("x")).groupBy("token", "times", "block").agg(F.collect_list("x").alias("xs"), F.min("x.root").alias("low"), F.max("x.root").alias("high")), "blocks")
+
+    def pairs(xs: Column, ys: Column, later: bool) -> Column:
+        def with_others(x: Column, i: Column) -> Column:
+            others = F.slice(ys, i + 2, F.size(ys)) if later else ys
+            new = F.filter(others, lambda y: (x["root"] != y["root"]) & _near(x, y) & ~F.arrays_overlap(x["before"], y["before"]))
+            return F.transform(new, lambda y: F.struct(F.greatest(x["fp"], y["fp"]).alias("a"), F.least(x["fp"], y["fp"]).alias("b")))
+
+        return F.flatten(F.transform(xs, with_others))
+
+    # two blocks of a crowded shingle meet by shingle and both their numbers, so a hot shingle is dealt out before its blocks are joined
+    crowded = blocks.filter(F.col("times") > BLOCK)
+    mixed = crowded.groupBy("token").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low != high").select("token")
+    crowded = crowded.drop("low", "high").join(saved(mixed, "mixed-shingles"), "token", "left_semi").withColumn("of", F.ceil(F.col("times") / BLOCK).cast("int"))
+    early = crowded.filter(F.col("block") + 1 < F.col("of")).select("token", F.col("block").alias("i"), F.explode(F.sequence(F.col("block") + 1, F.col("of") - 1)).alias("j"), "xs")
+    late = crowded.filter("block > 0").select("token", F.explode(F.sequence(F.lit(0), F.col("block") - 1)).alias("i"), F.col("block").alias("j"), F.col("xs").alias("ys"))
+    across = early.join(late, ["token", "i", "j"])
+    return blocks.select(F.inline(pairs(F.col("xs"), F.col("xs"), True))).unionByName(across.select(F.inline(pairs(F.col("xs"), F.col("ys"), False))))
+
+
 def links(found: DataFrame) -> DataFrame:
     """(a, b) that connect just those digests whose sets are similar by 4/5, directly or by steps. found: prepared(docs), saved."""
     facts = ["fp", "n", *[f"map{k}" for k in range(MAPS)]]
@@ -221,11 +254,14 @@ def links(found: DataFrame) -> DataFrame:
     nodes = saved(found.drop("doc_id", "text", "tokens", "common").join(firsts, "row", "left_semi"), "sets")
 
     # fingerprints: what they link is one class to all that follows
-    near = saved(_allowed(simhash_pairs(nodes).withColumn("n", F.lit(1)), nodes), "print-pairs")
+    near = saved(_allowed(simhash_pairs(nodes), nodes), "print-pairs")
     printed = saved(_verified(near.select("a", "b"), found, nodes), "print-links")
     tokens = prefixes(found, firsts, nodes, components(printed).withColumnRenamed("node", "fp"))
     shared = saved(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").withColumn("rows", F.col("times")), "shared-shingles")
-    met = saved(join_counted(tokens, shared, ["token"], n="rows").join(nodes.select(facts), "fp"), "met")
+    order = Window.partitionBy("fp").orderBy("times", "token")
+    before = F.array_compact(F.array(*[F.lag("token", k).over(order) for k in range(1, BEFORE + 1)])).alias("before")
+    met = join_counted(tokens, shared, ["token"], n="rows").select("token", "fp", "times", before)
+    met = saved(met.join(nodes.select(facts), "fp"), "met")
 
     # crowded shingles: all against a few pivots
     many = met.filter(F.col("times") > BLOCK)
@@ -235,31 +271,12 @@ def links(found: DataFrame) -> DataFrame:
     centres = saved(centres.groupBy("token", "rows").agg(F.collect_list(F.struct(*facts)).alias("centres")), "centres")
     near = F.filter("centres", lambda c: (c["fp"] != F.col("fp")) & _near(c, {k: F.col(k) for k in facts}))
     stars = join_counted(many, centres, ["token"], n="rows").select("fp", F.explode(near).alias("c")).select(F.greatest("fp", "c.fp").alias("a"), F.least("fp", "c.fp").alias("b"))
-    stars = stars.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
-    first = saved(printed.unionByName(_linked(saved(stars, "first-pairs"), printed, found, nodes, "first")), "first-links")
+    first = saved(printed.unionByName(_linked(saved(stars.distinct(), "first-pairs"), printed, found, nodes, "first")), "first-links")
     known = components(first).select(F.col("node").alias("fp"), "root")
     met = met.join(known, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
-    # all pairs of a shingle that are not yet of one class, by blocks
-    block = F.when(F.col("times") > BLOCK, F.pmod(F.xxhash64("fp"), F.ceil(F.col("times") / BLOCK))).otherwise(0).cast("int").alias("block")
-    blocks = saved(met.select("token", "times", block, F.struct(*facts, "root").alias("x")).groupBy("token", "times", "block").agg(F.collect_list("x").alias("xs"), F.min("x.root").alias("low"), F.max("x.root").alias("high")), "blocks")
-
-    def pairs(xs: Column, ys: Column, later: bool) -> Column:
-        def with_others(x: Column, i: Column) -> Column:
-            others = F.slice(ys, i + 2, F.size(ys)) if later else ys
-            return F.transform(F.filter(others, lambda y: (x["root"] != y["root"]) & _near(x, y)), lambda y: F.struct(F.greatest(x["fp"], y["fp"]).alias("a"), F.least(x["fp"], y["fp"]).alias("b")))
-
-        return F.flatten(F.transform(xs, with_others))
-
-    # two blocks of a crowded shingle meet by shingle and both their numbers, so a hot shingle is dealt out before its blocks are joined
-    crowded = blocks.filter(F.col("times") > BLOCK)
-    mixed = crowded.groupBy("token").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low != high").select("token")
-    crowded = crowded.drop("low", "high").join(saved(mixed, "mixed-shingles"), "token", "left_semi").withColumn("of", F.ceil(F.col("times") / BLOCK).cast("int"))
-    early = crowded.filter(F.col("block") + 1 < F.col("of")).select("token", F.col("block").alias("i"), F.explode(F.sequence(F.col("block") + 1, F.col("of") - 1)).alias("j"), "xs")
-    late = crowded.filter("block > 0").select("token", F.explode(F.sequence(F.lit(0), F.col("block") - 1)).alias("i"), F.col("block").alias("j"), F.col("xs").alias("ys"))
-    across = early.join(late, ["token", "i", "j"])
-    rest = blocks.select(F.inline(pairs(F.col("xs"), F.col("xs"), True))).unionByName(across.select(F.inline(pairs(F.col("xs"), F.col("ys"), False)))).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
-    return first.unionByName(_linked(saved(rest, "pairs"), first, found, nodes, "rest"))
+    rest = saved(meetings(met).distinct(), "pairs")
+    return first.unionByName(_linked(rest, first, found, nodes, "rest"))
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:

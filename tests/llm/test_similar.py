@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quillspark.llm import similar
+from quillspark.llm import graph, similar
 
 from .test_operators import DOCS, EDGES, SMALL
 
@@ -114,3 +115,59 @@ def test_phrases_shared_by_chance_make_no_pairs(spark, monkeypatch):
     rows = counted(monkeypatch)
     assert kept(spark, documents(spark, texts)) == want
     assert rows["pairs"] <= 20
+
+
+def family(copies: int, edits: int) -> dict:
+    """Copies of one text, each with words of its own in so many places: alike by some 3/4, so each is a class."""
+    rng, texts = np.random.default_rng(5), {}
+    for i in range(copies):
+        words = [f"w{k}" for k in range(400)]
+        for k in rng.choice(400, edits, replace=False):
+            words[k] = f"x{i}y{k}"
+        texts[i] = " ".join(words)
+    return texts
+
+
+@pytest.mark.parametrize("block", [8, 48])
+def test_sets_that_share_many_shingles_make_one_pair(spark, monkeypatch, block):
+    """Two sets make a pair where they first meet, in a block or between blocks, and not again at each shingle that they share."""
+    monkeypatch.setattr(similar, "BLOCK", block)
+    counts, find = [], similar.meetings
+
+    def meetings(met):
+        every = find(met.withColumn("before", F.array().cast("array<bigint>")))
+        counts.append((find(met).count(), find(met).distinct().count(), every.count(), every.distinct().count()))
+        return find(met)
+
+    monkeypatch.setattr(similar, "meetings", meetings)
+    texts = family(40, 6)
+    want = least_of_classes(texts)
+    assert len(want) > 20
+    assert kept(spark, documents(spark, texts)) == want
+    rows, pairs, before, all_pairs = counts[0]
+    assert pairs == all_pairs > 200
+    assert before > 5 * pairs and rows < 2 * pairs
+
+
+def test_small_graphs_in_few_files(spark, monkeypatch):
+    """The steps that connect a small graph write a file each, however many partitions a shuffle has."""
+    files, write = {}, graph.saved
+
+    def saved(df, name):
+        out = write(df, name)
+        files[name] = max(files.get(name, 0), len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(graph, "saved", saved)
+    held = {"spark.sql.shuffle.partitions": "50", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    was = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        edges = spark.createDataFrame([(k, k + 1) for k in range(300) if k % 10 != 9], "a long, b long")
+        found = {r.node: r.root for r in graph.components(edges).collect()}
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert found == {k: k - k % 10 for k in range(300)}
+    assert {files[k] for k in ("least", "large-star", "low", "small-star")} == {1}
