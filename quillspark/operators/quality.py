@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import normalize_question, significant_words, strip
+from ..functions.text import let, normalize_question, significant_words, strip
 
 # Bounds of lengths, and forms of vague questions and simple answers (any case).
 QUESTION_LENGTH, ANSWER_LENGTH = (10, 300), (20, 1000)
@@ -17,8 +17,8 @@ VAGUE = (r"(?iu)^What is [^\n]{1,15}\?\z", r"(?iu)^(Yes|No)\.?\z", r"(?iu)^(True
 SIMPLE_LENGTH = 30
 GROUNDED_WORDS = 3
 ORDER = ["chunk_ord", "pair_idx"]
-#: Pairs of a chunk that are looked at together.
-LOT = 64
+#: Pairs of a chunk that are looked at together, and as many of them as the words in common are cut down to once more.
+LOT, FEW = 64, 8
 
 
 def first_occurrences(qa: DataFrame) -> DataFrame:
@@ -45,26 +45,41 @@ def _lot(place: str = "chunk_id") -> Column:
     return F.floor(F.col("pair_idx") / LOT) + F.when(F.col(place).isNull(), F.pmod(F.xxhash64(*ORDER), F.lit(4096)) * (1 << 32)).otherwise(0)
 
 
+def _overlaps(words: Column, words_of: Column) -> Column:
+    """For each array of words how many of them are in words_of.
+
+    A set is built of one side of each intersection, so the words that all arrays share with
+    words_of come first, then those of ``FEW`` arrays. Each is bound by ``let``: a column of
+    that name would be put into the function of an array, and worked out once an array.
+    """
+    shared = lambda arrays, within: F.array_intersect(F.array_distinct(F.flatten(arrays)), within)
+    of_few = lambda few, within: let(shared(few, within), lambda c: F.transform(few, lambda w: F.size(F.array_intersect(w, c))))
+    firsts = lambda ws: F.sequence(F.lit(1), F.greatest(F.size(ws), F.lit(1)), F.lit(FEW))
+    return let(words, lambda ws: let(shared(ws, words_of), lambda c: F.flatten(F.transform(firsts(ws), lambda k: let(F.slice(ws, k, FEW), lambda few: of_few(few, c))))))
+
+
 def _beside_sources(qa: DataFrame, sources: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
     """qa with ``overlap``, and with ``duplicate`` if the places of first occurrences (chunk_id, batch_id, ORDER) are given.
 
     A chunk's pairs, the places and its text meet in one shuffle, by chunk and up to
-    ``LOT`` pairs at a time; each text is searched for words once, a chunk's words are held
-    against those of all its answers, and each answer's against the few that are left.
+    ``LOT`` pairs at a time; each text is searched for words once, before it is dealt to its
+    lots, a chunk's words are held against those of all a lot's answers, and each answer's
+    against the few that are left.
     """
     place = F.struct("batch_id", *ORDER)
     pairs = qa.select("chunk_id", _lot().alias("lot"), F.struct(*qa.columns).alias("pair"))
-    texts = sources.select("chunk_id", F.coalesce("text", F.lit("")).alias("words_of"))
-    more = qa.filter(F.col("pair_idx") >= LOT).filter("chunk_id is not null").select("chunk_id", _lot().alias("lot")).distinct()
-    texts = texts.select("chunk_id", F.lit(0).cast("long").alias("lot"), "words_of").unionByName(texts.join(more, "chunk_id").select("chunk_id", "lot", "words_of"))
+    # a text's words are one string on their way, which is shorter than the text and than an array of them
+    texts = sources.select("chunk_id", F.array_join(significant_words(F.coalesce("text", F.lit(""))), " ").alias("words_of"))
+    more = qa.filter(F.col("pair_idx") >= LOT).filter("chunk_id is not null").groupBy("chunk_id").agg(F.collect_set(_lot()).alias("more"))
+    lots = F.concat(F.array(F.lit(0).cast("long")), F.coalesce("more", F.expr("cast(array() as array<bigint>)")))
+    texts = texts.join(more, "chunk_id", "left").select("chunk_id", F.explode(lots).alias("lot"), "words_of")
     rows = pairs.unionByName(texts, True)
     if firsts is not None:
         rows = rows.unionByName(firsts.select("chunk_id", _lot().alias("lot"), place.alias("first")), True)
     met = rows.groupBy("chunk_id", "lot").agg(F.collect_list("pair").alias("pairs"), F.max("words_of").alias("words_of"), *([F.collect_list("first").alias("firsts")] if firsts is not None else []))
     # all below the explosion: in one select with it, Spark would look for words anew for each pair; a pair takes a number along, no words
-    worded = met.filter(F.size("pairs") > 0).withColumn("_words", F.transform("pairs", lambda p: significant_words(F.coalesce(p["answer"], F.lit("")))))
-    common = F.array_intersect(F.array_distinct(F.flatten("_words")), significant_words(F.coalesce("words_of", F.lit(""))))
-    counted = worded.withColumn("_common", common).withColumn("_overlaps", F.transform("_words", lambda w: F.size(F.array_intersect(w, "_common"))))
+    words = F.transform("pairs", lambda p: significant_words(F.coalesce(p["answer"], F.lit(""))))
+    counted = met.filter(F.size("pairs") > 0).withColumn("_overlaps", _overlaps(words, F.split(F.coalesce("words_of", F.lit("")), " ")))
     out = counted.select(*met.columns[4:], F.inline(F.arrays_zip(F.col("pairs").alias("pair"), F.col("_overlaps").alias("overlap")))).select(*met.columns[4:], "pair.*", "overlap")
     if firsts is not None:
         out = out.withColumn("duplicate", ~F.array_contains("firsts", place))

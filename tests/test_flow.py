@@ -67,6 +67,18 @@ def test_words_are_found_once_a_chunk(spark):
     assert not any(words in line for line in plan[:at]) and sum(line.count(words) for line in plan[at:]) == 2  # of answers, of a source
 
 
+def test_words_in_common_are_found_once_a_lot(spark):
+    """A long chunk with many answers: its text is searched once for 64 of them, not once for each, and the numbers are those of Python's sets."""
+    text = " ".join(f"maize{k} field{k % 700} of grain{k % 90}." for k in range(6000))
+    answers = [" ".join(f"maize{(k * j) % 9000} grain{j % 200} Other{j}" for j in range(1, 2 + k % 23)) for k in range(1500)]
+    qa = spark.createDataFrame([(1, 1, 1, k, f"How {k}?", a) for k, a in enumerate(answers)], "chunk_id long, batch_id int, chunk_ord long, pair_idx int, question string, answer string")
+    began = time.perf_counter()
+    got = {r.pair_idx: r.overlap for r in Q.with_overlap(qa, spark.createDataFrame([(1, text)], "chunk_id long, text string")).collect()}
+    assert time.perf_counter() - began < 20
+    words = lambda x: set(re.findall(r"\w{5,}", x.lower()))
+    assert got == {k: len(words(a) & words(text)) for k, a in enumerate(answers)}
+
+
 def test_pairs_without_a_chunk(spark):
     rows = [(None, 1, k, 1, f"How does it grow {k}?", "maize nitrogen harvest water and fields of grain") for k in range(200)] + [(7, 1, 500 + k, k, f"Why is it so {k % 3}?", "maize nitrogen harvest water") for k in range(200)]
     qa = spark.createDataFrame(rows, "chunk_id long, batch_id int, chunk_ord long, pair_idx int, question string, answer string")
