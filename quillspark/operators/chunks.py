@@ -43,18 +43,23 @@ def section_boundaries(text: Column) -> Column:
     return F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0)), *starts, F.array(F.length(text)))))
 
 
-def _sections(docs: DataFrame, shortest: int) -> DataFrame:
-    """docs (doc, text, ...) with ``sections``, those that are long enough. Short ones are dropped, not merged."""
+def _sections(docs: DataFrame, shortest: int) -> tuple[DataFrame, Column]:
+    """docs (doc, text, ...) with their boundaries, and the sections that are long enough as a column over them. Short ones are dropped, not merged.
+
+    The column is not added to the rows: an explosion of an added one would bring a
+    filter of its own along, for which Spark looks for all sections anew.
+    """
     # an empty text has no section; a filter on the boundaries themselves would look for them twice
     found = docs.filter(F.length("text") > 0).withColumn("_at", section_boundaries(F.col("text")))
     cut = F.transform(F.sequence(F.lit(1), F.size("_at") - 1), lambda k: F.substring(F.col("text"), F.get("_at", k - 1) + 1, F.get("_at", k) - F.get("_at", k - 1)))
-    return found.withColumn("sections", F.filter(cut, lambda x: F.length(x) >= shortest)).drop("_at")
+    return found, F.filter(cut, lambda x: F.length(x) >= shortest)
 
 
 def sections(docs: DataFrame, shortest: int = SHORTEST) -> DataFrame:
     """Sections of (doc, text): doc, section (their number), text."""
     keep = [c for c in docs.columns if c != "text"]
-    return _sections(docs, shortest).select(*keep, F.posexplode("sections").alias("section", "text"))
+    found, own = _sections(docs, shortest)
+    return found.select(*keep, F.posexplode(own).alias("section", "text"))
 
 
 def pack_paragraphs(text: Column, target: int = TARGET) -> Column:
@@ -115,8 +120,9 @@ def semantic_chunks(pages: DataFrame, target: int = TARGET, shortest: int = SHOR
     ordered = F.array_sort(F.collect_list(F.struct("page", "id", "text")))
     docs = pages.groupBy("doc").agg(ordered.alias("pages")).select("doc", "pages", F.array_join(F.transform("pages", lambda x: x["text"]), "\n\n").alias("text"))
     packed = lambda s: F.when(F.length(s) > longest, pack_paragraphs(s, target)).otherwise(F.array(s))
-    bodies = F.flatten(F.transform("sections", lambda s: F.filter(packed(s), lambda b: F.length(b) >= shortest)))
-    found = _sections(docs, shortest).select("doc", "pages", bodies.alias("bodies"))  # docs without chunks go with the explosion; a filter would pack them twice
+    docs, own = _sections(docs, shortest)
+    bodies = F.flatten(F.transform(own, lambda s: F.filter(packed(s), lambda b: F.length(b) >= shortest)))
+    found = docs.select("doc", "pages", bodies.alias("bodies"))  # docs without chunks go with the explosion; a filter would pack them twice
     ranged = F.transform("bodies", lambda b: F.struct(b.alias("body"), page_range(b, F.col("pages")).alias("page_range")))
     rows = found.select("doc", F.transform("pages", lambda x: x["id"]).alias("source_pages"), F.posexplode(ranged).alias("at", "chunk"))
     body, number = F.col("chunk.body"), F.col("at") + 1

@@ -106,3 +106,11 @@ def test_files(spark, tmp_path):
     out = str(tmp_path / "out")
     S.write_jsonl(spark.createDataFrame([("é", None)], "a string, b string").coalesce(1), out)
     assert [p.read_text() for p in (tmp_path / "out").glob("part*")] == ['{"a":"é","b":null}\n']
+
+
+def test_sections_are_looked_for_once(spark):
+    """Each form of header is searched for once a document: the explosion brings no filter along that would look for all sections anew."""
+    docs = spark.createDataFrame([("d", "a\nA LONG HEADER LINE\n" + "x" * 1200), ("e", ""), ("f", "short")], "doc string, text string")
+    found = C.sections(docs.groupBy("doc").agg(F.max("text").alias("text")))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all(") == len(C.HEADERS)
+    assert [(r.doc, r.section, len(r.text)) for r in found.collect()] == [("d", 0, 1220)]
