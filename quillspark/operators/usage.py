@@ -33,12 +33,19 @@ def request_limit(calls: DataFrame, limit: int = REQUESTS) -> DataFrame:
     """calls (event_id, api_key, us) with the calls of their key in the 60 s before, and whether they had to wait.
 
     A call is counted in its own minute and shown to the next, so a window holds
-    two minutes of a key's calls, however many calls the key has.
+    two minutes of a key's calls, however many calls the key has. There a running sum
+    counts a call at its time and takes it off again a minute later: calls of the
+    minute before come in as all of them, less those that have left by then. So a
+    window is passed once, however many calls a minute has.
     """
     minute = F.floor(F.col("us") / MINUTE)
-    shown = calls.withColumn("_own", minute).withColumn("_in", F.explode(F.array(minute, minute + 1)))
-    trailing = Window.partitionBy("api_key", "_in").orderBy("us").rangeBetween(-(MINUTE - 1), 0)
-    counted = shown.withColumn("earlier", F.count(F.lit(1)).over(trailing) - 1).filter("_own = _in")
+    here = F.struct(minute.alias("_in"), F.col("us").alias("_at"), F.lit(1).alias("_one"))
+    gone = F.struct((minute + 1).alias("_in"), (F.col("us") + MINUTE).alias("_at"), F.lit(-1).alias("_one"))
+    # calls without a time are counted among themselves
+    shown = calls.select("*", F.inline(F.when(F.col("us").isNull(), F.array(here)).otherwise(F.array(here, gone))))
+    minutes = Window.partitionBy("api_key", "_in")
+    so_far = F.sum("_one").over(minutes.orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    counted = shown.withColumn("earlier", so_far + F.count_if(F.col("_one") < 0).over(minutes) - 1).filter("_one > 0")
     return counted.select(*calls.columns, "earlier", (F.col("earlier") >= limit).alias("limited"))
 
 

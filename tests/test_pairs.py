@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -130,6 +131,25 @@ def test_usage(spark):
     assert {r.event_id: (r.earlier, r.limited) for r in U.request_limit(rows, 1).collect()} == {1: (0, False), 2: (1, True), 3: (1, True)}
 
 
+def test_many_calls_in_a_minute(spark):
+    """One key, 120,000 calls in three minutes, many at the same moment: a window is passed once, and counts are those of a plain search."""
+    from bisect import bisect_left, bisect_right
+
+    calls = spark.range(120_000).selectExpr("id event_id", "'k' api_key", "(id * 7919 % 120000) div 3 * 4500 us").cache()
+    calls.count()
+    began = time.perf_counter()
+    got = {r.event_id: r.earlier for r in U.request_limit(calls).collect()}
+    assert time.perf_counter() - began < 20
+    at = sorted(r.us for r in calls.collect())
+    assert got == {r.event_id: bisect_right(at, r.us) - bisect_left(at, r.us - 59_999_999) - 1 for r in calls.collect()}
+    calls.unpersist()
+
+
+def test_calls_without_a_time(spark):
+    rows = spark.createDataFrame([(1, "k", None), (2, "k", None), (3, "k", 5), (4, None, 5), (5, None, 6)], "event_id long, api_key string, us long")
+    assert {r.event_id: (r.earlier, r.limited) for r in U.request_limit(rows, 1).collect()} == {1: (1, True), 2: (1, True), 3: (0, False), 4: (0, False), 5: (1, True)}
+
+
 def test_first_seen_within_watermark(spark, tmp_path):
     from quillspark.streaming import monitor as S
 
