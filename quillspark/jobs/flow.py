@@ -17,12 +17,14 @@ from ..operators import prompts as T
 from ..operators import quality as Q
 from ..operators import responses as R
 from ..sources import io as S
-from ..sources.shared import written
+from ..sources.shared import brief_shuffles, drop, written
 
 RESPONSE = "chunk_id string, batch_id int, response string, error string, generated_at string"
 FILTERED = "chunk_id string, chunk_ord long, pair_idx int, question string, answer string, difficulty string, type string, batch_id int"
 STARTS = ("What is", "Why does", "How do you", "Compare", "If", "Evaluate")
 LEVELS = ("basic", "intermediate", "advanced")
+#: Of all JSON lines below ``out``: as plain text they would be some thirty times the input.
+PACKED = "gzip"
 
 
 def extractive(prompt: str) -> str:
@@ -36,27 +38,45 @@ def extractive(prompt: str) -> str:
 
 
 def run(pages: DataFrame, out: str, answer: Callable[[str], str] = extractive, total: int = 50_000, n_batches: int = 5, terms: list[str] | None = None, concurrency: int | None = None) -> DataFrame:
-    """From pages (id, doc, page, text) to training files below ``out``; returns the merged set.
+    """From pages (id, doc, page, text) to training files below ``out``; returns the merged set, as read from filtered/.
 
     ``out`` holds responses/ (what the generator said, with errors), raw/ and
-    filtered/ (a folder a batch) and chatml/ (training records). A rerun asks the
-    generator only for chunks without a response that could be parsed, and replaces
-    what follows from the responses, so it repeats and loses nothing.
+    filtered/ (a folder a batch) and chatml/ (training records), all as compressed JSON
+    lines. A rerun asks the generator only for chunks without a response that could be
+    parsed, and replaces what follows from the responses, so it repeats and loses nothing.
+    What a step leaves for the next one alone goes when that has stored its own.
     """
+    with brief_shuffles(pages.sparkSession):
+        return _run(pages, out, answer, total, n_batches, terms, concurrency)
+
+
+def _run(pages: DataFrame, out: str, answer: Callable[[str], str], total: int, n_batches: int, terms: list[str] | None, concurrency: int | None) -> DataFrame:
     spark = pages.sparkSession
-    batched = written(L.contiguous_batches(written(C.semantic_chunks(pages, terms=terms), "chunks"), n_batches), "batched-chunks")
+    chunks = written(C.semantic_chunks(pages, terms=terms), "chunks")
+    batched = written(L.contiguous_batches(chunks, n_batches), "batched-chunks")
+    drop(chunks)
     planned = L.plan_chunks(batched, L.batch_plan(batched, total, n_batches))
     prompts = T.build_prompts(planned)
     told = f"{out}/responses"
     if S.exists(spark, told):
         prompts = L.pending_chunks(prompts, written(R.parse_responses(S.read_jsonl(spark, told, RESPONSE)).select("chunk_id").distinct(), "answered"))
-    R.generate(prompts, answer, concurrency).withColumn("generated_at", stamp()).write.mode("append").option("ignoreNullFields", False).json(told)
+    S.write_jsonl(R.generate(prompts, answer, concurrency).withColumn("generated_at", stamp()), told, "append", PACKED)
 
     pairs = R.parse_responses(S.read_jsonl(spark, told, RESPONSE))
-    pairs = pairs.join(batched.select(F.col("id").alias("chunk_id"), F.col("rank").alias("chunk_ord")), "chunk_id")
+    pairs = written(pairs.join(batched.select(F.col("id").alias("chunk_id"), F.col("rank").alias("chunk_ord")), "chunk_id"), "pairs")
     scored = written(Q.validated(pairs, batched.select(F.col("id").alias("chunk_id"), "text")), "scored")
-    S.write_batches(scored, f"{out}/raw")
-    S.write_batches(Q.filter_batch(scored)[0], f"{out}/filtered")
-    merged = written(M.keep_first(S.read_batches(spark, f"{out}/filtered", FILTERED, list(range(1, n_batches + 1)))), "merged")
-    E.training_files(merged, f"{out}/chatml")
+    drop(batched)
+    drop(pairs)
+    S.write_batches(scored, f"{out}/raw", PACKED)
+    S.write_batches(Q.filter_batch(scored)[0], f"{out}/filtered", PACKED)
+    drop(scored)
+    merged = merged_set(S.read_batches(spark, f"{out}/filtered", FILTERED, list(range(1, n_batches + 1))))
+    E.training_files(merged, f"{out}/chatml", compression=PACKED)
     return merged
+
+
+def merged_set(filtered: DataFrame) -> DataFrame:
+    """The rows of filtered pairs that ``keep_first`` keeps. Only their places are stored, a row a chunk: no answer is shuffled to find them, nor stored again."""
+    place = ["batch_id", "chunk_ord"]
+    first = M.keep_first(filtered.select(*M.ORDER, "question")).groupBy(*place).agg(F.collect_set("pair_idx").alias("_kept"))
+    return filtered.join(written(first, "merged-places"), place).filter(F.array_contains("_kept", F.col("pair_idx"))).drop("_kept").select(*filtered.columns)

@@ -46,6 +46,6 @@ def as_json(records: DataFrame, *columns: str) -> DataFrame:
     return records.withColumn("json", F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
 
 
-def training_files(qa: DataFrame, path: str, system: str = SYSTEM) -> None:
+def training_files(qa: DataFrame, path: str, system: str = SYSTEM, compression: str = "none") -> None:
     """Writes pairs (question, answer) as ChatML records, one a line, in place of what path held."""
-    write_jsonl(to_chatml(qa.select("question", "answer"), system), path, "overwrite")
+    write_jsonl(to_chatml(qa.select("question", "answer"), system), path, "overwrite", compression)

@@ -58,14 +58,14 @@ def list_documents(spark: SparkSession, root: str, pattern: str = "*.pdf") -> Da
     return files.select("path", name.alias("name"), F.regexp_replace(name, r"\.[^.]*$", "").alias("stem"), F.bround(F.col("length") / (1024 * 1024), 2).alias("size_mb"))
 
 
-def write_jsonl(df: DataFrame, path: str, mode: str = "error") -> None:
-    """UTF-8 lines with non-ASCII kept and null fields written."""
-    df.write.mode(mode).option("ignoreNullFields", False).json(path)
+def write_jsonl(df: DataFrame, path: str, mode: str = "error", compression: str = "none") -> None:
+    """UTF-8 lines with non-ASCII kept and null fields written; all readers here take compressed files by their names."""
+    df.write.mode(mode).option("ignoreNullFields", False).option("compression", compression).json(path)
 
 
-def write_batches(df: DataFrame, path: str) -> None:
+def write_batches(df: DataFrame, path: str, compression: str = "none") -> None:
     """One folder a batch_id; a rerun replaces just the batches it holds."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("ignoreNullFields", False).partitionBy("batch_id").json(path)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("ignoreNullFields", False).option("compression", compression).partitionBy("batch_id").json(path)
 
 
 def read_batches(spark: SparkSession, path: str, schema: str, batches: list[int], strict: bool = False) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quillspark.functions.text import prefix_sums
 from quillspark.jobs import fixtures, flow, qa_queries
 from quillspark.operators import chunks as C
+from quillspark.operators import merge as M
 from quillspark.operators import quality as Q
 from quillspark.operators import responses as R
 from quillspark.sources import io as S
@@ -48,6 +49,19 @@ def test_a_rerun_asks_only_for_what_is_missing(spark, tmp_path):
     assert all(re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", r.generated_at) for r in told.limit(3).collect())
 
 
+def test_the_flow_leaves_its_files_alone(spark, tmp_path):
+    """JSON lines are compressed, what one step left for the next is gone, and so are shuffles."""
+    shared.clear(spark)
+    merged = flow.run(fixtures.fx_pages(spark, SMALL), str(tmp_path / "out"), terms=fixtures.TERMS)
+    files = [f for f in (tmp_path / "out").rglob("part-*") if f.is_file()]
+    assert {f.relative_to(tmp_path / "out").parts[0] for f in files} == {"responses", "raw", "filtered", "chatml"} and all(f.name.endswith(".json.gz") for f in files)
+    left = {p.rsplit("/", 1)[-1].rsplit("-", 1)[0] for p in shared._given[spark.sparkContext.applicationId]}
+    assert left == {"doc-ranges", "merged-places"} and spark.conf.get(shared._BRIEF) == "false"
+    filtered = S.read_batches(spark, str(tmp_path / "out" / "filtered"), flow.FILTERED, [1, 2, 3, 4, 5])
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, M.keep_first(filtered).collect())) and merged.columns == filtered.columns
+    assert spark.read.text(str(tmp_path / "out" / "chatml")).count() == merged.count() > 0
+
+
 def test_answers_are_shuffled_once(spark, tmp_path):
     """Two reads of the pairs, of which one reads no answer; one exchange carries answers, none a source's text twice."""
     fixtures.fx_qa(spark, SMALL).write.parquet(str(tmp_path / "qa"))
