@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -38,6 +39,19 @@ def test_first_by_order(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_first_by_order_of_many_questions(spark, tmp_path):
+    """Many questions, all of them in two files and earlier in the second, cost no call to the state store each."""
+    rows = spark.range(80_000).selectExpr("1 batch_id", "if(id < 40000, 100000 - id, id - 40000) chunk_id", "if(id < 40000, 100000 - id, id - 40000) chunk_ord", "1 pair_idx", "concat('q ', id % 40000) question", f"timestamp_seconds({START}) ts", "cast(id div 40000 as int) file")
+    stream = arriving(spark, tmp_path, rows, 2)
+    began = time.perf_counter()
+    with T.program_state(spark):
+        changes = S.run_to(T.first_by_order(stream, "2 hours", 7200), "append")
+    took = time.perf_counter() - began
+    got = T.settled(changes).agg(F.count("*").alias("n"), F.countDistinct("q_norm").alias("questions"), F.max("chunk_ord").alias("last"), F.min("pair_idx").alias("p")).first()
+    assert (got.n, got.questions, got.last, got.p) == (40_000, 40_000, 39_999, 1) and changes.filter("change < 0").count() == 40_000
+    assert took < 40
+
+
 def test_state_goes(spark, tmp_path):
     """A question that comes again when its state is gone is a first one anew."""
     rows = [(1, 1, 1, 1, "Why?", 0, 0), (1, 2, 2, 1, "other", 100_000, 1), (1, 3, 3, 1, "why", 100_001, 2), (1, 4, 4, 1, "other", 100_002, 3)]
