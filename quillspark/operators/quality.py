@@ -164,10 +164,15 @@ SCORES = ["accuracy", "clarity", "completeness", "relevance", "specificity", "ov
 
 
 def filter_batch(scored: DataFrame, min_overall: float = 6.0) -> tuple[DataFrame, DataFrame]:
-    """Accepted and rejected rows, with all scores as quality_score."""
+    """Accepted and rejected rows, with all scores as quality_score.
+
+    A row is held against the bounds as an array of one: a filter on scored rows would be
+    put below the scores, with all tests of the issues written out for each score it needs.
+    """
     packed = scored.withColumn("quality_score", F.struct(*SCORES)).drop(*SCORES)
-    accepted = (F.col("quality_score.recommendation") == "keep") & (F.col("quality_score.overall") >= min_overall)
-    return packed.filter(accepted), packed.filter(~accepted)
+    accepted = lambda r: (r["quality_score"]["recommendation"] == "keep") & (r["quality_score"]["overall"] >= min_overall)
+    those = lambda test: packed.select(F.inline(F.filter(F.array(F.struct(*packed.columns)), test)))
+    return those(accepted), those(lambda r: ~accepted(r))
 
 
 def batch_run_stats(scored: DataFrame, plan: DataFrame, min_overall: float = 6.0) -> DataFrame:

@@ -93,6 +93,12 @@ def test_words_in_common_are_found_once_a_lot(spark):
     assert got == {k: len(words(a) & words(text)) for k, a in enumerate(answers)}
 
 
+def test_issues_are_tested_once_a_row(spark):
+    """Neither accepted nor rejected rows are filtered by tests written out anew."""
+    for rows in Q.filter_batch(Q.validated(fixtures.fx_qa(spark, SMALL), fixtures.fx_sources(spark, SMALL))):
+        assert rows._jdf.queryExecution().optimizedPlan().toString().count("Question appears incomplete") == 1
+
+
 def test_pairs_without_a_chunk(spark):
     rows = [(None, 1, k, 1, f"How does it grow {k}?", "maize nitrogen harvest water and fields of grain") for k in range(200)] + [(7, 1, 500 + k, k, f"Why is it so {k % 3}?", "maize nitrogen harvest water") for k in range(200)]
     qa = spark.createDataFrame(rows, "chunk_id long, batch_id int, chunk_ord long, pair_idx int, question string, answer string")
